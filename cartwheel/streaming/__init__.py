@@ -1,0 +1,2 @@
+"""Deliberately empty: every source is a batch full refresh, so there is no
+streaming operator to offer."""
