@@ -145,3 +145,48 @@ def stale_age(customers: DataFrame, as_of) -> DataFrame:
     return customers.select(
         "CustomerID", "Age", current.alias("CurrentAge"), (F.col("Age") < 18).alias("StoredUnder18")
     ).where(F.col("Age") != F.col("CurrentAge"))
+
+
+def profile_customer_analytics(df: DataFrame) -> DataFrame:
+    """Row count, missing values per column, duplicate ids and invalid values
+    of the model input, from one pass.  Only findings above 0 are listed next
+    to the row and duplicate counts."""
+    invalid = {
+        "Age_out_of_range": ~F.col("Age").between(18, 120),
+        "TotalAmountSpent_negative": F.col("TotalAmountSpent") < 0,
+        "CampaignResponseRate_out_of_range": ~F.col("CampaignResponseRate").between(0, 100),
+    }
+    measures = [("rows", "row_count", F.count("*"))]
+    # a NULL id counts as one id
+    ids = F.count_distinct("CustomerID") + F.max(F.col("CustomerID").isNull().cast("int"))
+    measures.append(("duplicates", "CustomerID", F.count("*") - ids))
+    measures += [("missing", c, F.count_if(F.col(c).isNull())) for c in df.columns]
+    measures += [("invalid", name, F.count_if(bad)) for name, bad in invalid.items()]
+    counts = df.agg(*[F.coalesce(m, F.lit(0)).cast("long").alias(f"m{i}") for i, (_, _, m) in enumerate(measures)])
+    rows = F.array(
+        *[F.struct(F.lit(section).alias("Section"), F.lit(item).alias("Item"), F.col(f"m{i}").alias("Value"))
+          for i, (section, item, _) in enumerate(measures)]
+    )
+    long = counts.select(F.explode(rows).alias("r")).select("r.*")
+    return long.where((F.col("Value") > 0) | F.col("Section").isin("rows", "duplicates"))
+
+
+def table_existence(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    """Expected tables, whether each is there and how many rows it has."""
+    spark = next(iter(tables[n] for n in names if n in tables)).sparkSession
+    results = []
+    for name in names:
+        present = tables.get(name)
+        rows = present.agg(F.count("*").alias("n")) if present is not None else spark.range(1).select(F.lit(0).alias("n"))
+        results.append(rows.select(
+            F.lit(name).alias("TableName"), F.lit(present is not None).alias("Present"), (F.col("n") > 0).alias("HasRows")
+        ))
+    return stack_rows(results)
+
+
+def compare_counts(counts: DataFrame, expected: Mapping[str, int]) -> DataFrame:
+    """Counted rows (TableName, RecordCount) against the expected numbers."""
+    numbers = F.create_map(*[part for k, v in expected.items() for part in (F.lit(k), F.lit(v).cast("long"))])
+    wanted = F.element_at(numbers, F.col("TableName"))
+    return counts.select("TableName", "RecordCount", wanted.alias("Expected"),
+                         (F.col("RecordCount") == wanted).alias("Matches"))

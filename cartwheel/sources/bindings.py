@@ -68,6 +68,12 @@ class Tables(dict):
         self[name] = self._builders[name]()
         return self[name]
 
+    def __contains__(self, name):
+        return name in self._builders
+
+    def get(self, name, default=None):
+        return self[name] if name in self else default
+
 
 def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(RAW[name]).parquet(f"{folder}/{name}.parquet")

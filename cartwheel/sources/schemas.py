@@ -11,23 +11,23 @@ from pyspark.sql import functions as F
 # -- source files -------------------------------------------------------------
 # File -> columns in file order.  0/1 flags are read as int and cast on load.
 CSV_FILES = {
-    "Stores": "StoreID int, StoreName string, City string, Province string",
-    "ProductCategories": "CategoryID int, CategoryName string",
-    "Products": "ProductID int, ProductName string, CategoryID int, Brand string,"
+    "Stores": "StoreID bigint, StoreName string, City string, Province string",
+    "ProductCategories": "CategoryID bigint, CategoryName string",
+    "Products": "ProductID bigint, ProductName string, CategoryID bigint, Brand string,"
     " UnitPrice decimal(10,2), UnitCost decimal(10,2)",
-    "Customers": "CustomerID int, FirstName string, LastName string, Gender string, DateOfBirth date, Age int,"
+    "Customers": "CustomerID bigint, FirstName string, LastName string, Gender string, DateOfBirth date, Age int,"
     " Email string, Phone string, Address string, City string, Province string, PostalCode string,"
     " RegistrationDate date, CustomerStatus string",
-    "LoyaltyMemberships": "LoyaltyNumber string, CustomerID int, MembershipLevel string, JoinDate date,"
+    "LoyaltyMemberships": "LoyaltyNumber string, CustomerID bigint, MembershipLevel string, JoinDate date,"
     " CurrentPoints int, LifetimePointsEarned int, LifetimePointsRedeemed int",
-    "Employees": "EmployeeID int, FirstName string, LastName string, Role string, StoreID int",
-    "MarketingCampaigns": "CampaignID int, CampaignName string, Channel string, StartDate date, EndDate date,"
+    "Employees": "EmployeeID bigint, FirstName string, LastName string, Role string, StoreID bigint",
+    "MarketingCampaigns": "CampaignID bigint, CampaignName string, Channel string, StartDate date, EndDate date,"
     " DiscountPercent decimal(5,2)",
-    "SalesTransactions": "TransactionID int, CustomerID int, StoreID int, TransactionDate timestamp_ntz,"
+    "SalesTransactions": "TransactionID bigint, CustomerID bigint, StoreID bigint, TransactionDate timestamp_ntz,"
     " PaymentMethod string, TransactionTotal decimal(10,2)",
-    "SalesTransactionItems": "TransactionItemID int, TransactionID int, ProductID int, Quantity int,"
+    "SalesTransactionItems": "TransactionItemID bigint, TransactionID bigint, ProductID bigint, Quantity int,"
     " UnitPrice decimal(10,2), Discount decimal(10,2), LineTotal decimal(10,2)",
-    "CampaignResponses": "ResponseID int, CampaignID int, CustomerID int, EmailOpened int, CouponUsed int,"
+    "CampaignResponses": "ResponseID bigint, CampaignID bigint, CustomerID bigint, EmailOpened int, CouponUsed int,"
     " PurchaseCompleted int, PurchaseAmount decimal(10,2), ResponseDate timestamp_ntz",
 }
 

@@ -56,3 +56,10 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return register
+
+
+def scratch(env: Env, label: str) -> str:
+    """New folder in the cluster's shared scratch space."""
+    from cartwheel.session import scratch_path
+
+    return scratch_path(env.spark, label)
