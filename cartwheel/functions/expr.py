@@ -117,8 +117,8 @@ def lookup_key(name: Column, case_insensitive: bool = False) -> Column:
 
 
 def percent_text(value: Column) -> Column:
-    """``12.3%``"""
-    return F.format_string("%.1f%%", half_up(value, 1))
+    """``12.3%``, NULL for NULL"""
+    return F.when(value.isNotNull(), F.format_string("%.1f%%", half_up(value, 1)))
 
 
 def dollars_text(value: Column) -> Column:

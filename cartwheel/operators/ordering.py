@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Buckets per ordering.  The windows over bucket totals hold at most this many
 # rows (times the number of groups), whatever the size of the table.
-VALUE_BUCKETS = 256
+VALUE_BUCKETS = 256  # a power of two
 HASH_DIGITS = 3  # 16 ** 3 buckets
 
 
@@ -36,38 +36,50 @@ def argmax_row(df: DataFrame, metric: str, tie: str) -> DataFrame:
     return top_k(df.where(F.col(metric).isNotNull()), 1, F.col(metric).desc(), F.col(tie).asc())
 
 
-def _with_offset(totals: DataFrame, groups: Sequence[str], bucket: str) -> DataFrame:
-    """Rows ahead of each bucket, from one row per bucket."""
-    ahead = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumn("_offset", F.coalesce(F.sum("_total").over(ahead), F.lit(0)))
+def _with_offset(totals: DataFrame, groups: Sequence[str], descending: bool = False) -> DataFrame:
+    """Rows ahead of each bucket and rows of the group, from one row per bucket."""
+    order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    group = Window.partitionBy(*groups)
+    ahead = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *groups, "_bucket",
+        F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_offset"),
+        F.sum("_total").over(group).alias("size"),
+    )
+
+
+def _bucket_of(value: str, cuts: str):
+    """Number of cut points below the value, by binary search in the sorted
+    array: one step per halving."""
+    steps = F.array(*[F.lit(VALUE_BUCKETS >> i) for i in range(1, VALUE_BUCKETS.bit_length())])
+    return F.aggregate(
+        steps, F.lit(0),
+        lambda found, step: F.when(F.get(cuts, found + step - 1) < F.col(value), found + step).otherwise(found),
+    )
 
 
 def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), descending: bool = False) -> DataFrame:
-    """Distinct non-NULL values with ``n`` (rows holding the value) and
-    ``ahead`` (rows before it in the order), per group.
+    """Distinct non-NULL values with ``n`` (rows holding the value), ``ahead``
+    (rows before it in the order) and ``size`` (rows in all), per group.
 
     Counting equal values first makes a value that fills a third of the table
     a single row.  ``groups`` must be few (feature names, not keys).
     """
     groups = list(groups)
     counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
-    steps = [i / VALUE_BUCKETS for i in range(1, VALUE_BUCKETS)]
-    cuts = counted.groupBy(*groups).agg(F.percentile_approx(value, steps, 10_000).alias("_cuts"))
-    if groups:
-        # at most one row per group
-        placed = counted.join(cuts, groups)
-    else:
-        placed = counted.withColumn("_cuts", cuts.scalar())
-    side = (lambda cut: cut > F.col(value)) if descending else (lambda cut: cut < F.col(value))
-    placed = placed.select(*groups, value, "n", F.size(F.filter("_cuts", side)).alias("_bucket"))
+    spots = [i / VALUE_BUCKETS for i in range(1, VALUE_BUCKETS)]
+    cuts = counted.groupBy(*groups).agg(F.percentile_approx(value, spots, 10_000).alias("_cuts"))
+    # at most one row of cuts per group
+    placed = counted.join(cuts, groups) if groups else counted.withColumn("_cuts", cuts.scalar())
+    placed = placed.select(*groups, value, "n", _bucket_of(value, "_cuts").alias("_bucket"))
     totals = placed.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_total"))
-    offsets = _with_offset(totals, groups, "_bucket").drop("_total")
+    offsets = _with_offset(totals, groups, descending)
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = (
         Window.partitionBy(*groups, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return placed.join(offsets, [*groups, "_bucket"]).select(
-        *groups, value, "n", (F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("ahead")
+        *groups, value, "n", "size", (F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("ahead")
     )
 
 
@@ -87,16 +99,10 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
     """Exact linearly interpolated quantiles, one column ``q0, q1, ..`` per
     probability and one row per group."""
     groups = list(groups)
-    # count is kept as a sum over the distinct values: no second scan of df
     positions = value_positions(df, value, groups)
-    size = positions.groupBy(*groups).agg(F.sum("n").alias("_size"))
-    if groups:
-        positions = positions.join(size, groups)
-    else:
-        positions = positions.withColumn("_size", size.scalar())
     columns = []
     for i, p in enumerate(probabilities):
-        spot = (F.col("_size") - 1) * F.lit(float(p))
+        spot = (F.col("size") - 1) * F.lit(float(p))
 
         def at(index: Column) -> Column:
             here = (F.col("ahead") <= index) & (index < F.col("ahead") + F.col("n"))
@@ -143,7 +149,7 @@ def hash_positions(df: DataFrame, hashed: Column, position: str, groups: Sequenc
     groups = list(groups)
     hashed_rows = df.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, HASH_DIGITS))
     totals = hashed_rows.groupBy(*groups, "_bucket").agg(F.count("*").alias("_total"))
-    offsets = _with_offset(totals, groups, "_bucket").drop("_total")
+    offsets = _with_offset(totals, groups).drop("size")
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_hash")
     # offsets: at most 4096 rows per group
     return (

@@ -1,3 +1,3 @@
 """All registered queries and their SQL."""
 
-from registry import core, datasets, quality, storage  # noqa: F401
+from registry import clauses, core, datasets, model, quality, storage  # noqa: F401

@@ -171,7 +171,7 @@ CANON = {
         CASE WHEN r.PurchaseCompleted IS NULL OR p.PredictionResult IS NULL THEN NULL
              ELSE (p.PredictionResult = 'Yes') = r.PurchaseCompleted END AS PredictionCorrect
         FROM @Customer c LEFT JOIN @LatestPrediction p ON p.CustomerID = c.CustomerID LEFT JOIN @LatestResponse r ON r.CustomerID = c.CustomerID""",
-    "Features": """SELECT CustomerID, Age, CASE LoyaltyLevel WHEN 'Bronze' THEN 1 WHEN 'Silver' THEN 2 WHEN 'Gold' THEN 3 WHEN 'Platinum' THEN 4 ELSE 0 END AS LoyaltyLevelEncoded,
+    "Features": """SELECT CustomerID, Age, CAST(CASE LoyaltyLevel WHEN 'Bronze' THEN 1 WHEN 'Silver' THEN 2 WHEN 'Gold' THEN 3 WHEN 'Platinum' THEN 4 ELSE 0 END AS BIGINT) AS LoyaltyLevelEncoded,
         NumTransactions, TotalAmountSpent, AveragePurchaseValue,
         coalesce(DaysSinceLastPurchase, (SELECT max(DaysSinceLastPurchase) + 1 FROM @Analytics), 9999) AS DaysSinceLastPurchase,
         NumCampaignsReceived, CampaignResponseRate, NumDistinctProductsPurchased, AverageDiscountReceived, CAST(PurchaseCompleted AS BIGINT) AS label

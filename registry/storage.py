@@ -232,15 +232,15 @@ def _(t, env):
     return sinks.approve_report(env.spark, old, new, 7).select("AIReportID", "ReportText", "Approved")
 
 
-@query("default_values", """SELECT ResponseID, event_type IN ('view', 'click', 'purchase') AS EmailOpened, CouponUsed, PurchaseCompleted,
-    CAST(PurchaseAmount AS DOUBLE) AS PurchaseAmount FROM @CampaignResponse JOIN events ON event_id = ResponseID""")
+@query("default_values", """SELECT ResponseID, EmailOpened, CouponUsed, PurchaseCompleted,
+    CAST(PurchaseAmount AS DOUBLE) AS PurchaseAmount FROM @CampaignResponse""")
 def _(t, env):
     # values left out on purpose; the defaults put them back
     partial = t["CampaignResponse"].select(
         "ResponseID", "CouponUsed", "PurchaseCompleted",
         F.when(F.col("EmailOpened"), True).alias("EmailOpened"),
         F.when(F.col("PurchaseCompleted"), F.col("PurchaseAmount")).alias("PurchaseAmount"),
-    ).drop("CouponUsed").join(t["CampaignResponse"].select("ResponseID", "CouponUsed"), "ResponseID")
+    )
     return sinks.with_defaults(partial, "CampaignResponse")
 
 
