@@ -42,28 +42,32 @@ def _with_offset(totals: DataFrame, groups: Sequence[str], descending: bool = Fa
     group = Window.partitionBy(*groups)
     ahead = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
-        *groups, "_bucket",
+        *groups, "_bucket", "_total",
         F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_offset"),
         F.sum("_total").over(group).alias("size"),
     )
 
 
-def _bucket_of(value: str, cuts: str):
-    """Number of cut points below the value, by binary search in the sorted
-    array: one step per halving."""
-    steps = F.array(*[F.lit(VALUE_BUCKETS >> i) for i in range(1, VALUE_BUCKETS.bit_length())])
-    return F.aggregate(
-        steps, F.lit(0),
-        lambda found, step: F.when(F.get(cuts, found + step - 1) < F.col(value), found + step).otherwise(found),
-    )
+def _with_bucket(df: DataFrame, value: str, cuts: str) -> DataFrame:
+    """Adds the number of cut points below the value, by binary search in the
+    sorted array: one generated projection per halving."""
+    df = df.withColumn("_bucket", F.lit(0))
+    step = VALUE_BUCKETS // 2
+    while step:
+        below = F.get(cuts, F.col("_bucket") + F.lit(step - 1)) < F.col(value)
+        df = df.withColumn("_bucket", F.col("_bucket") + F.when(below, step).otherwise(0))
+        step //= 2
+    return df
 
 
-def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), descending: bool = False) -> DataFrame:
+def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), descending: bool = False,
+                    around: Sequence[float] | None = None) -> DataFrame:
     """Distinct non-NULL values with ``n`` (rows holding the value), ``ahead``
     (rows before it in the order) and ``size`` (rows in all), per group.
 
     Counting equal values first makes a value that fills a third of the table
-    a single row.  ``groups`` must be few (feature names, not keys).
+    a single row.  ``groups`` must be few (feature names, not keys).  With
+    ``around``, only the buckets that hold these quantiles are kept.
     """
     groups = list(groups)
     counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
@@ -71,9 +75,16 @@ def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), desce
     cuts = counted.groupBy(*groups).agg(F.percentile_approx(value, spots, 10_000).alias("_cuts"))
     # at most one row of cuts per group
     placed = counted.join(cuts, groups) if groups else counted.withColumn("_cuts", cuts.scalar())
-    placed = placed.select(*groups, value, "n", _bucket_of(value, "_cuts").alias("_bucket"))
+    placed = _with_bucket(placed, value, "_cuts").drop("_cuts")
     totals = placed.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_total"))
     offsets = _with_offset(totals, groups, descending)
+    if around is not None:
+        wanted = F.lit(False)
+        for p in around:
+            for rank in _quantile_ranks(p):
+                wanted = wanted | ((F.col("_offset") <= rank) & (rank < F.col("_offset") + F.col("_total")))
+        offsets = offsets.where(wanted)
+    offsets = offsets.drop("_total")
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = (
         Window.partitionBy(*groups, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -95,21 +106,28 @@ def global_rank(df: DataFrame, metric: str, rank: str) -> DataFrame:
     return known.unionByName(unknown).select(*df.columns, rank)
 
 
+def _quantile_ranks(p: float) -> tuple[Column, Column]:
+    """Zero-based positions on both sides of a quantile, given ``size``."""
+    spot = (F.col("size") - 1) * F.lit(float(p))
+    return F.floor(spot), F.ceil(spot)
+
+
 def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
     """Exact linearly interpolated quantiles, one column ``q0, q1, ..`` per
-    probability and one row per group."""
+    probability and one row per group.  Only the few buckets around the wanted
+    positions are sorted."""
     groups = list(groups)
-    positions = value_positions(df, value, groups)
-    columns = []
-    for i, p in enumerate(probabilities):
-        spot = (F.col("size") - 1) * F.lit(float(p))
+    positions = value_positions(df, value, groups, around=probabilities)
 
-        def at(index: Column) -> Column:
-            here = (F.col("ahead") <= index) & (index < F.col("ahead") + F.col("n"))
-            return F.max(F.when(here, F.col(value).cast("double")))
+    def at(rank: Column) -> Column:
+        here = (F.col("ahead") <= rank) & (rank < F.col("ahead") + F.col("n"))
+        return F.max(F.when(here, F.col(value).cast("double")))
 
-        low, high = at(F.floor(spot)), at(F.ceil(spot))
-        share = F.max(spot - F.floor(spot))
+    columns = []
+    for i, p in enumerate(probabilities):
+        below, above = _quantile_ranks(p)
+        low, high = at(below), at(above)
+        share = F.max((F.col("size") - 1) * F.lit(float(p)) - below)
         columns.append((low + (high - low) * share).alias(f"q{i}"))
     return positions.groupBy(*groups).agg(*columns)
 
@@ -149,7 +167,7 @@ def hash_positions(df: DataFrame, hashed: Column, position: str, groups: Sequenc
     groups = list(groups)
     hashed_rows = df.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, HASH_DIGITS))
     totals = hashed_rows.groupBy(*groups, "_bucket").agg(F.count("*").alias("_total"))
-    offsets = _with_offset(totals, groups).drop("size")
+    offsets = _with_offset(totals, groups).drop("size", "_total")
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_hash")
     # offsets: at most 4096 rows per group
     return (

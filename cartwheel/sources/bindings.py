@@ -98,7 +98,14 @@ def bind(spark: SparkSession, folder: str) -> Tables:
     earned = key * 37 % 20000
     redeemed = F.floor(earned * (key % 10) / 10)
 
-    discount = c("l_extendedprice").cast("decimal(12,2)") * c("l_discount").cast("decimal(4,2)")
+    # The doubles hold at most two decimals: whole cents and percents are exact
+    # integers, which become decimals much faster than doubles do.
+    def scaled(units, scale, precision=18):
+        step = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale},{scale})")
+        return (units.cast("decimal(18,0)") * step).cast(f"decimal({precision},{scale})")
+
+    gross_cents = F.rint(c("l_extendedprice") * 100).cast("long")
+    discount_units = gross_cents * F.rint(c("l_discount") * 100).cast("long")
     # whole cents per unit, rounded down
     unit_cents = F.floor(c("l_extendedprice") * 100 / c("l_quantity"))
 
@@ -196,18 +203,16 @@ def bind(spark: SparkSession, folder: str) -> Tables:
             (c("o_orderkey") % 25).alias("StoreID"),
             c("o_orderdate").alias("TransactionDate"),
             F.substring("o_orderpriority", 1, 1).cast("long").alias("PaymentMethodID"),
-            c("o_totalprice").cast("decimal(10,2)").alias("TransactionTotal"),
+            scaled(F.rint(c("o_totalprice") * 100).cast("long"), 2, 10).alias("TransactionTotal"),
         ),
         "SalesTransactionItem": lambda: raw("lineitem").select(
             (c("l_orderkey") * 10 + c("l_linenumber")).alias("TransactionItemID"),
             c("l_orderkey").alias("TransactionID"),
             c("l_partkey").alias("ProductID"),
             c("l_quantity").cast("int").alias("Quantity"),
-            (unit_cents.cast("decimal(14,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(14,2)").alias(
-                "UnitPrice"
-            ),
-            discount.cast("decimal(18,4)").alias("Discount"),
-            (c("l_extendedprice").cast("decimal(12,2)") - discount).cast("decimal(18,4)").alias("LineTotal"),
+            scaled(unit_cents, 2, 14).alias("UnitPrice"),
+            scaled(discount_units, 4).alias("Discount"),
+            scaled(gross_cents * 100 - discount_units, 4).alias("LineTotal"),
         ),
         "CampaignResponse": lambda: raw("events").select(
             c("event_id").alias("ResponseID"),
