@@ -82,14 +82,9 @@ def stratified_split(labelled: DataFrame, *, key: str = "CustomerID", label: str
     if approx:
         spot = F.conv(F.substring(hashed, 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
         return labelled.withColumn("is_test", spot < F.lit(test_share))
-    placed = hash_positions(labelled, hashed, "_position", [label])
-    # at most one row per class
-    sizes = labelled.groupBy(label).agg(F.floor(F.count("*") * F.lit(test_share) + F.lit(0.5)).alias("_test_rows"))
-    return (
-        placed.join(F.broadcast(sizes), label)
-        .withColumn("is_test", F.col("_position") <= F.col("_test_rows"))
-        .select(*labelled.columns, "is_test")
-    )
+    placed = hash_positions(labelled, hashed, "_position", [label], size="_size")
+    test_rows = F.floor(F.col("_size") * F.lit(test_share) + F.lit(0.5))
+    return placed.withColumn("is_test", F.col("_position") <= test_rows).select(*labelled.columns, "is_test")
 
 
 def class_weights(labelled: DataFrame, label: str = "label") -> DataFrame:

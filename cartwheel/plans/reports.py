@@ -11,6 +11,7 @@ from cartwheel.operators.aggregate import best_key_by_mean, rate_pct
 from cartwheel.operators.latest import latest_row
 from cartwheel.operators.ordering import argmax_row, median
 from cartwheel.plans import views as V
+from cartwheel.session import materialize
 
 PROMPT_VERSION = "v1.1"
 
@@ -60,11 +61,17 @@ def _required(one_row: DataFrame, message: str) -> DataFrame:
     return found.select(checked.otherwise(F.col("row")).alias("row")).select("row.*")
 
 
-def best_campaign_and_channel(tables) -> DataFrame:
+def best_campaign_and_channel(tables, performance: DataFrame | None = None) -> DataFrame:
     """Best campaign and channel by completion rate and the mean discount of
     the campaigns at or above the median rate.  Campaigns never sent have no
-    rate and take no part."""
-    rated = V.campaign_performance(tables).where("PurchaseCompletionRate is not null")
+    rate and take no part.
+
+    ``performance`` may bring a stored campaign performance; otherwise its one
+    row per campaign is stored here, so that the responses are read once.
+    """
+    if performance is None:
+        performance = materialize(V.campaign_performance(tables), "performance")
+    rated = performance.where("PurchaseCompletionRate is not null")
     best = _required(
         argmax_row(rated, "PurchaseCompletionRate", "CampaignID"), "no campaign was sent: load the data first"
     )
@@ -129,57 +136,53 @@ def campaign_prompts(performance: DataFrame) -> DataFrame:
     return performance.select("CampaignID", prompt.alias("Prompt"))
 
 
+def _typed_prompts(row: DataFrame, prompts: dict) -> DataFrame:
+    """One output row per prompt, all from the same input row."""
+    entries = F.array(*[F.struct(F.lit(k).alias("ReportType"), p.alias("Prompt")) for k, p in prompts.items()])
+    return row.select(F.explode(entries).alias("p")).select(
+        "p.ReportType", F.lit(None).cast("long").alias("CampaignID"), "p.Prompt"
+    )
+
+
 def prompts_batch(tables) -> DataFrame:
     """All prompts at once: one per campaign, one of each other type."""
-    overall = overall_metrics(tables)
+    performance = materialize(V.campaign_performance(tables), "performance")
     model = latest_model_metrics(tables)
-    advice = best_campaign_and_channel(tables).select(
-        "*", model.select("predicted_positive_count").scalar().alias("predicted_positive_count")
-    )
     program = [
         ("Total customers", _text("total_customers")),
         ("Campaign response rate", _pct("response_rate")),
         ("Prediction accuracy", _pct("model_accuracy")),
         ("Total revenue", E.dollars_text(F.col("total_revenue"))),
     ]
-    summary = overall.select(
-        F.lit(SECTIONS[0]).alias("ReportType"), F.lit(None).cast("long").alias("CampaignID"),
-        _prompt(
+    program_prompts = _typed_prompts(overall_metrics(tables), {
+        SECTIONS[0]: _prompt(
             "Summarise the state of this retail campaign program.", *program,
             ("Active customers", _text("active_customers")), ("Campaigns", _text("total_campaigns")),
-        ).alias("Prompt"),
-    )
-    commentary = overall.select(
-        F.lit("Dashboard Commentary").alias("ReportType"), F.lit(None).cast("long").alias("CampaignID"),
-        _prompt(
+        ),
+        "Dashboard Commentary": _prompt(
             "Write a comment of under 150 words for a store manager who looks at a dashboard with these figures.",
             *program,
-        ).alias("Prompt"),
-    )
-    interpretation = model.select(
-        F.lit("Prediction Interpretation").alias("ReportType"), F.lit(None).cast("long").alias("CampaignID"),
-        _prompt(
+        ),
+    })
+    advice = best_campaign_and_channel(tables, performance).select(F.struct("*")).scalar()
+    model_prompts = _typed_prompts(model.withColumn("_advice", advice).select("*", "_advice.*"), {
+        "Prediction Interpretation": _prompt(
             "Explain in plain words what this model can and cannot do for the next campaign.",
             ("Model", F.col("algorithm")), ("Accuracy", _pct("accuracy", 100.0)),
             ("Precision", _pct("precision", 100.0)), ("Recall", _pct("recall", 100.0)),
             ("F1", _pct("f1_score", 100.0)),
             ("Predicted responders", F.concat(_text("predicted_positive_count"), F.lit(" of "), _text("total_scored"))),
-        ).alias("Prompt"),
-    )
-    recommendations = advice.select(
-        F.lit("Business Recommendations").alias("ReportType"), F.lit(None).cast("long").alias("CampaignID"),
-        _prompt(
+        ),
+        "Business Recommendations": _prompt(
             "Recommend targeting, channel and discount for the coming campaigns.",
             ("Best channel", F.col("best_channel")), ("Best campaign", F.col("best_campaign")),
             ("Its response rate", _pct("best_campaign_response_rate")),
             ("Predicted responders", _text("predicted_positive_count")),
             ("Mean discount of successful campaigns", _pct("avg_discount_on_winners")),
-        ).alias("Prompt"),
-    )
-    campaigns = campaign_prompts(V.campaign_performance(tables)).select(
-        F.lit("Campaign Analysis").alias("ReportType"), "CampaignID", "Prompt"
-    )
-    return campaigns.unionByName(summary).unionByName(interpretation).unionByName(recommendations).unionByName(commentary)
+        ),
+    })
+    campaigns = campaign_prompts(performance).select(F.lit("Campaign Analysis").alias("ReportType"), "CampaignID", "Prompt")
+    return campaigns.unionByName(program_prompts).unionByName(model_prompts)
 
 
 # -- checks of written reports ---------------------------------------------------
