@@ -164,6 +164,7 @@ def median(df: DataFrame, value: str) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per column."""
+    df = materialize(df.select(*columns), "described")
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     )
