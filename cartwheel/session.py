@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a call site per column expression makes building a plan several times slower
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

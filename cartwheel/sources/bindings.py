@@ -7,9 +7,7 @@ so filters and column pruning reach the Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cartwheel.functions import expr as E
 from cartwheel.sources.files import lookup_table
 
 SALES_AS_OF = "2001-08-02 00:00:00"
@@ -31,15 +29,6 @@ REPORT_TYPES = [
 ]
 
 
-def _pick(index, values):
-    """values[index] for a zero-based index column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
-
-
-def _day(start: str, offset):
-    return F.date_add(F.lit(start).cast("date"), offset.cast("int"))
-
-
 # Columns of the Parquet tables, declared so that no job has to infer them.
 RAW = {
     "region": "r_regionkey int, r_name string",
@@ -79,192 +68,155 @@ def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(RAW[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _pick(index: str, names) -> str:
+    """names[index] for a zero-based index."""
+    return f"element_at(array({', '.join(repr(n) for n in names)}), CAST({index} AS INT) + 1)"
+
+
+def _scaled(units: str, scale: int, precision: int = 18) -> str:
+    """Decimal from a whole number of its smallest units."""
+    return f"CAST(CAST({units} AS DECIMAL(18,0)) * {10 ** -scale:.{scale}f}BD AS DECIMAL({precision},{scale}))"
+
+
+# The doubles hold at most two decimals: whole cents and percents are exact
+# integers, which become decimals much faster than doubles do.
+_GROSS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+_OFF = f"({_GROSS} * CAST(rint(l_discount * 100) AS BIGINT))"
+_BIRTH = "date_add(DATE'1940-01-01', CAST(c_custkey * 7919 % 22000 AS INT))"
+_EARNED = "(c_custkey * 37 % 20000)"
+_REDEEMED = f"CAST(floor({_EARNED} * (c_custkey % 10) / 10D) AS BIGINT)"
+_POINTS = "((c_custkey * 37 + run * 11) % 101)"
+_LEVEL = "CASE c_mktsegment " + " ".join(f"WHEN '{s}' THEN {i}" for s, (i, _) in SEGMENT_LEVELS.items()) + " ELSE 0 END"
+
+
+def _metric(step: int) -> str:
+    return _scaled(f"(6000 + s_suppkey * {step} % 3000)", 4, 5)
+
+
+# Canonical table -> (source, filter, columns).
+PROJECTIONS = {
+    "Store": ("places", None, [
+        "CAST(n_nationkey AS BIGINT) AS StoreID", "concat('Store ', n_name) AS StoreName", "n_name AS City",
+        "r_name AS Province",
+    ]),
+    "Customer": ("customer_home", None, [
+        "c_custkey AS CustomerID", "substring_index(c_name, '#', 1) AS FirstName",
+        "substring_index(c_name, '#', -1) AS LastName",
+        _pick("c_custkey % 3", ["Male", "Female", "Non-binary"]) + " AS Gender",
+        f"{_BIRTH} AS DateOfBirth",
+        f"CAST(floor(datediff(DATE'2012-01-01', {_BIRTH}) / 365D) AS INT) AS Age",
+        "format_string('user%d@example.com', c_custkey % 1400) AS Email",
+        "format_string('555-%04d', c_custkey % 10000) AS Phone",
+        "format_string('%d Main St', c_custkey % 9990 + 10) AS Address",
+        "n_name AS City", "r_name AS Province",
+        "format_string('K%dA%s%dB%d', c_custkey % 10, IF(c_custkey % 2 = 0, ' ', ''), c_custkey % 7, c_custkey % 9)"
+        " AS PostalCode",
+        "date_add(DATE'1990-01-01', CAST(c_custkey % 1500 AS INT)) AS RegistrationDate",
+        "CASE WHEN c_custkey % 20 = 0 THEN 'Suspended' WHEN c_custkey % 20 <= 2 THEN 'Inactive' ELSE 'Active' END"
+        " AS CustomerStatus",
+    ]),
+    "LoyaltyMembership": ("customer", "c_custkey % 50 <> 0", [
+        "c_custkey AS CustomerID", "format_string('LM%06d', c_custkey) AS LoyaltyNumber",
+        f"CAST({_LEVEL} AS BIGINT) AS LoyaltyLevelID",
+        "date_add(DATE'1990-01-01', CAST(c_custkey % 1500 + c_custkey % 100 AS INT)) AS JoinDate",
+        f"{_EARNED} - {_REDEEMED} AS CurrentPoints", f"{_EARNED} AS LifetimePointsEarned",
+        f"{_REDEEMED} AS LifetimePointsRedeemed",
+    ]),
+    "Employee": ("supplier", None, [
+        "s_suppkey AS EmployeeID", "substring_index(s_name, '#', 1) AS FirstName",
+        "substring_index(s_name, '#', -1) AS LastName", _pick("s_suppkey % 5", ROLES) + " AS Role",
+        "CAST(s_nationkey AS BIGINT) AS StoreID",
+    ]),
+    "Product": ("part", None, [
+        "p_partkey AS ProductID", "p_name AS ProductName",
+        f"array_position(array({', '.join(repr(t) for t in PART_TYPES)}), p_type) AS CategoryID", "p_brand AS Brand",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS UnitPrice",
+        "CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 0.6BD AS DECIMAL(10,2)) AS UnitCost",
+    ]),
+    "MarketingCampaign": ("part", None, [
+        "p_partkey AS CampaignID", "concat('Promotion of ', p_name, ' ', p_partkey) AS CampaignName",
+        "p_partkey % 5 + 1 AS MarketingChannelID",
+        "CAST(CASE WHEN p_partkey % 40 >= 30 THEN 1 WHEN p_partkey % 40 >= 15 THEN 2 WHEN p_partkey % 40 > 0 THEN 3"
+        " ELSE 4 END AS BIGINT) AS CampaignTypeID",
+        "date_add(DATE'2024-01-01', CAST(p_partkey % 10 AS INT)) AS StartDate",
+        "date_add(DATE'2024-01-15', CAST(p_partkey % 10 AS INT)) AS EndDate",
+        "CAST(p_partkey % 40 AS DECIMAL(5,2)) AS DiscountPercent",
+    ]),
+    "SalesTransaction": ("orders", None, [
+        "o_orderkey AS TransactionID", "o_custkey AS CustomerID", "o_orderkey % 25 AS StoreID",
+        "o_orderdate AS TransactionDate", "CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS PaymentMethodID",
+        _scaled("CAST(rint(o_totalprice * 100) AS BIGINT)", 2, 10) + " AS TransactionTotal",
+    ]),
+    "SalesTransactionItem": ("lineitem", None, [
+        "l_orderkey * 10 + l_linenumber AS TransactionItemID", "l_orderkey AS TransactionID", "l_partkey AS ProductID",
+        "CAST(l_quantity AS INT) AS Quantity",
+        # whole cents per unit, rounded down
+        _scaled("floor(l_extendedprice * 100 / l_quantity)", 2, 14) + " AS UnitPrice",
+        _scaled(_OFF, 4) + " AS Discount", _scaled(f"({_GROSS} * 100 - {_OFF})", 4) + " AS LineTotal",
+    ]),
+    "CampaignResponse": ("events", None, [
+        "event_id AS ResponseID", "CAST(get_json_object(props, '$.k') AS BIGINT) AS CampaignID",
+        "user_id AS CustomerID", "event_type IN ('view', 'click', 'purchase') AS EmailOpened",
+        "event_type IN ('click', 'purchase') AS CouponUsed", "event_type = 'purchase' AS PurchaseCompleted",
+        "IF(event_type = 'purchase', CAST(value AS DECIMAL(10,2)), CAST(0 AS DECIMAL(10,2))) AS PurchaseAmount",
+        "ts AS ResponseDate",
+    ]),
+    # runs 1 and 2 of the score; no score for every thirtieth customer
+    "CustomerPrediction": ("scored", None, [
+        "c_custkey * 2 + run AS PredictionID", "c_custkey AS CustomerID",
+        "IF(run = 1, TIMESTAMP_NTZ'2024-01-20 06:00:00', TIMESTAMP_NTZ'2024-01-27 06:00:00') AS PredictionDate",
+        _scaled(f"{_POINTS} * 100", 4, 5) + " AS PredictionProbability",
+        f"IF({_POINTS} >= 50, 'Yes', 'No') AS PredictionResult", "'RandomForest' AS MLModel", "'v1.0' AS ModelVersion",
+    ]),
+    "ModelExecution": ("supplier", None, [
+        "s_suppkey AS ExecutionID",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(CAST(s_suppkey % 28 AS INT)) AS ExecutionDate",
+        "'RandomForest' AS Algorithm", f"{_metric(37)} AS Accuracy", f"{_metric(53)} AS Precision_",
+        f"{_metric(71)} AS Recall", f"{_metric(97)} AS F1Score",
+        "CAST(s_suppkey % 600 AS DECIMAL(10,2)) AS ExecutionDurationSeconds",
+    ]),
+    "AIReport": ("documents", None, [
+        "doc_id AS AIReportID", _pick("doc_id % 5", REPORT_TYPES) + " AS ReportType",
+        "IF(doc_id % 5 = 1, doc_id % 100, NULL) AS CampaignID",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(doc_id % 40000 AS INT)) AS GeneratedDate",
+        "'report-model' AS ModelName", "IF(doc_id % 2 = 0, 'v1.0', 'v1.1') AS PromptVersion", "text AS ReportText",
+        "doc_id % 3 = 0 AS Approved",
+    ]),
+}
+
+# Canonical lookup table -> (names, id column, name column).
+LOOKUPS = {
+    "ProductCategory": (PART_TYPES, "CategoryID", "CategoryName"),
+    "LoyaltyLevel": ([n for _, n in SEGMENT_LEVELS.values()], "LoyaltyLevelID", "LevelName"),
+    "PaymentMethod": (PRIORITIES, "PaymentMethodID", "MethodName"),
+    "MarketingChannel": (CHANNELS, "MarketingChannelID", "ChannelName"),
+    "CampaignType": (TYPES, "CampaignTypeID", "TypeName"),
+}
+
+
 def bind(spark: SparkSession, folder: str) -> Tables:
     def raw(name):
         return raw_table(spark, folder, name)
 
-    c = F.col
+    def places():
+        return raw("nation").join(raw("region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
 
-    def nation():
-        return raw("nation").join(raw("region"), c("n_regionkey") == c("r_regionkey"))
-
-    def home():
+    def customer_home():
         # grouped by its key: the optimizer sees at most one match per customer
         # and drops the join from queries that use no place
-        return nation().groupBy("n_nationkey").agg(F.first("n_name").alias("n_name"), F.first("r_name").alias("r_name"))
-
-    key = c("c_custkey")
-    part_key = c("p_partkey")
+        home = places().selectExpr("n_nationkey AS c_nationkey", "struct(n_name, r_name) AS home").groupBy("c_nationkey")
+        return raw("customer").join(home.agg({"home": "first"}), "c_nationkey", "left").selectExpr("*", "`first(home)`.*")
 
-    level = F.lit(0)
-    for segment, (level_id, _) in SEGMENT_LEVELS.items():
-        level = F.when(c("c_mktsegment") == segment, level_id).otherwise(level)
-
-    earned = key * 37 % 20000
-    redeemed = F.floor(earned * (key % 10) / 10)
+    def scored():
+        return raw("customer").where("c_custkey % 30 <> 0").selectExpr("c_custkey", "explode(array(1, 2)) AS run")
 
-    # The doubles hold at most two decimals: whole cents and percents are exact
-    # integers, which become decimals much faster than doubles do.
-    def scaled(units, scale, precision=18):
-        step = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale},{scale})")
-        return (units.cast("decimal(18,0)") * step).cast(f"decimal({precision},{scale})")
+    derived = {"places": places, "customer_home": customer_home, "scored": scored}
 
-    gross_cents = F.rint(c("l_extendedprice") * 100).cast("long")
-    discount_units = gross_cents * F.rint(c("l_discount") * 100).cast("long")
-    # whole cents per unit, rounded down
-    unit_cents = F.floor(c("l_extendedprice") * 100 / c("l_quantity"))
+    def project(source, condition, columns):
+        rows = derived[source]() if source in derived else raw(source)
+        return (rows.where(condition) if condition else rows).selectExpr(*columns)
 
-    bought = c("event_type") == "purchase"
-    # runs 1 and 2 of the score; no score for every thirtieth customer
-    def scored():
-        customers = raw("customer").where(key % 30 != 0)
-        return customers.select(key, F.explode(F.array(F.lit(1), F.lit(2))).alias("run"))
-
-    hundredths = (key * 37 + c("run") * 11) % 101
-    probability = (hundredths.cast("decimal(5,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(5,4)")
-
-    suppkey = c("s_suppkey")
-
-    def metric(step):
-        points = 6000 + suppkey * step % 3000
-        return (points.cast("decimal(5,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(5,4)")
-
-    report_type = _pick(c("doc_id") % 5, REPORT_TYPES)
-
-    return Tables({
-        "Store": lambda: nation().select(
-            c("n_nationkey").cast("long").alias("StoreID"),
-            F.concat(F.lit("Store "), c("n_name")).alias("StoreName"),
-            c("n_name").alias("City"),
-            c("r_name").alias("Province"),
-        ),
-        "ProductCategory": lambda: lookup_table(spark, PART_TYPES, "CategoryID", "CategoryName"),
-        "LoyaltyLevel": lambda: lookup_table(spark, [n for _, n in SEGMENT_LEVELS.values()], "LoyaltyLevelID", "LevelName"),
-        "PaymentMethod": lambda: lookup_table(spark, PRIORITIES, "PaymentMethodID", "MethodName"),
-        "MarketingChannel": lambda: lookup_table(spark, CHANNELS, "MarketingChannelID", "ChannelName"),
-        "CampaignType": lambda: lookup_table(spark, TYPES, "CampaignTypeID", "TypeName"),
-        "Customer": lambda: raw("customer").join(
-            home(), c("c_nationkey") == c("n_nationkey"), "left"
-        ).select(
-            key.alias("CustomerID"),
-            F.substring_index("c_name", "#", 1).alias("FirstName"),
-            F.substring_index("c_name", "#", -1).alias("LastName"),
-            _pick(key % 3, ["Male", "Female", "Non-binary"]).alias("Gender"),
-            _day("1940-01-01", key * 7919 % 22000).alias("DateOfBirth"),
-            E.age_at_load(_day("1940-01-01", key * 7919 % 22000), "2012-01-01").alias("Age"),
-            F.format_string("user%d@example.com", key % 1400).alias("Email"),
-            F.format_string("555-%04d", key % 10000).alias("Phone"),
-            F.format_string("%d Main St", key % 9990 + 10).alias("Address"),
-            c("n_name").alias("City"),
-            c("r_name").alias("Province"),
-            F.format_string(
-                "K%dA%s%dB%d", key % 10, F.when(key % 2 == 0, " ").otherwise(""), key % 7, key % 9
-            ).alias("PostalCode"),
-            _day("1990-01-01", key % 1500).alias("RegistrationDate"),
-            F.when(key % 20 == 0, "Suspended").when(key % 20 <= 2, "Inactive").otherwise("Active").alias(
-                "CustomerStatus"
-            ),
-        ),
-        "LoyaltyMembership": lambda: raw("customer").where(key % 50 != 0).select(
-            key.alias("CustomerID"),
-            F.format_string("LM%06d", key).alias("LoyaltyNumber"),
-            level.cast("long").alias("LoyaltyLevelID"),
-            _day("1990-01-01", key % 1500 + key % 100).alias("JoinDate"),
-            (earned - redeemed).alias("CurrentPoints"),
-            earned.alias("LifetimePointsEarned"),
-            redeemed.alias("LifetimePointsRedeemed"),
-        ),
-        "Employee": lambda: raw("supplier").select(
-            suppkey.alias("EmployeeID"),
-            F.substring_index("s_name", "#", 1).alias("FirstName"),
-            F.substring_index("s_name", "#", -1).alias("LastName"),
-            _pick(suppkey % 5, ROLES).alias("Role"),
-            c("s_nationkey").cast("long").alias("StoreID"),
-        ),
-        "Product": lambda: raw("part").select(
-            part_key.alias("ProductID"),
-            c("p_name").alias("ProductName"),
-            F.array_position(F.array(*[F.lit(t) for t in PART_TYPES]), c("p_type")).alias("CategoryID"),
-            c("p_brand").alias("Brand"),
-            c("p_retailprice").cast("decimal(10,2)").alias("UnitPrice"),
-            (c("p_retailprice").cast("decimal(10,2)") * F.lit("0.6").cast("decimal(2,1)"))
-            .cast("decimal(10,2)")
-            .alias("UnitCost"),
-        ),
-        "MarketingCampaign": lambda: raw("part").select(
-            part_key.alias("CampaignID"),
-            F.concat(F.lit("Promotion of "), c("p_name"), F.lit(" "), part_key.cast("string")).alias("CampaignName"),
-            (part_key % 5 + 1).alias("MarketingChannelID"),
-            (
-                F.when(part_key % 40 >= 30, 1).when(part_key % 40 >= 15, 2).when(part_key % 40 > 0, 3).otherwise(4)
-            ).cast("long").alias("CampaignTypeID"),
-            _day("2024-01-01", part_key % 10).alias("StartDate"),
-            _day("2024-01-15", part_key % 10).alias("EndDate"),
-            (part_key % 40).cast("decimal(5,2)").alias("DiscountPercent"),
-        ),
-        "SalesTransaction": lambda: raw("orders").select(
-            c("o_orderkey").alias("TransactionID"),
-            c("o_custkey").alias("CustomerID"),
-            (c("o_orderkey") % 25).alias("StoreID"),
-            c("o_orderdate").alias("TransactionDate"),
-            F.substring("o_orderpriority", 1, 1).cast("long").alias("PaymentMethodID"),
-            scaled(F.rint(c("o_totalprice") * 100).cast("long"), 2, 10).alias("TransactionTotal"),
-        ),
-        "SalesTransactionItem": lambda: raw("lineitem").select(
-            (c("l_orderkey") * 10 + c("l_linenumber")).alias("TransactionItemID"),
-            c("l_orderkey").alias("TransactionID"),
-            c("l_partkey").alias("ProductID"),
-            c("l_quantity").cast("int").alias("Quantity"),
-            scaled(unit_cents, 2, 14).alias("UnitPrice"),
-            scaled(discount_units, 4).alias("Discount"),
-            scaled(gross_cents * 100 - discount_units, 4).alias("LineTotal"),
-        ),
-        "CampaignResponse": lambda: raw("events").select(
-            c("event_id").alias("ResponseID"),
-            F.get_json_object("props", "$.k").cast("long").alias("CampaignID"),
-            c("user_id").alias("CustomerID"),
-            c("event_type").isin("view", "click", "purchase").alias("EmailOpened"),
-            c("event_type").isin("click", "purchase").alias("CouponUsed"),
-            bought.alias("PurchaseCompleted"),
-            F.when(bought, c("value").cast("decimal(10,2)")).otherwise(F.lit(0).cast("decimal(10,2)")).alias(
-                "PurchaseAmount"
-            ),
-            c("ts").alias("ResponseDate"),
-        ),
-        "CustomerPrediction": lambda: scored().select(
-            (key * 2 + c("run")).alias("PredictionID"),
-            key.alias("CustomerID"),
-            F.when(c("run") == 1, F.lit("2024-01-20 06:00:00").cast("timestamp_ntz"))
-            .otherwise(F.lit("2024-01-27 06:00:00").cast("timestamp_ntz"))
-            .alias("PredictionDate"),
-            probability.alias("PredictionProbability"),
-            E.yes_no(probability.cast("double")).alias("PredictionResult"),
-            F.lit("RandomForest").alias("MLModel"),
-            F.lit("v1.0").alias("ModelVersion"),
-        ),
-        "ModelExecution": lambda: raw("supplier").select(
-            suppkey.alias("ExecutionID"),
-            (
-                F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval((suppkey % 28).cast("int"))
-            ).alias("ExecutionDate"),
-            F.lit("RandomForest").alias("Algorithm"),
-            metric(37).alias("Accuracy"),
-            metric(53).alias("Precision_"),
-            metric(71).alias("Recall"),
-            metric(97).alias("F1Score"),
-            (suppkey % 600).cast("decimal(10,2)").alias("ExecutionDurationSeconds"),
-        ),
-        "AIReport": lambda: raw("documents").select(
-            c("doc_id").alias("AIReportID"),
-            report_type.alias("ReportType"),
-            F.when(c("doc_id") % 5 == 1, c("doc_id") % 100).alias("CampaignID"),
-            (
-                F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-                + F.make_dt_interval(F.lit(0), F.lit(0), (c("doc_id") % 40000).cast("int"))
-            ).alias("GeneratedDate"),
-            F.lit("report-model").alias("ModelName"),
-            F.when(c("doc_id") % 2 == 0, "v1.0").otherwise("v1.1").alias("PromptVersion"),
-            c("text").alias("ReportText"),
-            (c("doc_id") % 3 == 0).alias("Approved"),
-        ),
-    })
+    builders = {name: (lambda spec=spec: project(*spec)) for name, spec in PROJECTIONS.items()}
+    for name, (names, id_column, name_column) in LOOKUPS.items():
+        builders[name] = lambda n=names, i=id_column, c=name_column: lookup_table(spark, n, i, c)
+    return Tables(builders)

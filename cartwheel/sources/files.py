@@ -56,9 +56,9 @@ def register_views(frames: dict[str, DataFrame], prefix: str = "") -> list[str]:
 
 def lookup_table(spark: SparkSession, names: Sequence[str], id_column: str, name_column: str) -> DataFrame:
     """Ids from 1 and names as an inline relation, whose size the planner knows."""
-    entries = F.array(*[F.struct(F.lit(i).cast("long").alias(id_column), F.lit(n).alias(name_column))
-                        for i, n in enumerate(names, 1)])
-    return spark.range(1, numPartitions=1).select(F.inline(entries))
+    quoted = [n.replace("'", "\\'") for n in names]
+    entries = ", ".join(f"named_struct('{id_column}', {i}L, '{name_column}', '{n}')" for i, n in enumerate(quoted, 1))
+    return spark.range(1, numPartitions=1).selectExpr(f"inline(array({entries}))")
 
 
 def seed_table(spark: SparkSession, name: str) -> DataFrame:
