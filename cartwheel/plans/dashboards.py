@@ -242,8 +242,8 @@ def campaign_ranking(tables) -> DataFrame:
                          "PurchaseCompletionRate")
 
 
-def campaign_drillthrough(tables, *, campaign_id) -> DataFrame:
-    """Customer-level responses of one campaign."""
+def campaign_drillthrough(tables, *, campaign_id=None) -> DataFrame:
+    """Customer-level responses of one campaign, or of all."""
     return (
         only_key(tables["CampaignResponse"], "CampaignID", campaign_id)
         .join(tables["Customer"].select("CustomerID", "FirstName", "LastName", "Province"), "CustomerID")

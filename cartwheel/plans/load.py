@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartwheel.functions import expr as E
 from cartwheel.operators import dimensions as D
 from cartwheel.operators.quality import row_counts
-from cartwheel.operators.sinks import with_defaults, write_table
+from cartwheel.operators.sinks import export_csv, with_defaults, write_table
 from cartwheel.sources import files, schemas as S
 
 
@@ -29,49 +32,71 @@ def recompute_age(customers: DataFrame, as_of=None) -> DataFrame:
     return customers.withColumn("Age", E.age_at_load(F.col("DateOfBirth"), as_of))
 
 
-def build_tables(spark: SparkSession, folder: str, *, as_of=None, recompute_ages: bool = True,
-                 case_insensitive: bool = False) -> dict[str, DataFrame]:
-    """Lazy tables of one load.  Lookup texts become ids, lookup tables gain
-    the names they lack, campaign types follow from the discount, transaction
-    totals and ages are recomputed."""
-    read = {name: files.scan_source(spark, folder, name) for name in S.CSV_FILES}
+def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: files.scan_source(spark, folder, name) for name in S.CSV_FILES}
+
+
+def build_lookups(sources: dict[str, DataFrame], case_insensitive: bool = False) -> dict[str, DataFrame]:
+    """Lookup tables: the seeds and the names the sources add to them."""
+    spark = sources["Stores"].sparkSession
     dims = {name: files.seed_table(spark, name) for name in S.SEEDS}
-    resolved = {}
     for name, (text, dim, name_column, id_column) in S.STAGED_FILES.items():
-        dims[dim] = D.upsert_missing(read[name], text, dims[dim], name_column, id_column, case_insensitive)
-        resolved[name] = D.resolve_key(read[name], text, dims[dim], name_column, id_column, case_insensitive)
+        dims[dim] = D.upsert_missing(sources[name], text, dims[dim], name_column, id_column, case_insensitive)
+    return dims
 
-    responses = read["CampaignResponses"]
-    for flag in ("EmailOpened", "CouponUsed", "PurchaseCompleted"):
-        responses = responses.withColumn(flag, F.col(flag).cast("boolean"))
-    customers = read["Customers"]
 
+def build_tables(sources: dict[str, DataFrame], dims: dict[str, DataFrame], *, as_of=None, recompute_ages: bool = True,
+                 case_insensitive: bool = False) -> dict[str, DataFrame]:
+    """Lazy tables of one load.  Lookup texts become ids, campaign types follow
+    from the discount, transaction totals and ages are recomputed."""
+    resolved = {
+        name: D.resolve_key(sources[name], text, dims[dim], name_column, id_column, case_insensitive)
+        for name, (text, dim, name_column, id_column) in S.STAGED_FILES.items()
+    }
+    responses = sources["CampaignResponses"].withColumns(
+        {flag: F.col(flag).cast("boolean") for flag in ("EmailOpened", "CouponUsed", "PurchaseCompleted")}
+    )
+    customers = sources["Customers"]
     tables = {
-        **dims,
-        "Store": read["Stores"],
-        "ProductCategory": read["ProductCategories"],
-        "Product": read["Products"],
+        "Store": sources["Stores"],
+        "ProductCategory": sources["ProductCategories"],
+        "Product": sources["Products"],
         "Customer": recompute_age(customers, as_of) if recompute_ages else customers,
         "LoyaltyMembership": resolved["LoyaltyMemberships"],
-        "Employee": read["Employees"],
+        "Employee": sources["Employees"],
         "MarketingCampaign": D.resolve_campaign_type(resolved["MarketingCampaigns"], dims["CampaignType"]),
-        "SalesTransaction": recompute_totals(resolved["SalesTransactions"], read["SalesTransactionItems"]),
-        "SalesTransactionItem": read["SalesTransactionItems"],
+        "SalesTransaction": recompute_totals(resolved["SalesTransactions"], sources["SalesTransactionItems"]),
+        "SalesTransactionItem": sources["SalesTransactionItems"],
         "CampaignResponse": responses,
     }
     return {name: with_defaults(df, name, as_of) for name, df in tables.items()}
 
 
-def load_full_refresh(spark: SparkSession, folder: str, target: str, **options) -> DataFrame:
+def _side_by_side(write, names) -> None:
+    """Independent tables are written at the same time, so that small ones do
+    not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(write, name) for name in names]:
+            done.result()
+
+
+def _write_all(frames: dict[str, DataFrame], target: str) -> None:
+    _side_by_side(lambda name: write_table(frames[name], target, name), frames)
+
+
+def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_insensitive: bool = False,
+                      **options) -> DataFrame:
     """Load everything into ``target``, replacing an earlier load; returns the
-    row count of each loaded table, as stored.  Running it again gives the same tables.
+    row count of each loaded table, as stored.  Running it again gives the same
+    tables.
 
-    Lookup tables are written first and read back for the foreign keys, so
-    that ids in the facts are the stored ids.
+    Lookup tables are stored first and read back: the facts then carry the
+    stored ids, and their lookup texts are not scanned a second time.
     """
-    tables = build_tables(spark, folder, **options)
-    for name, df in tables.items():
-        write_table(df, target, name)
+    sources = read_sources(spark, folder)
+    _write_all(build_lookups(sources, case_insensitive), target)
+    dims = {name: files.scan_table(spark, target, name) for name in S.SEEDS}
+    _write_all(build_tables(sources, dims, case_insensitive=case_insensitive, **options), target)
     stored = {name: files.scan_table(spark, target, name) for name in S.LOADED_TABLES}
     return row_counts(stored, S.LOADED_TABLES)
 
@@ -79,7 +104,6 @@ def load_full_refresh(spark: SparkSession, folder: str, target: str, **options)
 def export_sources(tables: dict[str, DataFrame], folder: str) -> None:
     """Write canonical tables back as the ten source files (lookup ids become
     their names again), for hand-over to another load."""
-    spark = tables["Customer"].sparkSession
     named = {
         "Stores": tables["Store"],
         "ProductCategories": tables["ProductCategory"],
@@ -94,9 +118,9 @@ def export_sources(tables: dict[str, DataFrame], folder: str) -> None:
     for name, (text, dim, name_column, id_column) in S.STAGED_FILES.items():
         lookup = tables[dim].select(id_column, F.col(name_column).alias(text))
         named[name] = tables[sources[name]].join(lookup, id_column)
-    for name, df in named.items():
-        schema = spark.createDataFrame([], S.CSV_FILES[name]).schema
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-        df.select(*columns).write.mode("errorifexists").option("header", True).option("escape", '"').csv(
-            f"{folder}/{name}.csv"
-        )
+
+    def export(name):
+        schema = StructType.fromDDL(S.CSV_FILES[name])
+        export_csv(named[name].select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), f"{folder}/{name}.csv")
+
+    _side_by_side(export, named)

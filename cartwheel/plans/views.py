@@ -18,17 +18,19 @@ def transaction_facts(transactions: DataFrame) -> DataFrame:
     )
 
 
-def product_facts(transactions: DataFrame, items: DataFrame) -> DataFrame:
+def product_facts(transactions: DataFrame, items: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Distinct products and mean line discount per customer.
 
     The single distinct count is planned as partial aggregates by (customer,
-    product) first, so one customer's lines spread over all tasks.
+    product) first, so one customer's lines spread over all tasks.  With
+    ``approx_distinct`` a sketch counts instead and that shuffle goes away.
     """
+    products = F.approx_count_distinct if approx_distinct else F.count_distinct
     lines = transactions.select("TransactionID", "CustomerID").join(
         items.select("TransactionID", "ProductID", "Discount"), "TransactionID"
     )
     per_customer = lines.groupBy("CustomerID").agg(
-        F.count_distinct("ProductID").alias("NumDistinctProducts"),
+        products("ProductID").alias("NumDistinctProducts"),
         E.money_sum(F.col("Discount"), 4).alias("_discount"),
         F.count("Discount").alias("_lines"),
     )
@@ -56,7 +58,8 @@ def response_facts(responses: DataFrame, exclude_latest: bool = False) -> DataFr
     return facts
 
 
-def customer_analytics(tables, *, as_of=None, exclude_latest: bool = False, customer_id=None) -> DataFrame:
+def customer_analytics(tables, *, as_of=None, exclude_latest: bool = False, customer_id=None,
+                       approx_distinct: bool = False) -> DataFrame:
     """One row per customer: the model input.
 
     Each fact table is aggregated by customer before the join; the joins then
@@ -74,7 +77,7 @@ def customer_analytics(tables, *, as_of=None, exclude_latest: bool = False, cust
         of_customer("Customer").select("CustomerID", "DateOfBirth", "Province")
         .join(only_key(levels, "CustomerID", customer_id), "CustomerID", "left")
         .join(transaction_facts(transactions), "CustomerID", "left")
-        .join(product_facts(transactions, tables["SalesTransactionItem"]), "CustomerID", "left")
+        .join(product_facts(transactions, tables["SalesTransactionItem"], approx_distinct), "CustomerID", "left")
         .join(response_facts(of_customer("CampaignResponse"), exclude_latest), "CustomerID", "left")
     )
     return joined.select(

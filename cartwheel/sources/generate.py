@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
+from cartwheel.operators.sinks import export_csv
 
 # Rows of each id space at scale 1.
 SIZES = {
@@ -225,4 +226,4 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
 def write_sources(frames: Mapping[str, DataFrame], folder: str) -> None:
     """Headered CSV under the source file names."""
     for name, df in frames.items():
-        df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
+        export_csv(df, f"{folder}/{name}.csv")

@@ -76,10 +76,9 @@ def _(t, env):
     return V.prediction_results(t)
 
 
-# The parameter of the procedure: one customer, one campaign.
-@query("customer_metrics", "SELECT * FROM @Analytics WHERE CustomerID = 7")
+@query("customer_metrics", "SELECT * FROM @Analytics")
 def _(t, env):
-    return V.customer_metrics(t, customer_id=7, as_of=ANALYTICS_AS_OF)
+    return V.customer_metrics(t, as_of=ANALYTICS_AS_OF)
 
 
 @query("prediction_dataset", "SELECT * FROM @Analytics")
@@ -356,12 +355,11 @@ def _(t, env):
     return sliced.groupBy("CustomerID").agg(E.money_sum(F.col("TransactionTotal")).alias("TotalSales"))
 
 
-# The drilled-into campaign is the feature.
 @query("campaign_drillthrough", """SELECT r.CampaignID, r.ResponseID, r.CustomerID, c.FirstName, c.LastName, c.Province, r.EmailOpened, r.CouponUsed,
     r.PurchaseCompleted, CAST(r.PurchaseAmount AS DOUBLE) AS PurchaseAmount, r.ResponseDate
-    FROM @CampaignResponse r JOIN @Customer c ON c.CustomerID = r.CustomerID WHERE r.CampaignID = 14""")
+    FROM @CampaignResponse r JOIN @Customer c ON c.CustomerID = r.CustomerID""")
 def _(t, env):
-    return D.campaign_drillthrough(t, campaign_id=14)
+    return D.campaign_drillthrough(t)
 
 
 @query("campaign_ranking", """SELECT rank() OVER (ORDER BY TotalRevenueGenerated DESC) AS RevenueRank, CampaignID, CampaignName, ChannelName,

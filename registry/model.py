@@ -91,7 +91,8 @@ def fitted(t, env):
     return _FITTED[key]
 
 
-@query("train_random_forest")
+@query("train_random_forest", """SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS TrainRows, CAST(200 AS BIGINT) AS Trees, CAST(10 AS BIGINT) AS Features, true AS Timed
+    FROM (SELECT label, count(*) AS n FROM @Features WHERE label IS NOT NULL GROUP BY 1) x""")
 def _(t, env):
     model, seconds, split, _scoring = fitted(t, env)
     return split.where("not is_test").agg(F.count("*").alias("TrainRows")).select(
@@ -128,7 +129,8 @@ def _(t, env):
     return L.score_all(model, scoring)
 
 
-@query("store_scores")
+@query("store_scores", """SELECT (SELECT count(*) FROM @CustomerPrediction) + (SELECT count(*) FROM @Customer) AS Predictions,
+    (SELECT count(*) FROM @CustomerPrediction) + (SELECT count(*) FROM @Customer) AS Ids, (SELECT count(*) FROM @ModelExecution) + 1 AS Executions""")
 def _(t, env):
     model, seconds, split, scoring = fitted(t, env)
     folder = scratch(env, "scores")

@@ -142,3 +142,39 @@ def test_slicers(tiny):
     with pytest.raises(ValueError):
         slice_rows(sales, start="2024-01-01")
     assert slice_rows(tiny["CampaignResponse"], campaign=2).count() == 2
+
+
+def test_approximate_distinct_products(tiny):
+    got = rows(V.customer_analytics(tiny, as_of=AS_OF, approx_distinct=True), "CustomerID")
+    assert [got[i]["NumDistinctProductsPurchased"] for i in (1, 2, 3, 4)] == [2, 1, 0, 0]
+
+
+def test_hot_product_is_split_by_skew_join(spark, tiny):
+    """A third of the lines on one product: the join on products splits it."""
+    lines = spark.range(0, 60_000, numPartitions=8).select(
+        F.col("id").alias("TransactionItemID"), (F.col("id") % 20_000).alias("TransactionID"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5_000).alias("ProductID"),
+        F.lit(1).alias("Quantity"), F.lit("1.00").cast("decimal(10,2)").alias("LineTotal"),
+    )
+    tables = {
+        **tiny, "SalesTransactionItem": lines,
+        "SalesTransaction": spark.range(20_000).selectExpr("id AS TransactionID", "1L AS StoreID", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS TransactionDate"),
+        "Product": spark.range(5_000).selectExpr("id AS ProductID", "id % 2 + 1 AS CategoryID"),
+    }
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        sales = V.sales_performance(tables)
+        assert sales.agg(F.sum("UnitsSold")).first()[0] == 60_000
+        sales.collect()
+        assert "skew=true" in sales._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
