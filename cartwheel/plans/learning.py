@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
+from cartwheel.operators import sinks
 from cartwheel.operators.ordering import hash_positions
+from cartwheel.plans.views import customer_analytics
 from cartwheel.session import materialize
+from cartwheel.sources import files
 
 # The ten features in model order.
 FEATURES = [
@@ -187,3 +190,24 @@ def score_summary(scores: DataFrame) -> DataFrame:
         F.count("*").alias("Scored"), positive.alias("PredictedYes"),
         E.percent(positive, F.count("*")).alias("PredictedYesPct"),
     )
+
+
+def train_and_store(spark, folder: str, *, as_of=None, **settings) -> DataFrame:
+    """The whole run on a stored load: analytics, features, split, fit,
+    evaluation on the test rows, scores for every customer, and both appends.
+    Returns the metrics row; only that row is ever computed for the driver."""
+    tables = files.scan_store(spark, folder)
+    analytics = materialize(customer_analytics(tables, as_of=as_of), "analytics")
+    split = materialize(stratified_split(features(analytics)), "split")
+    model, seconds = train_random_forest(split.where("not is_test"), **settings)
+    metrics = materialize(evaluate_classifier(predict(model, split.where("is_test"))), "metrics")
+    scores = materialize(score_all(model, features(analytics, for_training=False)), "scores")
+    predictions = sinks.prediction_rows(
+        scores, tables["CustomerPrediction"], ml_model=ALGORITHM, model_version=MODEL_VERSION, as_of=as_of
+    )
+    run = sinks.execution_row(
+        metrics, tables["ModelExecution"], algorithm=ALGORITHM, duration_seconds=seconds, as_of=as_of
+    )
+    sinks.write_table(predictions, folder, "CustomerPrediction", "append")
+    sinks.write_table(run, folder, "ModelExecution", "append")
+    return metrics

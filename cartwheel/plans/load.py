@@ -88,7 +88,7 @@ def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_ins
                       **options) -> DataFrame:
     """Load everything into ``target``, replacing an earlier load; returns the
     row count of each loaded table, as stored.  Running it again gives the same
-    tables.
+    tables.  Predictions and reports of the earlier load are cleared.
 
     Lookup tables are stored first and read back: the facts then carry the
     stored ids, and their lookup texts are not scanned a second time.
@@ -96,7 +96,8 @@ def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_ins
     sources = read_sources(spark, folder)
     _write_all(build_lookups(sources, case_insensitive), target)
     dims = {name: files.scan_table(spark, target, name) for name in S.SEEDS}
-    _write_all(build_tables(sources, dims, case_insensitive=case_insensitive, **options), target)
+    tables = build_tables(sources, dims, case_insensitive=case_insensitive, **options)
+    _write_all({**tables, **{name: files.empty_table(spark, name) for name in S.CLEARED_TABLES}}, target)
     stored = {name: files.scan_table(spark, target, name) for name in S.LOADED_TABLES}
     return row_counts(stored, S.LOADED_TABLES)
 

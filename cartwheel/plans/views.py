@@ -131,25 +131,29 @@ def campaign_performance(tables, *, campaign_id=None) -> DataFrame:
     )
 
 
-SALES_GRAIN = ["SalesYear", "SalesMonth", "StoreID", "StoreName", "Province", "CategoryID", "CategoryName"]
+def categorised_lines(tables) -> DataFrame:
+    """Sold lines with store, month and category ids, one row per line.
 
-
-def sales_lines(tables) -> DataFrame:
-    """The star around the sold lines, one row per line.
-
-    The two fact tables meet on the transaction; products and the fixed lookup
-    tables follow.  No side is forced into a broadcast: small ones become one
-    by their measured size, hot products are split by AQE.
+    The two fact tables meet on the transaction, products follow.  No side is
+    forced into a broadcast: a small product table becomes one by its measured
+    size, hot products of a large one are split by AQE.
     """
     sold = (
         tables["SalesTransaction"].select("TransactionID", "StoreID", "TransactionDate")
         .join(tables["SalesTransactionItem"].select("TransactionID", "ProductID", "Quantity", "LineTotal"),
               "TransactionID")
         .join(tables["Product"].select("ProductID", "CategoryID"), "ProductID")
+    )
+    return sold.withColumns({"SalesYear": F.year("TransactionDate"), "SalesMonth": F.month("TransactionDate")})
+
+
+def sales_lines(tables) -> DataFrame:
+    """The whole star around the sold lines."""
+    return (
+        categorised_lines(tables)
         .join(tables["Store"].select("StoreID", "StoreName", "Province"), "StoreID")
         .join(tables["ProductCategory"], "CategoryID")
     )
-    return sold.withColumns({"SalesYear": F.year("TransactionDate"), "SalesMonth": F.month("TransactionDate")})
 
 
 def _sales_measures():
@@ -161,8 +165,17 @@ def _sales_measures():
 
 
 def sales_performance(tables) -> DataFrame:
-    """Year x month x store x category."""
-    return sales_lines(tables).groupBy(*SALES_GRAIN).agg(*_sales_measures())
+    """Year x month x store x category.  Lines are grouped by ids; the names
+    join the small result, not the lines."""
+    grouped = categorised_lines(tables).groupBy("SalesYear", "SalesMonth", "StoreID", "CategoryID").agg(
+        *_sales_measures()
+    )
+    return (
+        grouped.join(tables["Store"].select("StoreID", "StoreName", "Province"), "StoreID")
+        .join(tables["ProductCategory"], "CategoryID")
+        .select("SalesYear", "SalesMonth", "StoreID", "StoreName", "Province", "CategoryID", "CategoryName", "Revenue",
+                "UnitsSold", "TransactionCount")
+    )
 
 
 def sales_rollup(tables, dimensions=("SalesYear", "StoreID", "CategoryID")) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +44,22 @@ def scan_table(spark: SparkSession, folder: str, name: str, columns: Sequence[st
 
 
 def scan_store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every table of a stored model that is present as a mapping by name."""
-    return {name: scan_table(spark, folder, name) for name in S.TABLES}
+    """Every table of a stored load by name; an analytic table that nothing was
+    appended to yet is empty."""
+    tables = {}
+    for name in S.TABLES:
+        try:
+            tables[name] = scan_table(spark, folder, name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND" or name not in S.ANALYTIC_TABLES:
+                raise
+            tables[name] = empty_table(spark, name)
+    return tables
+
+
+def empty_table(spark: SparkSession, name: str) -> DataFrame:
+    """An analytic table without rows."""
+    return spark.createDataFrame([], S.ANALYTIC_TABLES[name])
 
 
 def register_views(frames: dict[str, DataFrame], prefix: str = "") -> list[str]:

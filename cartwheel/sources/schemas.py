@@ -63,6 +63,18 @@ LOADED_TABLES = [
     "SalesTransaction", "SalesTransactionItem", "CampaignResponse",
 ]
 
+# Tables that later runs append to.
+ANALYTIC_TABLES = {
+    "CustomerPrediction": "PredictionID bigint, CustomerID bigint, PredictionDate timestamp_ntz,"
+    " PredictionProbability decimal(5,4), PredictionResult string, MLModel string, ModelVersion string",
+    "AIReport": "AIReportID bigint, ReportType string, CampaignID bigint, GeneratedDate timestamp_ntz, ModelName string,"
+    " PromptVersion string, ReportText string, Approved boolean",
+    "ModelExecution": "ExecutionID bigint, ExecutionDate timestamp_ntz, Algorithm string, Accuracy decimal(5,4),"
+    " Precision_ decimal(5,4), Recall decimal(5,4), F1Score decimal(5,4), ExecutionDurationSeconds decimal(10,2)",
+}
+# Emptied by a full refresh; the log of model runs is kept.
+CLEARED_TABLES = ["CustomerPrediction", "AIReport"]
+
 BI_TABLES = [
     "Customer", "Product", "ProductCategory", "Store", "SalesTransaction", "SalesTransactionItem",
     "MarketingCampaign", "CampaignResponse", "CustomerPrediction", "AIReport", "ModelExecution",
