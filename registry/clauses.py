@@ -17,7 +17,7 @@ from cartwheel.plans import views as V
 from cartwheel.sources.bindings import ANALYTICS_AS_OF, SALES_AS_OF
 from registry.canon import SALES_AS_OF as SALES_SQL
 from registry.canon import age, count_if, days, dollars_text, money, pct, percent_text, ratio
-from registry.core import query
+from registry.core import optional_numbers, query
 
 c = F.col
 
@@ -124,10 +124,10 @@ def _(t, env):
     return t["Customer"].select("CustomerID").join(facts, "CustomerID", "left")
 
 
-@query("join_left_latest", "SELECT c.CustomerID, r.ResponseID, r.ResponseDate FROM @Customer c LEFT JOIN @LatestResponse r ON r.CustomerID = c.CustomerID")
+@query("join_left_latest", "SELECT c.CustomerID, CAST(r.ResponseID AS DOUBLE) AS ResponseID, r.ResponseDate FROM @Customer c LEFT JOIN @LatestResponse r ON r.CustomerID = c.CustomerID")
 def _(t, env):
     newest = latest_per_key(t["CampaignResponse"].select("CustomerID", "ResponseID", "ResponseDate"), "CustomerID", "ResponseDate", "ResponseID")
-    return t["Customer"].select("CustomerID").join(newest, "CustomerID", "left")
+    return optional_numbers(t["Customer"].select("CustomerID").join(newest, "CustomerID", "left"), "ResponseID")
 
 
 @query("join_inner_on_predicate", """SELECT mc.CampaignID, r.ResponseID, CAST(r.PurchaseAmount AS DOUBLE) AS PurchaseAmount

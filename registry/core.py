@@ -39,6 +39,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def optional_numbers(df: DataFrame, *columns: str) -> DataFrame:
+    """Integer columns that hold NULLs, as double: engines hand over missing
+    integers in different ways, missing doubles alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables, env)`` under a name, with SQL when there is one."""
 

@@ -11,7 +11,7 @@ from cartwheel.plans import views as V
 from cartwheel.sources.bindings import ANALYTICS_AS_OF, SALES_AS_OF
 from registry.canon import SALES_AS_OF as SALES_SQL
 from registry.canon import age, count_if, days, money, pct, ratio
-from registry.core import query
+from registry.core import optional_numbers, query
 
 # -- customer functions ---------------------------------------------------------
 
@@ -333,10 +333,10 @@ def _(t, env):
     return D.probability_histogram(t)
 
 
-@query("d6_report_index", """SELECT AIReportID, ReportType, CampaignID, GeneratedDate, PromptVersion, Approved FROM @AIReport
+@query("d6_report_index", """SELECT AIReportID, ReportType, CAST(CampaignID AS DOUBLE) AS CampaignID, GeneratedDate, PromptVersion, Approved FROM @AIReport
     ORDER BY GeneratedDate DESC, AIReportID DESC""")
 def _(t, env):
-    return D.report_index(t)
+    return optional_numbers(D.report_index(t), "CampaignID")
 
 
 # -- spec rows that stand alone ---------------------------------------------------------
@@ -380,11 +380,11 @@ def _(t, env):
     return customers.unionByName(products)
 
 
-@query("agg_sales_rollup", f"""SELECT SalesYear, StoreID, CategoryID, grouping_id(SalesYear, StoreID, CategoryID) AS GroupingLevel,
+@query("agg_sales_rollup", f"""SELECT CAST(l.SalesYear AS DOUBLE) AS SalesYear, CAST(l.StoreID AS DOUBLE) AS StoreID, CAST(l.CategoryID AS DOUBLE) AS CategoryID, grouping_id(l.SalesYear, l.StoreID, l.CategoryID) AS GroupingLevel,
     {money('LineTotal', 4)} AS Revenue, CAST(sum(Quantity) AS BIGINT) AS UnitsSold, count(DISTINCT TransactionID) AS TransactionCount
-    FROM @SoldLines GROUP BY ROLLUP (SalesYear, StoreID, CategoryID)""")
+    FROM @SoldLines l GROUP BY ROLLUP (l.SalesYear, l.StoreID, l.CategoryID)""")
 def _(t, env):
-    return V.sales_rollup(t)
+    return optional_numbers(V.sales_rollup(t), "SalesYear", "StoreID", "CategoryID")
 
 
 @query("agg_value_histogram", """SELECT floor(CAST(TransactionTotal AS DOUBLE) / 10000.0) * 10000.0 AS BinStart, count(*) AS RecordCount

@@ -12,7 +12,7 @@ from cartwheel.session import materialize
 from cartwheel.sources import bindings, files, generate
 from cartwheel.sources.bindings import ANALYTICS_AS_OF
 from registry.canon import count_if, dollars_text, half_up, money, pct, percent_text, ratio
-from registry.core import query, scratch
+from registry.core import optional_numbers, query, scratch
 from registry.storage import _ACCURACY, _CELLS, _F1, _PRECISION, _RECALL, judged
 
 c = F.col
@@ -220,7 +220,7 @@ _PROGRAM = [("Total customers", _str("total_customers")), ("Campaign response ra
             ("Prediction accuracy", percent_text("model_accuracy")), ("Total revenue", dollars_text("total_revenue"))]
 
 
-@query("prompts_batch", f"""SELECT 'Campaign Analysis' AS ReportType, CampaignID, Prompt FROM ({_CAMPAIGN_PROMPT}) a
+@query("prompts_batch", f"""SELECT 'Campaign Analysis' AS ReportType, CAST(CampaignID AS DOUBLE) AS CampaignID, Prompt FROM ({_CAMPAIGN_PROMPT}) a
     UNION ALL SELECT 'Executive Summary', NULL, {_prompt('Summarise the state of this retail campaign program.', *_PROGRAM, ('Active customers', _str('active_customers')), ('Campaigns', _str('total_campaigns')))} FROM ({_OVERALL}) o
     UNION ALL SELECT 'Dashboard Commentary', NULL, {_prompt('Write a comment of under 150 words for a store manager who looks at a dashboard with these figures.', *_PROGRAM)} FROM ({_OVERALL}) o
     UNION ALL SELECT 'Prediction Interpretation', NULL, {_prompt('Explain in plain words what this model can and cannot do for the next campaign.', ('Model', 'algorithm'),
@@ -230,7 +230,7 @@ _PROGRAM = [("Total customers", _str("total_customers")), ("Campaign response ra
         ('Best campaign', 'best_campaign'), ('Its response rate', percent_text('best_campaign_response_rate')), ('Predicted responders', _str('predicted_positive_count')),
         ('Mean discount of successful campaigns', percent_text('avg_discount_on_winners')))} FROM ({_BEST}) b, ({_LATEST_MODEL}) m""")
 def _(t, env):
-    return R.prompts_batch(t)
+    return optional_numbers(R.prompts_batch(t), "CampaignID")
 
 
 def _spot(section):

@@ -16,7 +16,7 @@ from cartwheel.plans import views as V
 from cartwheel.sources import files, schemas as S
 from cartwheel.sources.bindings import ANALYTICS_AS_OF, raw_table
 from registry.canon import AS_OF, CANON, count_if, money, ratio
-from registry.core import query, scratch
+from registry.core import optional_numbers, query, scratch
 
 # -- sources ----------------------------------------------------------------------
 
@@ -210,7 +210,7 @@ def _(t, env):
     return files.scan_table(env.spark, folder, "ModelExecution", ["ExecutionID", "Algorithm", "Accuracy", "Precision_", "Recall", "F1Score"])
 
 
-@query("append_report", f"""SELECT AIReportID, ReportType, CampaignID, GeneratedDate, Approved FROM @AIReport UNION ALL
+@query("append_report", f"""SELECT AIReportID, ReportType, CAST(CampaignID AS DOUBLE) AS CampaignID, GeneratedDate, Approved FROM @AIReport UNION ALL
     SELECT (SELECT max(AIReportID) FROM @AIReport) + row_number() OVER (ORDER BY md5('Campaign Analysis|' || CampaignID)), 'Campaign Analysis', CampaignID,
     {AS_OF}, false FROM @MarketingCampaign""")
 def _(t, env):
@@ -222,7 +222,8 @@ def _(t, env):
     )
     rows = sinks.report_rows(written, stored, model_name="report-model", prompt_version=R.PROMPT_VERSION, as_of=ANALYTICS_AS_OF)
     sinks.write_table(rows, folder, "AIReport", "append")
-    return files.scan_table(env.spark, folder, "AIReport", ["AIReportID", "ReportType", "CampaignID", "GeneratedDate", "Approved"])
+    columns = ["AIReportID", "ReportType", "CampaignID", "GeneratedDate", "Approved"]
+    return optional_numbers(files.scan_table(env.spark, folder, "AIReport", columns), "CampaignID")
 
 
 @query("approve_report", "SELECT AIReportID, ReportText, Approved OR AIReportID = 7 AS Approved FROM @AIReport")
