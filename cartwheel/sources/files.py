@@ -30,11 +30,22 @@ def scan_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return scan_csv(spark, f"{folder}/{name}.csv", S.CSV_FILES[name])
 
 
+# Texts that a data-frame CSV reader takes for missing.
+MISSING_TEXT = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
 def scan_csv_project(spark: SparkSession, folder: str, name: str, columns: Sequence[str]) -> DataFrame:
-    """Named columns in the given order; empty and blank text becomes NULL."""
+    """Named columns in the given order; texts that mean "missing" become NULL."""
     rows = scan_source(spark, folder, name)
     text = {f.name for f in rows.schema.fields if f.dataType.typeName() == "string"}
-    return rows.select(*[F.nullif(F.trim(c), F.lit("")).alias(c) if c in text else F.col(c) for c in columns])
+
+    def normalised(c):
+        return F.when(~F.col(c).isin(MISSING_TEXT), F.col(c)).alias(c) if c in text else F.col(c)
+
+    return rows.select(*[normalised(c) for c in columns])
 
 
 def scan_table(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:

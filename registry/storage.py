@@ -50,8 +50,8 @@ def _(t, env):
 @query("scan_csv_project", """SELECT City, CustomerID, nullif(Gender, 'Non-binary') AS Gender, CAST(DateOfBirth AS VARCHAR) AS DateOfBirth FROM @Customer""")
 def _(t, env):
     names = [c.split()[0] for c in S.CSV_FILES["Customers"].split(", ")]
-    # some blank text, to be read as NULL
-    gender = F.when(F.col("Gender") == "Non-binary", " ").otherwise(F.col("Gender"))
+    # some text that means missing, to be read as NULL
+    gender = F.when(F.col("Gender") == "Non-binary", "NA").otherwise(F.col("Gender"))
     folder = _export(t["Customer"].withColumn("Gender", gender).select(*names), "Customers", env)
     return files.scan_csv_project(env.spark, folder, "Customers", ["City", "CustomerID", "Gender", "DateOfBirth"])
 

@@ -68,10 +68,10 @@ def test_malformed_row_fails_the_read(spark, tmp_path):
         files.scan_source(spark, str(tmp_path), "ProductCategories").collect()
 
 
-def test_blank_text_is_null(spark, tmp_path):
-    (tmp_path / "Stores.csv").write_text("StoreID,StoreName,City,Province\n1, ,,D\n")
-    row = files.scan_csv_project(spark, str(tmp_path), "Stores", ["Province", "City", "StoreName"]).first()
-    assert tuple(row) == ("D", None, None)
+def test_missing_text_is_null(spark, tmp_path):
+    (tmp_path / "Stores.csv").write_text('StoreID,StoreName,City,Province\n1, x ,,NULL\n2,n/a,"",North\n')
+    got = files.scan_csv_project(spark, str(tmp_path), "Stores", ["Province", "City", "StoreName"]).collect()
+    assert [tuple(r) for r in got] == [(None, None, " x "), ("North", None, None)]
 
 
 def test_lookup_spelling(spark):
