@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -322,14 +323,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
                 part = batch.slice(start, 1000)
                 lists = part.column(ids)
                 flat = lists.flatten()
-                lengths = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                known = pa.compute.fill_null(pa.compute.and_(pa.compute.greater_equal(flat, 0), pa.compute.less(flat, size)), False)
+                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, size)), False)
                 spots = known.to_numpy(zero_copy_only=False)
                 if not spots.all():
                     owner = np.repeat(np.arange(len(lengths)), lengths)
                     lengths = np.bincount(owner[spots], minlength=len(lengths))
                     flat = flat.filter(known)
                 tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), names.take(flat))
-                yield _with_column(part, keep, text, pa.compute.binary_join(tokens, " "))
+                yield _with_column(part, keep, text, pc.binary_join(tokens, " "))
 
     return df.select(*keep).mapInArrow(run, schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        size = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(size):
             if i > start and held + n > limit:
@@ -46,7 +47,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
 def joined_texts(column: pa.Array) -> tuple[bytes, list[int]]:
     """All texts of a column as one buffer of bytes, with the n + 1 offsets;
     NULL counts as empty."""
-    texts = [b"" if t is None else t for t in pa.compute.cast(column, pa.binary()).to_pylist()]
+    texts = [b"" if t is None else t for t in pc.cast(column, pa.binary()).to_pylist()]
     offsets = [0]
     for t in texts:
         offsets.append(offsets[-1] + len(t))

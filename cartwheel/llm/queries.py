@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, sharding
-from cartwheel.llm.common import table
+from cartwheel.llm import bpe, language, sharding, toxicity
+from cartwheel.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,33 @@ def op9_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learnt without the held-out fifth of the rows."""
+    learnt = id_remainder("doc_id", 5) != 0
+    return toxicity.fit(docs.where(learnt), labels.where(learnt))
+
+
+@query
+def op5_pu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all texts by positive-unlabelled learning."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, folder, "labels"))
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    """Learnt without the held-out third of the rows."""
+    return language.fit(docs.where(id_remainder("doc_id", 3) != 1))
+
+
+@query
+def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Main language of every text and its share."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    return language.predict(docs.select("doc_id", "text"), language_model(docs)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
