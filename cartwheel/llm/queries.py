@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, sharding, toxicity
+from cartwheel.llm import bpe, language, sharding, simhash, toxicity
 from cartwheel.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,11 @@ def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
     return language.predict(docs.select("doc_id", "text"), language_model(docs)).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_simhash_gray(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words=3, bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
