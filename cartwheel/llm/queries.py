@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, sharding, simhash, toxicity
+from cartwheel.llm import bpe, language, packing, sharding, simhash, toxicity
 from cartwheel.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op2_simhash_gray(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=3, bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query
+def op8_configuration_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 ids."""
+    return packing.pack_texts(table(spark, folder, "documents"), vocabulary_path(), capacity=2048)
