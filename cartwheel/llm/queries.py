@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, packing, sharding, simhash, toxicity
+from cartwheel.llm import bpe, language, packing, sharding, simhash, suffixes, toxicity
 from cartwheel.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,11 @@ def op2_simhash_gray(spark: SparkSession, folder: str) -> DataFrame:
 def op8_configuration_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 ids."""
     return packing.pack_texts(table(spark, folder, "documents"), vocabulary_path(), capacity=2048)
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes seen before."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffixes.without_repeats(docs, depth=100).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
