@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, packing, sharding, simhash, suffixes, toxicity
+from cartwheel.llm import bpe, language, packing, rules, sharding, simhash, suffixes, toxicity
 from cartwheel.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,11 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return suffixes.without_repeats(docs, depth=100).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of every document and the verdict of the learnt rules."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged, _ = rules.judge(docs, table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
