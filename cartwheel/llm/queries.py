@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, packing, rules, sharding, simhash, suffixes, toxicity
+from cartwheel.llm import bpe, language, neighbours, packing, rules, sharding, simhash, suffixes, toxicity
 from cartwheel.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,9 @@ def op3_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     judged, _ = rules.judge(docs, table(spark, folder, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op10_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth embedding."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
