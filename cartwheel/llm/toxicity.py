@@ -9,8 +9,8 @@ risk of calling unlabelled text harmless is therefore corrected by the prior:
 with the logistic loss.  Where the second part is negative, its gradient is
 turned round, which keeps a flexible model from driving it below zero.
 
-Features are words and beginnings of words, hashed.  Those more frequent in
-positive than in unlabelled texts are kept; a feature's value is the logarithm
+Features are words and beginnings of words, hashed.  Those clearly more
+frequent in positive than in unlabelled texts are kept; a feature's value is the logarithm
 of its count times its log-odds, divided by the square root of the text's
 length in words.  A text's score is the sigmoid of a linear function of these.
 """
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ BUCKETS = 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6, 7)
 LEAST_ODDS = 0.5
+LEAST_ERRORS = 2.5  # standard errors by which log-odds must exceed zero
 SCALE = 5.0
 WORDS_KEPT = 300_000  # words remembered by a task; beyond that it starts anew
 
@@ -58,11 +60,11 @@ def _counted(text: str | None) -> tuple[Counter, float]:
 
 
 def _features(df: DataFrame, text: str, kind: str) -> DataFrame:
-    """Rows (kind, spots, counts, norm) of a sample."""
+    """Rows (kind, spots, counts, norm, place) of a sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text, 4 << 20):
-            spots, counts, norms = [], [], []
+            spots, counts, norms, places = [], [], [], []
             for t in batch.column(text).to_pylist():
                 words, norm = _counted(t)
                 total: Counter = Counter()
@@ -73,11 +75,12 @@ def _features(df: DataFrame, text: str, kind: str) -> DataFrame:
                 spots.append(order)
                 counts.append([total[b] for b in order])
                 norms.append(norm)
+                places.append(zlib.crc32(t.encode()) << 31 | len(t))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(kind), pa.array(spots, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())),
-                 pa.array(norms, pa.float64())], names=["kind", "spots", "counts", "norm"])
+                 pa.array(norms, pa.float64()), pa.array(places, pa.int64())], names=["kind", "spots", "counts", "norm", "place"])
 
-    return df.select(F.col(text), F.col(kind).cast("int")).mapInArrow(run, "kind int, spots array<int>, counts array<int>, norm double")
+    return df.select(F.col(text), F.col(kind).cast("int")).mapInArrow(run, "kind int, spots array<int>, counts array<int>, norm double, place long")
 
 
 @dataclass
@@ -103,7 +106,8 @@ def train(positive: Sample, unlabelled: Sample, prior: float, min_texts: int = 1
         return none
     seen_p, seen_u = (np.bincount(s.spots, minlength=BUCKETS) for s in (positive, unlabelled))
     odds = np.log((seen_p + 1) / (n_p + 2)) - np.log((seen_u + 1) / (n_u + 2))
-    kept = np.flatnonzero((odds > LEAST_ODDS) & (seen_p + seen_u >= min_texts))
+    error = np.sqrt(1 / (seen_p + 1) + 1 / (seen_u + 1))
+    kept = np.flatnonzero((odds > LEAST_ODDS) & (odds > LEAST_ERRORS * error) & (seen_p + seen_u >= min_texts))
     if not len(kept):
         return none
     columns = none.columns.copy()
@@ -147,7 +151,7 @@ def train(positive: Sample, unlabelled: Sample, prior: float, min_texts: int = 1
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_positive: int = 4000, max_unlabelled: int = 8000) -> Model:
+        max_positive: int = 2500, max_unlabelled: int = 5000) -> Model:
     """Model from the texts whose ``label`` is 1 and texts without regard to
     a label.
 
@@ -165,13 +169,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     unlabelled = others.join(positive, key, "left_anti").orderBy(order, key).limit(max_unlabelled).withColumn("_kind", F.lit(0))
     # the limits above bound the size of the sample
     sample = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(positive.unionByName(unlabelled)), key)
-    table = _features(sample, text, "_kind").toPandas()
-    table = table.iloc[np.lexsort([table.norm, table.spots.map(lambda x: zlib.crc32(np.asarray(x, np.int32).tobytes()))])]
+    table = _features(sample, text, "_kind").toArrow().combine_chunks()
+    kinds, places = table["kind"].to_numpy(), table["place"].to_numpy()
 
     def side(kind: int) -> Sample:
-        own = table[table.kind == kind]
-        flat = [np.concatenate([np.zeros(0, np.int64), *own[c]]).astype(np.int64) for c in ("spots", "counts")]
-        return Sample(*flat, own.spots.map(len).to_numpy(np.int64), own.norm.to_numpy(np.float64))
+        own = table.take(np.lexsort([places, kinds])[np.sort(kinds) == kind])
+        flat = [pc.list_flatten(own[c]).to_numpy() for c in ("spots", "counts")]
+        return Sample(*flat, pc.list_value_length(own["spots"]).to_numpy(), own["norm"].to_numpy())
 
     return train(side(1), side(0), prior)
 
