@@ -188,8 +188,9 @@ def links(distinct: DataFrame, column: str, bits: int) -> DataFrame:
         _compare(bits), "a long, b long")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 2) -> DataFrame:
-    """One row (key, fingerprint, component) per row of ``df``.
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 2,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row (key, fingerprint, component, columns to ``carry``) per row of ``df``.
 
     ``component`` is the smallest key reachable over fingerprints that differ
     in at most ``bits`` bits, itself included.  Texts that are NULL or without
@@ -198,7 +199,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     without any key is NULL.  Rows with the same key may lie in different
     components.
     """
-    made = stored(fingerprints(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", "_print", words), "fingerprints")
+    kept = [F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)]
+    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), *kept)
+    made = stored(fingerprints(rows, "_text", "_print", words), "fingerprints")
     distinct = made.groupBy("_print").agg(F.min("_key").alias("_least"))
     found = components(links(distinct.select("_print"), "_print", bits), "a", "b")
     rooted = distinct.join(found, distinct["_print"] == found["node"], "left").select(
@@ -207,4 +210,5 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     named = stored(rooted.join(least, "_root").select(F.col("_print").alias("_own"), "component"), "named")
     # a fingerprint of many texts is a hot key of this last join, which Spark splits
     return made.join(named, made["_print"] == named["_own"]).select(
-        F.col("_key").alias(key), F.col("_print").alias("fingerprint"), "component")
+        F.col("_key").alias(key), F.col("_print").alias("fingerprint"), "component",
+        *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)])
