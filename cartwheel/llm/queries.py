@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, neighbours, packing, rules, sharding, simhash, suffixes, toxicity
-from cartwheel.llm.common import id_remainder, table
+from cartwheel.llm import bpe, language, neighbours, packing, passages, rules, sharding, simhash, suffixes, toxicity
+from cartwheel.llm.common import id_remainder, stored, table
+from cartwheel.llm.components import components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +112,14 @@ def op3_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 def op10_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest rows of every twentieth embedding."""
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op1_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words or more that near-repeat in an earlier document, and
+    the component of documents that such passages connect."""
+    found = stored(passages.near_passages(table(spark, folder, "documents"), words=5, least_words=50, similar=0.8), "passages")
+    roots = components(found.select("doc_id", "other"), "doc_id", "other")
+    return found.join(roots, found["doc_id"] == roots["node"]).select(
+        "doc_id", F.col("other").alias("other_doc_id"), "start", "n_words", F.col("other_start").alias("other_start"), "n_other_words",
+        "similarity", F.col("root").alias("component_id"))
