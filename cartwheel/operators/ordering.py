@@ -17,11 +17,8 @@ from cartwheel.session import materialize
 
 # Buckets per ordering.  The windows over bucket totals hold at most this many
 # rows (times the number of groups), whatever the size of the table.
-VALUE_BUCKETS = 256  # a power of two
+VALUE_BUCKETS = 1024  # a power of two
 HASH_DIGITS = 3  # 16 ** 3 buckets
-# A stored table of at most this many rows is ordered by one task; its rows are
-# counted before.
-SMALL_ROWS = 500_000
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -66,28 +63,19 @@ def _with_bucket(df: DataFrame, value: str, cuts: str) -> DataFrame:
 
 
 def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), descending: bool = False,
-                    around: Sequence[float] | None = None, small: int = SMALL_ROWS) -> DataFrame:
+                    around: Sequence[float] | None = None) -> DataFrame:
     """Distinct non-NULL values with ``n`` (rows holding the value), ``ahead``
     (rows before it in the order) and ``size`` (rows in all), per group.
 
     Equal values are counted first, which makes a value that fills a third of
     the table a single row, and the counts are stored, since they are read
-    several times.  Up to ``small`` of them are ordered by one plain window;
-    more go through buckets.  ``groups`` must be few (feature names, not
-    keys).  With ``around``, only values near these quantiles need be kept.
+    several times.  ``groups`` must be few (feature names, not keys).  With ``around``, only values near these quantiles need be kept.
     """
     groups = list(groups)
     counted = materialize(
         df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n")), "values"
     )
     order = F.col(value).desc() if descending else F.col(value).asc()
-    if counted.count() <= small:
-        group = Window.partitionBy(*groups)
-        ahead = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return counted.select(
-            *groups, value, "n", F.sum("n").over(group).alias("size"),
-            F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"),
-        )
     spots = [i / VALUE_BUCKETS for i in range(1, VALUE_BUCKETS)]
     cuts = counted.groupBy(*groups).agg(F.percentile_approx(value, spots, 10_000).alias("_cuts"))
     # at most one row of cuts per group
@@ -110,18 +98,15 @@ def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), desce
     )
 
 
-def global_rank(df: DataFrame, metric: str, rank: str, small: int = SMALL_ROWS) -> DataFrame:
+def global_rank(df: DataFrame, metric: str, rank: str) -> DataFrame:
     """RANK() OVER (ORDER BY metric DESC) on every row of a table of any size;
     rows with a NULL metric come last.
 
-    ``df`` is stored first, since it is read more than once.  Up to ``small``
-    rows one plain window does; beyond that, the ranks of the distinct values
-    are joined back (hot values are split by AQE).
+    ``df`` is stored first, since it is read more than once.  The ranks of the
+    distinct values are joined back (hot values are split by AQE).
     """
     df = materialize(df, "ranked")
-    if df.count() <= small:
-        return df.withColumn(rank, F.rank().over(Window.orderBy(F.col(metric).desc_nulls_last())))
-    positions = value_positions(df, metric, descending=True, small=small)
+    positions = value_positions(df, metric, descending=True)
     known = df.where(F.col(metric).isNotNull()).join(
         positions.select(metric, (F.col("ahead") + 1).alias(rank)), metric
     )
@@ -136,13 +121,12 @@ def _quantile_ranks(p: float) -> tuple[Column, Column]:
     return F.floor(spot), F.ceil(spot)
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = (),
-                    small: int = SMALL_ROWS) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
     """Exact linearly interpolated quantiles, one column ``q0, q1, ..`` per
     probability and one row per group.  Of a large table, only the few buckets
     around the wanted positions are sorted."""
     groups = list(groups)
-    positions = value_positions(df, value, groups, around=probabilities, small=small)
+    positions = value_positions(df, value, groups, around=probabilities)
 
     def at(rank: Column) -> Column:
         here = (F.col("ahead") <= rank) & (rank < F.col("ahead") + F.col("n"))

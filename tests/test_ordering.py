@@ -21,28 +21,25 @@ def skewed(spark):
     return values, df
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_global_rank(skewed, small):
+def test_global_rank(skewed):
     values, df = skewed
-    got = {r.id: r.rk for r in O.global_rank(df, "v", "rk", small=small).collect()}
+    got = {r.id: r.rk for r in O.global_rank(df, "v", "rk").collect()}
     assert [got[i] for i in range(len(values))] == ranked(values)
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_exact_quantiles(skewed, small):
+def test_exact_quantiles(skewed):
     values, df = skewed
     wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
-    row = O.exact_quantiles(df, "v", wanted, small=small).first()
+    row = O.exact_quantiles(df, "v", wanted).first()
     known = [v for v in values if v is not None]
     assert list(row) == pytest.approx([np.quantile(known, p) for p in wanted], abs=1e-9)
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_quantiles_per_group(spark, small):
+def test_quantiles_per_group(spark):
     rng = random.Random(9)
     data = [(g, rng.gauss(0, 10**i)) for i, g in enumerate("abc") for _ in range(301 + i)]
     df = spark.createDataFrame(data, "g string, v double")
-    for r in O.exact_quantiles(df, "v", [0.25, 0.5], ["g"], small=small).collect():
+    for r in O.exact_quantiles(df, "v", [0.25, 0.5], ["g"]).collect():
         mine = [v for g, v in data if g == r.g]
         assert [r.q0, r.q1] == pytest.approx([np.quantile(mine, 0.25), np.quantile(mine, 0.5)])
 
@@ -81,3 +78,14 @@ def test_describe(spark):
     a = {r.feature: r for r in O.describe(df, ["a", "b"]).collect()}["a"]
     assert (a["count"], a["mean"], a["min"], a["p25"], a["p50"], a["p75"], a["max"]) == (10, 4.5, 0.0, 2.25, 4.5, 6.75, 9.0)
     assert a["std"] == pytest.approx(np.std(range(10), ddof=1))
+
+
+def test_no_window_takes_a_whole_table(skewed, capsys):
+    """Windows without PARTITION BY see bucket totals only, never table rows."""
+    _, df = skewed
+    for plan in (O.global_rank(df, "v", "rk"), O.exact_quantiles(df, "v", [0.5]), O.describe(df, ["v"])):
+        plan.explain("extended")
+        text = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical")[0]
+        for line in text.split("\n"):
+            if "Window [" in line and "_bucket" not in line and "_total" not in line:
+                raise AssertionError(line)
