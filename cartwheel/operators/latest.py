@@ -22,6 +22,24 @@ def latest_value(column: str | Column, moment: str, tie: str) -> Column:
     return F.max_by(column, F.struct(moment, tie))
 
 
+# A moment, an id and a flag as one number: microseconds since year 1, then 19
+# digits of the id, then one digit of the flag.
+_EPOCH = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
+
+
+def latest_flag(column: str, moment: str, tie: str) -> Column:
+    """The newest value of a boolean column, NULL included, as the maximum of a
+    fixed-width number: unlike ``max_by`` of a struct it stays in a hash
+    aggregate, without a sort of the rows.  Ids are not negative; a row without
+    a moment counts as the oldest."""
+    micros = F.coalesce(F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, `{moment}`)"), F.lit(0))
+    digit = F.coalesce(F.col(column).cast("int") + 1, F.lit(0))
+    # joined as digits: the widths are fixed, so no arithmetic can overflow
+    packed = F.concat(micros.cast("string"), F.lpad(F.col(tie).cast("string"), 19, "0"), digit.cast("string")).cast("decimal(38,0)")
+    newest = (F.max(packed) % 10).cast("int")
+    return F.when(newest > 0, newest == 2)
+
+
 def latest_row(df: DataFrame, moment: str, tie: str) -> DataFrame:
     """The newest row of the whole table."""
     return df.orderBy(F.col(moment).desc(), F.col(tie).desc()).limit(1)

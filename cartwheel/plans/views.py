@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
-from cartwheel.operators.latest import latest_per_key, latest_value
+from cartwheel.operators.latest import latest_flag, latest_per_key
 from cartwheel.operators.select import only_key
 
 
@@ -48,7 +48,7 @@ def response_facts(responses: DataFrame, exclude_latest: bool = False) -> DataFr
     facts = responses.groupBy("CustomerID").agg(
         F.count("*").alias("NumCampaignsReceived"),
         F.count_if("PurchaseCompleted").alias("_completed"),
-        latest_value("PurchaseCompleted", "ResponseDate", "ResponseID").alias("PurchaseCompleted"),
+        latest_flag("PurchaseCompleted", "ResponseDate", "ResponseID").alias("PurchaseCompleted"),
     )
     if exclude_latest:
         facts = facts.withColumns({
