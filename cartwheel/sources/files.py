@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartwheel.sources import schemas as S
 
@@ -21,6 +22,7 @@ def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .option("escape", '"')
         .option("lineSep", "\n")
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)  # a header that is not the schema's fails
         .csv(path)
     )
 
@@ -38,14 +40,23 @@ MISSING_TEXT = [
 
 
 def scan_csv_project(spark: SparkSession, folder: str, name: str, columns: Sequence[str]) -> DataFrame:
-    """Named columns in the given order; texts that mean "missing" become NULL."""
-    rows = scan_source(spark, folder, name)
-    text = {f.name for f in rows.schema.fields if f.dataType.typeName() == "string"}
-
-    def normalised(c):
-        return F.when(~F.col(c).isin(MISSING_TEXT), F.col(c)).alias(c) if c in text else F.col(c)
-
-    return rows.select(*[normalised(c) for c in columns])
+    """Named columns in the given order, found by the file's header in any
+    order; other columns are ignored, a missing one fails.  Texts that mean
+    "missing" become NULL before the cast; what then is not of the column's
+    type fails the read."""
+    types = {f.name: f.dataType for f in StructType.fromDDL(S.CSV_FILES[name]).fields}
+    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("lineSep", "\n").csv(f"{folder}/{name}.csv")
+    absent = [c for c in columns if c not in rows.columns or c not in types]
+    if absent:
+        raise ValueError(f"{name}.csv has no column {', '.join(absent)}")
+
+    def typed(c):
+        text = F.when(~F.col(c).isin(MISSING_TEXT), F.col(c))
+        value = text.try_cast(types[c])
+        wrong = F.raise_error(F.concat(F.lit(f"{name}.{c}: "), text)).cast(types[c])
+        return F.when(text.isNull() | value.isNotNull(), value).otherwise(wrong).alias(c)
+
+    return rows.select(*[typed(c) for c in columns])
 
 
 def scan_table(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from cartwheel.plans import learning as L
 from cartwheel.plans import load
 from cartwheel.plans import reports as R
 from cartwheel.plans import views as V
+from cartwheel.session import materialize
 from cartwheel.sources import files, schemas as S
 from cartwheel.sources.bindings import ANALYTICS_AS_OF, raw_table
 from registry.canon import AS_OF, CANON, count_if, money, ratio
@@ -99,6 +100,12 @@ _METHODS = """SELECT CAST(i AS BIGINT) AS PaymentMethodID, n AS MethodName FROM
     UNION ALL SELECT 4 + row_number() OVER (ORDER BY md5(o_orderpriority)), o_orderpriority FROM (SELECT DISTINCT o_orderpriority FROM orders) x"""
 
 
+def _stored_lookup(t, env):
+    """The lookup table as a load stores it: its size is then known, so that
+    resolving keys does not shuffle the facts by a handful of names."""
+    return materialize(_upserted(t, env), "lookup")
+
+
 def _upserted(t, env):
     seeds = files.seed_table(env.spark, "PaymentMethod")
     return Dim.upsert_missing(_staged_transactions(t), "PaymentMethod", seeds, "MethodName", "PaymentMethodID")
@@ -111,14 +118,14 @@ def _(t, env):
 
 @query("dim_resolve_fk", f"SELECT o.o_orderkey AS TransactionID, d.PaymentMethodID FROM orders o JOIN ({_METHODS}) d ON d.MethodName = o.o_orderpriority")
 def _(t, env):
-    return Dim.resolve_key(_staged_transactions(t), "PaymentMethod", _upserted(t, env), "MethodName", "PaymentMethodID")
+    return Dim.resolve_key(_staged_transactions(t), "PaymentMethod", _stored_lookup(t, env), "MethodName", "PaymentMethodID")
 
 
 @query("join_lookup_dict", f"SELECT o.o_orderkey AS TransactionID, d.PaymentMethodID FROM orders o JOIN ({_METHODS}) d ON lower(d.MethodName) = lower(o.o_orderpriority)")
 def _(t, env):
     # names in another case match too when asked for
     staged = _staged_transactions(t).withColumn("PaymentMethod", F.lower("PaymentMethod"))
-    return Dim.resolve_key(staged, "PaymentMethod", _upserted(t, env), "MethodName", "PaymentMethodID", case_insensitive=True)
+    return Dim.resolve_key(staged, "PaymentMethod", _stored_lookup(t, env), "MethodName", "PaymentMethodID", case_insensitive=True)
 
 
 _TYPED = "SELECT CampaignID, CampaignTypeID, CAST(DiscountPercent AS DOUBLE) AS DiscountPercent FROM @MarketingCampaign"
