@@ -41,6 +41,7 @@ COMMON = regex.compile("[\x00-\u0557\u1e00-\u206f\u20a0-\u20bf\u3000-\u9fff\uac0
 # The last letter of a word is moved up by this much, so that "last letter"
 # is part of the letter and no token can reach over a word's end.
 LAST = 0x1000
+NO_MERGE = np.iinfo(np.int64).max
 
 
 def byte_letters() -> list[str]:
@@ -102,11 +103,14 @@ class Vocabulary:
         pairs = sorted((x << 32 | y, rank) for (x, y), (rank, _) in self.merges.items())
         self.pair_keys = np.array([p for p, _ in pairs], np.int64)
         self.pair_ranks = np.array([r for _, r in pairs], np.int64)
+        self.made = np.zeros(len(model["merges"]), np.int64)  # token that each merge makes
+        for rank, whole in self.merges.values():
+            self.made[rank] = whole
         self.lengths = np.zeros(size, np.int64)
         self.automaton = ahocorasick.Automaton()
-        for t, i in ids.items():
+        for (t, i), merged in zip(ids.items(), self.merge_words(list(ids))):
             # a token that its own text does not encode to can never appear
-            if self.merge_letters(t) == [i]:
+            if list(merged) == [i]:
                 self.automaton.add_word(t, i)
                 self.lengths[i] = len(t)
         self.automaton.make_automaton()
@@ -117,33 +121,57 @@ class Vocabulary:
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         letters = byte_letters()
         self.letters = str.maketrans({chr(b): letters[b] for b in range(256)})
-        self.space = regex.compile(r"\s+")
-        self.seen: set[int] = set()
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
         self.tokens = Ragged(np.zeros(0, np.int32), np.zeros(0, np.int64))
 
-    def merge_letters(self, word: str) -> list[int]:
-        """Exact merging: the pair of lowest rank first, the leftmost of equals."""
-        ids = [self.base[c] for c in word]
-        while len(ids) > 1:
-            found = [(self.merges[p][0], k) for k, p in enumerate(zip(ids, ids[1:])) if p in self.merges]
-            if not found:
-                break
-            rank, _ = min(found)
-            merged, k = [], 0
-            while k < len(ids):
-                pair = self.merges.get((ids[k], ids[k + 1])) if k + 1 < len(ids) else None
-                if pair and pair[0] == rank:
-                    merged.append(pair[1])
-                    k += 2
-                else:
-                    merged.append(ids[k])
-                    k += 1
-            ids = merged
-        return ids
+    def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair, ``NO_MERGE`` if there is none."""
+        key = a.astype(np.int64) << 32 | b
+        spot = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[spot] == key, self.pair_ranks[spot], NO_MERGE)
+
+    def merge_words(self, words: list[str]) -> list[np.ndarray]:
+        """Exact merging of many words side by side: each round does the next
+        merge of every word that still has one."""
+        ids = np.array([self.base[c] for w in words for c in w], np.int64)
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        rank = np.append(self.pair_rank(ids[:-1], ids[1:]), NO_MERGE)
+        rank[np.flatnonzero(np.diff(owner))] = NO_MERGE
+        done = []
+        while len(ids):
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            least = np.minimum.reduceat(rank, starts)
+            sizes = np.diff(np.append(starts, len(ids)))
+            open_ = np.repeat(least < NO_MERGE, sizes)
+            if not open_.all():
+                done.append((owner[~open_], ids[~open_]))
+                ids, owner, rank = ids[open_], owner[open_], rank[open_]
+                sizes, least = sizes[least < NO_MERGE], least[least < NO_MERGE]
+                if not len(ids):
+                    break
+            hit = rank == np.repeat(least, sizes)
+            if (hit[1:] & hit[:-1]).any():  # as in "aaa": every second one, from the left
+                spots = np.flatnonzero(hit)
+                run = np.flatnonzero(np.diff(spots, prepend=-2) > 1)
+                place = np.arange(len(spots)) - np.repeat(run, np.diff(np.append(run, len(spots))))
+                hit[spots[place % 2 == 1]] = False
+            spots = np.flatnonzero(hit)
+            ids[spots] = self.made[rank[spots]]
+            keep = np.ones(len(ids), bool)
+            keep[spots + 1] = False
+            ids, owner, rank, hit = ids[keep], owner[keep], rank[keep], hit[keep]
+            fresh = np.flatnonzero(hit)
+            fresh = np.union1d(fresh, np.maximum(fresh - 1, 0))
+            fresh = fresh[fresh + 1 < len(ids)]
+            new = self.pair_rank(ids[fresh], ids[fresh + 1])
+            rank[fresh] = np.where(owner[fresh] == owner[fresh + 1], new, NO_MERGE)
+            rank[-1] = NO_MERGE
+        owner, ids = (np.concatenate([d[k] for d in done]) for k in (0, 1))
+        order = np.argsort(owner, kind="stable")
+        return np.split(ids[order].astype(np.int32), np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether each pair of tokens stays two tokens when merged together.
@@ -158,12 +186,8 @@ class Vocabulary:
         strict = np.ones(len(a), bool)  # an equal rank further right waits for the left one
         while len(open_):
             x, y = a[open_], b[open_]
-            key = x << 32 | y
-            spot = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            known = self.pair_keys[spot] == key
-            rank = self.pair_ranks[spot]
-            lim = limit[open_]
-            crossed = known & np.where(strict[open_], rank < lim, rank <= lim)
+            rank, lim = self.pair_rank(x, y), limit[open_]
+            crossed = np.where(strict[open_], rank < lim, rank <= lim) & (rank < NO_MERGE)
             good[open_[crossed]] = False
             rx, ry = self.rank[x], self.rank[y]
             done = crossed | ((rx < 0) & (ry < 0))
@@ -198,7 +222,7 @@ class Vocabulary:
         failed = np.flatnonzero(bad)
         if not len(failed):
             return Ragged(ids, lengths)
-        exact = [np.array(self.merge_letters(words[k]), np.int32) for k in failed]
+        exact = self.merge_words([words[k] for k in failed])
         pieces, at, starts = [], 0, np.concatenate([[0], count])
         for k, mended in zip(failed, exact):
             pieces += [ids[at: starts[k]], mended]
@@ -211,9 +235,8 @@ class Vocabulary:
         if not text.isascii():
             if not COMMON.fullmatch(text):
                 return [w for w, _ in self.split.pre_tokenize_str(self.normalizer.normalize_str(text))]
-            text = unicodedata.normalize("NFC", text)
             # a letter is lowered without regard to its neighbours
-            text = self.space.sub(" ", text).replace("Σ", "σ")
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.word.findall(text.lower())
 
     def encode(self, texts: list[str | None]) -> Ragged:
@@ -300,7 +323,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(content.value)
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, text, 2 << 20):
             rows = vocab.encode(batch.column(text).to_pylist())
             yield _with_column(batch, keep, ids, _list_array(rows))
 
