@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +37,10 @@ def build_session(master: str | None = None, app: str = "cartwheel", **conf: str
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one the cluster names in
-    ``spark.checkpoint.dir``.  A local temporary folder stands in only for a
-    local session that names none."""
+    ``spark.checkpoint.dir``, else a folder in the session's warehouse, which
+    all executors reach too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="cartwheel-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -14,9 +14,10 @@ AS_OF = "2024-02-01 00:00:00"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = build_session("local[8]", "tests", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
-                            spark__ui__showConsoleProgress="false")
+                            spark__ui__showConsoleProgress="false", spark__checkpoint__dir=shared)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
