@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.sources import schemas
 from cartwheel.sources.files import lookup_table
 
 SALES_AS_OF = "2001-08-02 00:00:00"
@@ -20,9 +21,8 @@ SEGMENT_LEVELS = {
 }
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-CHANNELS = ["Email", "SMS", "Mobile App", "Social Media", "Direct Mail"]
-TYPES = ["Deep Discount", "Standard Discount", "Loyalty/Retention", "Awareness"]
-ROLES = ["Cashier", "Store Manager", "Assistant Manager", "Stock Clerk", "Customer Service"]
+CHANNELS, TYPES = (schemas.SEEDS[name][2] for name in ("MarketingChannel", "CampaignType"))
+ROLES = ["Till Lead", "Floor Staff", "Buyer", "Driver", "Analyst"]
 REPORT_TYPES = [
     "Executive Summary", "Campaign Analysis", "Prediction Interpretation", "Business Recommendations",
     "Dashboard Commentary",
@@ -116,7 +116,7 @@ PROJECTIONS = {
         "CASE WHEN c_custkey % 20 = 0 THEN 'Suspended' WHEN c_custkey % 20 <= 2 THEN 'Inactive' ELSE 'Active' END"
         " AS CustomerStatus",
     ]),
-    "LoyaltyMembership": ("customer", "c_acctbal >= 0", [
+    "LoyaltyMembership": ("customer", None, [
         "c_custkey AS CustomerID", "format_string('LM%06d', c_custkey) AS LoyaltyNumber",
         f"CAST({_LEVEL} AS BIGINT) AS LoyaltyLevelID",
         "date_add(DATE'1990-01-01', CAST(c_custkey % 1500 + c_custkey % 100 AS INT)) AS JoinDate",
@@ -209,7 +209,7 @@ def bind(spark: SparkSession, folder: str) -> Tables:
         return raw("customer").join(home.agg({"home": "first"}), "c_nationkey", "left").selectExpr("*", "`first(home)`.*")
 
     def scored():
-        return raw("customer").where("c_acctbal < 9500").selectExpr("c_custkey", "explode(array(1, 2)) AS run")
+        return raw("customer").selectExpr("c_custkey", "explode(array(1, 2)) AS run")
 
     derived = {"places": places, "customer_home": customer_home, "scored": scored}
 

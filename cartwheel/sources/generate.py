@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
 from cartwheel.operators.sinks import export_csv
+from cartwheel.sources.schemas import SEEDS
 
 # Rows of each id space at scale 1.
 SIZES = {
@@ -25,12 +26,18 @@ FIRST_NAMES = ["Ada", "Ben", "Chloe", "Dev", "Elif", "Femi", "Grace", "Hugo", "I
 LAST_NAMES = ["Abbot", "Baker", "Costa", "Dietz", "Evans", "Fischer", "Garcia", "Hansen"]
 CATEGORIES = ["Bread", "Dairy", "Drinks", "Frozen", "Fruit", "Household", "Meat", "Snacks"]
 BRANDS = ["Acorn", "Beacon", "Cobalt", "Daybreak", "Everfresh"]
-ROLES = ["Cashier", "Store Manager", "Stock Clerk"]
-CHANNELS = ["Email", "SMS", "Social Media", "Direct Mail", "Push Notification"]
-PAYMENTS = ["Cash", "Credit Card", "Debit Card", "Mobile Payment"]
-LEVEL_WEIGHTS = [("Bronze", 0.45), ("Silver", 0.30), ("Gold", 0.18), ("Platinum", 0.07)]
-STATUS_WEIGHTS = [("Active", 0.85), ("Inactive", 0.12), ("Suspended", 0.03)]
-LINE_DISCOUNTS = [0, 0, 0, 1, 2, 3, 5, 8]
+ROLES = ["Till Lead", "Floor Staff", "Buyer", "Driver"]
+# One channel and one payment method that no seed holds, so that a
+# load has names to add.
+UNSEEDED_CHANNEL, UNSEEDED_PAYMENT = "Push Notification", "Credit Card"
+CHANNELS = [*SEEDS["MarketingChannel"][2], UNSEEDED_CHANNEL]
+PAYMENTS = [*SEEDS["PaymentMethod"][2], UNSEEDED_PAYMENT]
+LEVEL_WEIGHTS = list(zip(SEEDS["LoyaltyLevel"][2], (0.4, 0.3, 0.2, 0.1)))
+STATUS_WEIGHTS = [("Active", 0.8), ("Inactive", 0.15), ("Suspended", 0.05)]
+LINE_DISCOUNTS = [0, 0, 2, 4]
+COST, MARKUP = (1.0, 60.0), (1.1, 0.9)
+OPENED, COUPON, BUYS, WALKS_IN = 0.5, 0.4, 0.5, 0.1
+
 
 
 class Draw:
@@ -78,7 +85,7 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
     frames (one long column ``id``; foreign keys are drawn from 1..row count)."""
     ids = ids or id_spaces(spark, scale)
     end_day = F.lit(today).cast("date")
-    first_day = F.lit("2024-01-01").cast("date")
+    first_day = F.lit("2024-02-01").cast("date")
 
     def space(name, key):
         return ids[name].select(F.col("id").alias(key)), Draw(key, seed)
@@ -109,8 +116,8 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
         F.concat(F.lit("Item "), F.col("ProductID").cast("string")).alias("ProductName"),
         d.integer("category", 1, len(CATEGORIES)).alias("CategoryID"),
         d.choice("brand", BRANDS).alias("Brand"),
-        d.money("cost", 0.75, 35.0).alias("UnitCost"),
-    ).withColumn("UnitPrice", F.round(F.col("UnitCost") * (F.lit(1.25) + d.uniform("margin") * 0.55), 2)).select(
+        d.money("cost", *COST).alias("UnitCost"),
+    ).withColumn("UnitPrice", F.round(F.col("UnitCost") * (F.lit(MARKUP[0]) + d.uniform("margin") * MARKUP[1]), 2)).select(
         "ProductID", "ProductName", "CategoryID", "Brand", "UnitPrice", "UnitCost"
     )
 
@@ -121,12 +128,11 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
         d.choice("first", FIRST_NAMES).alias("FirstName"),
         d.choice("last", LAST_NAMES).alias("LastName"),
         d.choice("gender", ["Male", "Female", "Non-binary"]).alias("Gender"),
-        F.date_sub(end_day, d.integer("birth", 18 * 365 + 5, 85 * 365).cast("int")).alias("DateOfBirth"),
-        F.format_string("416-555-%04d", d.integer("phone", 1000, 9999)).alias("Phone"),
+        F.date_sub(end_day, d.integer("birth", 20 * 366, 80 * 365).cast("int")).alias("DateOfBirth"),
+        F.format_string("000-%07d", d.integer("phone", 0, 9_999_999)).alias("Phone"),
         city.alias("City"), province.alias("Province"),
-        F.format_string("%s%d%s %d%s%d", d.choice("p1", "ABCEGHJK"), d.integer("p2", 0, 9), d.choice("p3", "LMNPRSTV"),
-                        d.integer("p4", 0, 9), d.choice("p5", "WXYZABCE"), d.integer("p6", 0, 9)).alias("PostalCode"),
-        d.day("registered", F.lit("2019-01-01").cast("date"), end_day).alias("RegistrationDate"),
+        F.format_string("%03d-%03d", d.integer("area", 0, 999), d.integer("block", 0, 999)).alias("PostalCode"),
+        d.day("registered", F.lit("2018-05-01").cast("date"), end_day).alias("RegistrationDate"),
         d.weighted("status", STATUS_WEIGHTS).alias("CustomerStatus"),
     ).withColumns({
         "Age": E.age_years(F.col("DateOfBirth"), today),
@@ -136,7 +142,7 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
     }).select("CustomerID", "FirstName", "LastName", "Gender", "DateOfBirth", "Age", "Email", "Phone", "Address", "City",
               "Province", "PostalCode", "RegistrationDate", "CustomerStatus")
 
-    earned = d.integer("earned", 0, 20_000)
+    earned = d.integer("earned", 0, 9_999)
     memberships = customers.select(
         F.concat(F.lit("LM"), F.lpad(F.col("CustomerID").cast("string"), 6, "0")).alias("LoyaltyNumber"),
         "CustomerID",
@@ -156,32 +162,32 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
     )
 
     def campaign_start(draw):
-        return draw.day("start", first_day, F.date_sub(end_day, 14))
+        return draw.day("start", first_day, F.date_sub(end_day, 20))
 
     def campaign_end(draw):
-        return F.date_add(campaign_start(draw), draw.integer("days", 7, 30).cast("int"))
+        return F.date_add(campaign_start(draw), draw.integer("days", 5, 45).cast("int"))
 
     rows, d = space("MarketingCampaign", "CampaignID")
     campaigns = rows.select(
         "CampaignID",
-        F.format_string("Campaign %03d - %s", F.col("CampaignID"), d.choice("topic", CATEGORIES)).alias("CampaignName"),
+        F.format_string("%s drive %d", d.choice("topic", CATEGORIES), F.col("CampaignID")).alias("CampaignName"),
         d.choice("channel", CHANNELS).alias("Channel"),
         campaign_start(d).alias("StartDate"), campaign_end(d).alias("EndDate"),
-        d.money("discount", 0.0, 50.0).alias("DiscountPercent"),
+        d.money("discount", 0.0, 40.0).alias("DiscountPercent"),
     )
 
     # Each transaction gets one line first; the other lines go round in turn.
     rows, d = space("SalesTransactionItem", "TransactionItemID")
     turn = F.pmod(F.col("TransactionItemID") - 1, size["SalesTransaction"]) + 1
     product = Draw("ProductID", seed)
-    unit_cost = product.money("cost", 0.75, 35.0)
+    unit_cost = product.money("cost", *COST)
     items = rows.select(
         "TransactionItemID", turn.alias("TransactionID"),
         d.integer("product", 1, size["Product"]).alias("ProductID"),
-        d.integer("quantity", 1, 5).alias("Quantity"),
-    ).withColumn("UnitPrice", F.round(unit_cost * (F.lit(1.25) + product.uniform("margin") * 0.55), 2)).withColumn(
+        d.integer("quantity", 1, 6).alias("Quantity"),
+    ).withColumn("UnitPrice", F.round(unit_cost * (F.lit(MARKUP[0]) + product.uniform("margin") * MARKUP[1]), 2)).withColumn(
         "Discount",
-        F.round(d.choice("off", LINE_DISCOUNTS) * F.col("Quantity") * (F.lit(0.5) + d.uniform("spread")), 2),
+        F.round(d.choice("off", LINE_DISCOUNTS) * F.col("Quantity") * (F.lit(0.25) + d.uniform("spread")), 2),
     )
     # a discount never exceeds the line
     gross = F.round(F.col("Quantity") * F.col("UnitPrice"), 2)
@@ -192,7 +198,7 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
         F.sum(F.col("LineTotal").cast("decimal(10,2)")).cast("double").alias("TransactionTotal")
     )
     rows, d = space("SalesTransaction", "TransactionID")
-    minute = d.integer("hour", 8, 21) * 60 + d.integer("minute", 0, 59)
+    minute = d.integer("hour", 9, 20) * 60 + d.integer("minute", 0, 59)
     transactions = rows.select(
         "TransactionID", d.integer("customer", 1, size["Customer"]).alias("CustomerID"),
         d.integer("store", 1, size["Store"]).alias("StoreID"),
@@ -203,18 +209,18 @@ def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, toda
 
     rows, d = space("CampaignResponse", "ResponseID")
     campaign = Draw("CampaignID", seed)
-    opened = d.uniform("opened") < 0.55
-    coupon = opened & (d.uniform("coupon") < 0.35)
-    bought = (coupon & (d.uniform("buys") < 0.6)) | (~coupon & (d.uniform("walks_in") < 0.08))
+    opened = d.uniform("opened") < OPENED
+    coupon = opened & (d.uniform("coupon") < COUPON)
+    bought = (coupon & (d.uniform("buys") < BUYS)) | (~coupon & (d.uniform("walks_in") < WALKS_IN))
     responses = rows.select(
         "ResponseID", d.integer("campaign", 1, size["MarketingCampaign"]).alias("CampaignID"),
         d.integer("customer", 1, size["Customer"]).alias("CustomerID"),
         opened.cast("int").alias("EmailOpened"), coupon.cast("int").alias("CouponUsed"),
         bought.cast("int").alias("PurchaseCompleted"),
-        F.when(bought, d.money("amount", 15.0, 250.0)).otherwise(0.0).alias("PurchaseAmount"),
+        F.when(bought, d.money("amount", 5.0, 300.0)).otherwise(0.0).alias("PurchaseAmount"),
     ).withColumn(
         "ResponseDate",
-        d.day("day", campaign_start(campaign), F.date_add(campaign_end(campaign), 5)).cast("timestamp_ntz"),
+        d.day("day", campaign_start(campaign), F.date_add(campaign_end(campaign), 3)).cast("timestamp_ntz"),
     )
     return {
         "Stores": stores, "ProductCategories": categories, "Products": products, "Customers": customers,

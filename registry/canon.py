@@ -89,10 +89,10 @@ CANON = {
              WHEN 'HOUSEHOLD' THEN 5 ELSE 0 END AS BIGINT) AS LoyaltyLevelID,
         DATE '1990-01-01' + CAST(c_custkey % 1500 + c_custkey % 100 AS INT) AS JoinDate,
         c_custkey * 37 % 20000 AS earned, CAST(floor((c_custkey * 37 % 20000) * (c_custkey % 10) / 10.0) AS BIGINT) AS redeemed
-        FROM customer WHERE c_acctbal >= 0) m""",
+        FROM customer) m""",
     "Employee": """SELECT s_suppkey AS EmployeeID, split_part(s_name, '#', 1) AS FirstName, split_part(s_name, '#', 2) AS LastName,
-        CASE s_suppkey % 5 WHEN 0 THEN 'Cashier' WHEN 1 THEN 'Store Manager' WHEN 2 THEN 'Assistant Manager'
-        WHEN 3 THEN 'Stock Clerk' ELSE 'Customer Service' END AS Role, CAST(s_nationkey AS BIGINT) AS StoreID FROM supplier""",
+        CASE s_suppkey % 5 WHEN 0 THEN 'Till Lead' WHEN 1 THEN 'Floor Staff' WHEN 2 THEN 'Buyer'
+        WHEN 3 THEN 'Driver' ELSE 'Analyst' END AS Role, CAST(s_nationkey AS BIGINT) AS StoreID FROM supplier""",
     "Product": """SELECT p_partkey AS ProductID, p_name AS ProductName,
         CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5
              WHEN 'STANDARD' THEN 6 ELSE 0 END AS BIGINT) AS CategoryID, p_brand AS Brand,
@@ -118,7 +118,7 @@ CANON = {
         CASE run WHEN 1 THEN TIMESTAMP '2024-01-20 06:00:00' ELSE TIMESTAMP '2024-01-27 06:00:00' END AS PredictionDate,
         {_PROB} AS PredictionProbability, CASE WHEN {_PROB} >= 0.5 THEN 'Yes' ELSE 'No' END AS PredictionResult,
         'RandomForest' AS MLModel, 'v1.0' AS ModelVersion
-        FROM customer CROSS JOIN (VALUES (1), (2)) r(run) WHERE c_acctbal < 9500""",
+        FROM customer CROSS JOIN (VALUES (1), (2)) r(run)""",
     "ModelExecution": f"""SELECT s_suppkey AS ExecutionID, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey % 28 AS INT)) AS ExecutionDate,
         'RandomForest' AS Algorithm, {_metric(37)} AS Accuracy, {_metric(53)} AS Precision_, {_metric(71)} AS Recall,
         {_metric(97)} AS F1Score, CAST(s_suppkey % 600 AS DECIMAL(10,2)) AS ExecutionDurationSeconds FROM supplier""",

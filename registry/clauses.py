@@ -266,10 +266,13 @@ def _(t, env):
     return O.median(t["SalesTransactionItem"], "LineTotal").select(c("q0").alias("MedianLineTotal"))
 
 
+_REPORT = ["AIReportID", "ReportType", "CampaignID", "GeneratedDate", "ModelName", "PromptVersion", "ReportText", "Approved"]
+
+
 @query("agg_null_counts", " UNION ALL ".join(
-    f"SELECT 'AIReport' AS TableName, '{n}' AS RuleName, {count_if(f'{n} IS NULL')} AS Violations FROM @AIReport" for n in ("CampaignID", "ReportText", "Approved")))
+    f"SELECT 'AIReport' AS TableName, '{n}' AS RuleName, {count_if(f'{n} IS NULL')} AS Violations FROM @AIReport" for n in _REPORT))
 def _(t, env):
-    return Q.null_counts(t, {"AIReport": ["CampaignID", "ReportText", "Approved"]})
+    return Q.null_counts(t, {"AIReport": _REPORT})
 
 
 @query("agg_dup_count", "SELECT count(*) - count(DISTINCT TransactionItemID) AS DuplicateCount FROM @SalesTransactionItem")

@@ -269,7 +269,8 @@ _GENERATED = {"Stores": "nation", "Products": "part", "Customers": "customer", "
 
 
 @query("gen_dataset", " UNION ALL ".join(
-    f"SELECT '{name}' AS FileName, count(*) AS RecordCount, CAST(0 AS BIGINT) AS BrokenRows FROM {source}" for name, source in _GENERATED.items()))
+    f"SELECT '{name}' AS FileName, count(*) AS RecordCount, CAST(0 AS BIGINT) AS BrokenRows FROM {source}" for name, source in _GENERATED.items())
+    + f" UNION ALL SELECT 'ProductCategories', CAST({len(generate.CATEGORIES)} AS BIGINT), CAST(0 AS BIGINT)")
 def _(t, env):
     # one generated row per row of the given tables
     def ids(name, key):
@@ -286,6 +287,7 @@ def _(t, env):
         "Customers": ~c("Age").between(18, 85) | (c("RegistrationDate") > "2024-12-31"),
         "LoyaltyMemberships": (c("CurrentPoints") < 0) | (c("LifetimePointsRedeemed") > c("LifetimePointsEarned")),
         "Products": (c("UnitPrice") < c("UnitCost")),
+        "ProductCategories": c("CategoryID").isNull() | c("CategoryName").isNull(),
         "MarketingCampaigns": (c("EndDate") < c("StartDate")) | ~c("DiscountPercent").between(0, 50),
         "SalesTransactions": ~F.hour("TransactionDate").between(8, 21) | (c("TransactionTotal") < 0),
         "SalesTransactionItems": F.abs(c("Quantity") * c("UnitPrice") - c("Discount") - c("LineTotal")) > 0.005,
@@ -294,7 +296,7 @@ def _(t, env):
     results = [
         frames[name].agg(F.count("*").alias("RecordCount"), F.count_if(broken.get(name, F.lit(False))).alias("BrokenRows")).select(
             F.lit(name).alias("FileName"), "RecordCount", "BrokenRows"
-        ) for name in _GENERATED
+        ) for name in [*_GENERATED, "ProductCategories"]
     ]
     total = results[0]
     for more in results[1:]:

@@ -21,13 +21,18 @@ def _(t, env):
     return Q.table_existence(t, S.TABLES)
 
 
-# The expectation is the scale of the test tables: 25 stores, 6 categories.
+# Rows of a full dataset.
+_EXPECTED = {
+    "Store": 25, "ProductCategory": 18, "Product": 500, "Customer": 5_000, "LoyaltyMembership": 5_000, "Employee": 250, "MarketingCampaign": 40,
+    "SalesTransaction": 75_000, "SalesTransactionItem": 250_000, "CampaignResponse": 18_000,
+}
+
+
 @query("dq_row_counts", _union(
     f"SELECT '{n}' AS TableName, count(*) AS RecordCount, CAST({v} AS BIGINT) AS Expected, count(*) = {v} AS Matches FROM @{n}"
-    for n, v in [("Store", 25), ("ProductCategory", 18), ("Product", 500), ("Customer", 5000), ("SalesTransaction", 75000)]))
+    for n, v in _EXPECTED.items()))
 def _(t, env):
-    expected = {"Store": 25, "ProductCategory": 18, "Product": 500, "Customer": 5000, "SalesTransaction": 75000}
-    return Q.compare_counts(Q.row_counts(t, list(expected)), expected)
+    return Q.compare_counts(Q.row_counts(t, list(_EXPECTED)), _EXPECTED)
 
 
 def _orphans(keys):
@@ -149,11 +154,15 @@ def _(t, env):
     return Q.shared_values(t["Customer"], "Email")
 
 
+_CONSTANT = {"CustomerPrediction": ["PredictionDate", "PredictionResult", "MLModel", "ModelVersion"], "SalesTransaction": ["TransactionTotal"]}
+
+
 @query("dq_constant_column", _union(
-    f"SELECT '{c}' AS ColumnName, coalesce(count(DISTINCT {c}) = 1, false) AS IsConstant, count({c}) AS NonNullRows FROM @CustomerPrediction"
-    for c in ("PredictionDate", "PredictionResult", "MLModel", "ModelVersion")))
+    f"SELECT '{c}' AS ColumnName, coalesce(count(DISTINCT {c}) = 1, false) AS IsConstant, count({c}) AS NonNullRows FROM @{n}"
+    for n, columns in _CONSTANT.items() for c in columns))
 def _(t, env):
-    return Q.constant_columns(t["CustomerPrediction"], ["PredictionDate", "PredictionResult", "MLModel", "ModelVersion"])
+    first, second = (Q.constant_columns(t[n], columns) for n, columns in _CONSTANT.items())
+    return first.unionByName(second)
 
 
 @query("dq_stale_age", f"""SELECT CustomerID, Age, {age('DateOfBirth')} AS CurrentAge, Age < 18 AS StoredUnder18 FROM @Customer

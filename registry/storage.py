@@ -265,7 +265,7 @@ def _(t, env):
     return Q.row_counts(t, S.LOADED_TABLES)
 
 
-_STATISTICS = ["customer", "orders", "lineitem", "events"]
+_STATISTICS = ["customer", "orders", "lineitem", "events", "supplier"]
 
 
 @query("refresh_statistics", " UNION ALL ".join(
