@@ -17,8 +17,8 @@ equal go on to the next digit:
 
 Rows are combined within a chunk of text before the first shuffle, so that a
 passage found in a third of all documents is one row per chunk.  In the last
-pass a crowded anchor is cut by position; what its parts have not settled
-meets again string by string.
+pass the contexts of a crowded anchor are dealt to blocks; what its blocks have
+not settled meets again string by string.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from cartwheel.llm.common import chunks, joined_texts, stored
 
 DIGIT = 24
+BLOCK = 32  # contexts of an anchor compared in one place
 SLICE = 1 << 18  # bytes hashed at a time
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse
 
@@ -188,65 +189,83 @@ def repeats(df: DataFrame, key: str, text: str, depth: int = 100, digit: int = D
     dealt = docs.mapInArrow(first_pass, schema).repartition("h")
     order = Window.partitionBy("h", "whole").orderBy(F.col("_key").asc_nulls_first(), "_print", "first")
     group = Window.partitionBy("h")
-    judged = dealt.withColumn("late", F.rank().over(order) > 1).withColumn("contexts", F.min("whole").over(group) != F.max("whole").over(group))
-    found = stored(judged.where((F.col("kind") == 1) | F.col("late") | F.col("contexts")).select(
-        "_key", "_print", "h", "first", "last", ((F.col("kind") == 1) | F.col("late")).alias("settled")), "repeats")
+    judged = dealt.withColumn("late", F.rank().over(order) > 1).withColumn(
+        "context", F.dense_rank().over(group.orderBy("whole")) - 1).withColumn("contexts", F.max("context").over(group) + 1)
+    found = stored(judged.where((F.col("kind") == 1) | F.col("late") | (F.col("contexts") > 1)).select(
+        "_key", "_print", "h", "first", "last", ((F.col("kind") == 1) | F.col("late")).alias("settled"),
+        F.expr(f"context div {BLOCK}").cast("int").alias("block"), (F.col("contexts") > BLOCK).alias("open")), "repeats")
     settled = found.where("settled").select("_key", "_print", "first", "last")
-    asked = found.where("not settled").groupBy("_key", "_print").agg(F.collect_list(F.struct("h", "first", "last")).alias("_asked"))
+    asked = found.where("not settled").groupBy("_key", "_print").agg(F.collect_list(F.struct("h", "first", "last", "block", "open")).alias("_asked"))
     # the rows of one text, bounded by its length
     asked = asked.select(F.col("_key").alias("_key2"), F.col("_print").alias("_print2"), "_asked")
     contexts_schema = T.StructType([T.StructField("_key", kind), *T._parse_datatype_string(
-        "_print long, h long, first long, last long, context binary").fields])
+        "_print long, h long, first long, last long, block int, open boolean, context binary").fields])
 
     def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "_text"):
             lists = batch.column("_asked")
             of = pa.array(np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy()))
-            h, first, last = (pc.struct_field(lists.flatten(), [k]).to_numpy() for k in range(3))
+            h, first, last, block, open_ = (pc.struct_field(lists.flatten(), [k]).to_numpy(zero_copy_only=False) for k in range(5))
             data, offsets = joined_texts(batch.column("_text"))
             base = np.array(offsets)[of.to_numpy()]
             parts = [data[a:b] for a, b in zip((base + first).tolist(), (base + last + depth).tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_key").take(of), batch.column("_print").take(of), pa.array(h), pa.array(first), pa.array(last),
-                 pa.array(parts, pa.binary())], names=contexts_schema.names)
+                 pa.array(block), pa.array(open_), pa.array(parts, pa.binary())], names=contexts_schema.names)
 
     contexts = docs.join(asked, docs["_key"].eqNullSafe(asked["_key2"]) & (docs["_print"] == asked["_print2"])).select(
         "_key", "_print", "_text", "_asked").mapInArrow(cut_contexts, contexts_schema)
-    by_place = [F.col("h"), F.col("_key").asc_nulls_first(), F.col("_print"), F.col("first")]
 
     def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole_batch in batches:
-            for batch in chunks(iter([whole_batch]), "context", 1 << 20):
-                h, first, last, prints = (batch.column(c).to_numpy() for c in ("h", "first", "last", "_print"))
-                data, offsets = joined_texts(batch.column("context"))
-                data = np.frombuffer(data, np.uint8)
-                count = last - first + 1
-                of = np.repeat(np.arange(len(h)), count)
-                shift = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                begin = np.array(offsets)[of] + shift
-                table = Hasher(len(data) + 1) if len(data) > 4 * SLICE else hasher(4 * SLICE)
-                string = mix(table.hash(table.sums(data), begin, begin + depth)).view(np.int64)
-                place = _places(batch.column("_key"), prints)
-                late = _later([], [h[of], string], [place[of], first[of] + shift])
-                # an anchor at the rim of the batch may have more rows elsewhere
-                open_ = ~late & ((h[of] == h[0]) | (h[of] == h[-1]))
-                for kind, use in ((1, late), (0, open_)):
-                    if use.any():
-                        at, o = first[of[use]] + shift[use], of[use]
-                        if kind:
-                            cut = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (at[1:] != at[:-1] + 1)))
-                            end = at[np.append(cut[1:], len(o)) - 1]
-                            o, at = o[cut], at[cut]
-                            yield rows(batch.column("_key"), o, 1, mix(prints[o].view(np.uint64) + at.astype(np.uint64)).view(np.int64),
-                                       np.zeros(len(o), np.int64), prints[o], at, end)
-                        else:
-                            yield rows(batch.column("_key"), o, 0, h[o], string[use], prints[o], at, at)
-
-    strings = contexts.repartitionByRange(*by_place).sortWithinPartitions(*by_place).mapInArrow(last_pass, schema)
+        for batch in _whole_blocks(batches):
+            h, first, last, prints, block = (batch.column(c).to_numpy() for c in ("h", "first", "last", "_print", "block"))
+            data, offsets = joined_texts(batch.column("context"))
+            data = np.frombuffer(data, np.uint8)
+            count = last - first + 1
+            of = np.repeat(np.arange(len(h)), count)
+            shift = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            begin = np.array(offsets)[of] + shift
+            table = Hasher(len(data) + 1) if len(data) > 8 * SLICE else hasher(8 * SLICE)
+            string = mix(table.hash(table.sums(data), begin, begin + depth)).view(np.int64)
+            place = _places(batch.column("_key"), prints)
+            late = _later([], [h[of], block[of], string], [place[of], first[of] + shift])
+            # other blocks of the same anchor may hold what this one holds for the first time
+            open_ = ~late & batch.column("open").to_numpy(zero_copy_only=False)[of]
+            if late.any():
+                o, at = of[late], (first[of] + shift)[late]
+                cut = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (at[1:] != at[:-1] + 1)))
+                end = at[np.append(cut[1:], len(o)) - 1]
+                o, at = o[cut], at[cut]
+                yield rows(batch.column("_key"), o, 1, mix(prints[o].view(np.uint64) + at.astype(np.uint64)).view(np.int64),
+                           np.zeros(len(o), np.int64), prints[o], at, end)
+            if open_.any():
+                o, at = of[open_], (first[of] + shift)[open_]
+                yield rows(batch.column("_key"), o, 0, h[o], string[open_], prints[o], at, at)
+
+    strings = contexts.repartition("h", "block").sortWithinPartitions("h", "block").mapInArrow(last_pass, schema)
     judged = strings.withColumn("late", F.rank().over(order) > 1)
     return settled.unionByName(judged.where((F.col("kind") == 1) | F.col("late")).select("_key", "_print", "first", "last"))
 
 
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that no block (rows with the same h and block) is in two."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, block = (batch.column(c).to_numpy() for c in ("h", "block"))
+        other = np.flatnonzero((h != h[-1]) | (block != block[-1]))
+        begin = int(other[-1]) + 1 if len(other) else 0
+        if held and (begin or (held[-1].column("h")[-1], held[-1].column("block")[-1]) != (batch.column("h")[-1], batch.column("block")[-1])):
+            yield pa.concat_batches([*held, batch.slice(0, begin)])
+            held = []
+        elif begin:
+            yield batch.slice(0, begin)
+        held.append(batch.slice(begin))
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _identified(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_print"), F.col(text).alias("_text"))
 
