@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
@@ -134,15 +134,15 @@ def campaign_performance(tables, *, campaign_id=None) -> DataFrame:
 def categorised_lines(tables) -> DataFrame:
     """Sold lines with store, month and category ids, one row per line.
 
-    The two fact tables meet on the transaction, products follow.  No side is
-    forced into a broadcast: a small product table becomes one by its measured
-    size, hot products of a large one are split by AQE.
+    Products come first and transactions last, so that the lines end up
+    partitioned by transaction.  No side is forced into a broadcast: a small
+    product table becomes one by its measured size, hot products of a large
+    one are split by AQE.
     """
     sold = (
-        tables["SalesTransaction"].select("TransactionID", "StoreID", "TransactionDate")
-        .join(tables["SalesTransactionItem"].select("TransactionID", "ProductID", "Quantity", "LineTotal"),
-              "TransactionID")
+        tables["SalesTransactionItem"].select("TransactionID", "ProductID", "Quantity", "LineTotal")
         .join(tables["Product"].select("ProductID", "CategoryID"), "ProductID")
+        .join(tables["SalesTransaction"].select("TransactionID", "StoreID", "TransactionDate"), "TransactionID")
     )
     return sold.withColumns({"SalesYear": F.year("TransactionDate"), "SalesMonth": F.month("TransactionDate")})
 
@@ -156,45 +156,64 @@ def sales_lines(tables) -> DataFrame:
     )
 
 
-def _sales_measures():
-    return [
-        E.money_sum(F.col("LineTotal"), 4).alias("Revenue"),
+TRANSACTION_DIMENSIONS = ["SalesYear", "SalesMonth", "StoreID"]
+
+
+def sales_cells(tables, dimensions) -> DataFrame:
+    """One row per combination of the dimensions (of a transaction, and
+    CategoryID): revenue, units, ``_in`` (transactions with a line there) and
+    ``_first`` (transactions counted in one of their cells only).
+
+    A transaction has one date and one store, so only categories repeat it.
+    Lines are combined by transaction and category where the join has put
+    them; what is shuffled after that is summed map-side, and nothing is
+    shuffled by transaction twice.
+    """
+    own = [d for d in TRANSACTION_DIMENSIONS if d in dimensions]
+    if set(dimensions) - {*own, "CategoryID"}:
+        raise ValueError("dimensions are a transaction's or CategoryID")
+    per_category = categorised_lines(tables).groupBy("TransactionID", *own, "CategoryID").agg(
+        F.sum(F.col("LineTotal").cast("decimal(18,4)")).alias("LineTotal"), F.sum("Quantity").alias("Quantity")
+    )
+    first = F.col("CategoryID").eqNullSafe(F.min("CategoryID").over(Window.partitionBy("TransactionID")))
+    return per_category.withColumn("_is_first", first).groupBy(*dimensions).agg(
+        F.sum("LineTotal").alias("Revenue"),
         F.sum("Quantity").alias("UnitsSold"),
-        F.count_distinct("TransactionID").alias("TransactionCount"),
-    ]
+        F.count("*").alias("_in"),
+        F.count_if("_is_first").alias("_first"),
+    )
 
 
 def sales_performance(tables) -> DataFrame:
     """Year x month x store x category.  Lines are grouped by ids; the names
     join the small result, not the lines."""
-    grouped = categorised_lines(tables).groupBy("SalesYear", "SalesMonth", "StoreID", "CategoryID").agg(
-        *_sales_measures()
-    )
+    cells = sales_cells(tables, ["SalesYear", "SalesMonth", "StoreID", "CategoryID"])
     return (
-        grouped.join(tables["Store"].select("StoreID", "StoreName", "Province"), "StoreID")
+        cells.join(tables["Store"].select("StoreID", "StoreName", "Province"), "StoreID")
         .join(tables["ProductCategory"], "CategoryID")
-        .select("SalesYear", "SalesMonth", "StoreID", "StoreName", "Province", "CategoryID", "CategoryName", "Revenue",
-                "UnitsSold", "TransactionCount")
+        .select("SalesYear", "SalesMonth", "StoreID", "StoreName", "Province", "CategoryID", "CategoryName",
+                F.col("Revenue").cast("double").alias("Revenue"), "UnitsSold", F.col("_in").alias("TransactionCount"))
     )
 
 
 def sales_rollup(tables, dimensions=("SalesYear", "StoreID", "CategoryID")) -> DataFrame:
     """Subtotals over the dimensions, last one first.  A transaction that
-    spans categories counts once in every subtotal, so the distinct count is
-    taken per level and never added up.
-
-    Lines are first combined per transaction and dimension combination; the
-    rollup then expands these, not the raw lines.
-    """
+    spans categories counts once in every subtotal: in its cell where the level
+    tells categories apart, else in its first cell only.  What is rolled up
+    are the cells, not lines or transactions."""
     dims = list(dimensions)
-    per_transaction = sales_lines(tables).groupBy(*dims, "TransactionID").agg(
-        F.sum(F.col("LineTotal").cast("decimal(18,4)")).alias("LineTotal"), F.sum("Quantity").alias("Quantity")
-    )
-    return per_transaction.rollup(*dims).agg(
+    cells = sales_cells(tables, dims)
+    for table, key in (("Store", "StoreID"), ("ProductCategory", "CategoryID")):
+        if key in dims:  # sales of an unknown store or category are left out, as in the other views
+            cells = cells.join(tables[table].select(key), key, "left_semi")
+    count = F.sum("_in")
+    if "CategoryID" in dims:
+        count = F.when(F.grouping("CategoryID") == 1, F.sum("_first")).otherwise(F.sum("_in"))
+    return cells.rollup(*dims).agg(
         F.grouping_id().alias("GroupingLevel"),
-        F.sum("LineTotal").cast("double").alias("Revenue"),
-        F.sum("Quantity").alias("UnitsSold"),
-        F.count_distinct("TransactionID").alias("TransactionCount"),
+        F.sum("Revenue").cast("double").alias("Revenue"),
+        F.sum("UnitsSold").alias("UnitsSold"),
+        count.alias("TransactionCount"),
     )
 
 

@@ -81,6 +81,20 @@ def _(t, env):
     return V.customer_metrics(t, as_of=ANALYTICS_AS_OF)
 
 
+# The key is the feature of these two and of the campaign queries below.
+KEY = 7
+
+
+@query("customer_metrics_of_key", f"SELECT * FROM @Analytics WHERE CustomerID = {KEY}")
+def _(t, env):
+    return V.customer_metrics(t, customer_id=KEY, as_of=ANALYTICS_AS_OF)
+
+
+@query("campaign_summary_of_key", f"SELECT * FROM @Performance WHERE CampaignID = {KEY}")
+def _(t, env):
+    return V.campaign_summary(t, campaign_id=KEY)
+
+
 @query("prediction_dataset", "SELECT * FROM @Analytics")
 def _(t, env):
     return V.prediction_dataset(t, as_of=ANALYTICS_AS_OF)
@@ -355,13 +369,21 @@ def _(t, env):
     return sliced.groupBy("CustomerID").agg(E.money_sum(F.col("TransactionTotal")).alias("TotalSales"))
 
 
-@query("campaign_drillthrough", """SELECT r.CampaignID, r.ResponseID, r.CustomerID, c.FirstName, c.LastName, c.Province, r.EmailOpened, r.CouponUsed,
+_DRILL = """SELECT r.CampaignID, r.ResponseID, r.CustomerID, c.FirstName, c.LastName, c.Province, r.EmailOpened, r.CouponUsed,
     r.PurchaseCompleted, CAST(r.PurchaseAmount AS DOUBLE) AS PurchaseAmount, r.ResponseDate
-    FROM @CampaignResponse r JOIN @Customer c ON c.CustomerID = r.CustomerID""")
+    FROM @CampaignResponse r JOIN @Customer c ON c.CustomerID = r.CustomerID"""
+
+
+@query("campaign_drillthrough", _DRILL)
 def _(t, env):
     return D.campaign_drillthrough(t)
 
 
+@query("campaign_drillthrough_of_key", f"{_DRILL} WHERE r.CampaignID = {KEY}")
+def _(t, env):
+    return D.campaign_drillthrough(t, campaign_id=KEY)
+
+
 @query("campaign_ranking", """SELECT rank() OVER (ORDER BY TotalRevenueGenerated DESC) AS RevenueRank, CampaignID, CampaignName, ChannelName,
     TotalRevenueGenerated, PurchaseCompletionRate FROM @Performance""")
 def _(t, env):

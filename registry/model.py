@@ -106,6 +106,23 @@ def _(t, env):
     return L.feature_importance(fitted(t, env)[0], env.spark)
 
 
+@query("feature_importance_sums", "SELECT CAST(10 AS BIGINT) AS Features, true AS NonNegative, true AS SumsToOne")
+def _(t, env):
+    named = L.feature_importance(fitted(t, env)[0], env.spark)
+    value = [f.name for f in named.schema.fields if f.dataType.typeName() == "double"][0]
+    return named.agg(F.count_distinct(named.columns[0]).alias("Features"), (F.min(value) >= 0).alias("NonNegative"),
+                     (F.abs(F.sum(value) - 1) < 1e-9).alias("SumsToOne"))
+
+
+@query("test_confusion_sums", """SELECT CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS TestRows, CAST(sum(CASE WHEN label = 1 THEN floor(n * 0.2 + 0.5) END) AS BIGINT) AS Positive
+    FROM (SELECT label, count(*) AS n FROM @Features WHERE label IS NOT NULL GROUP BY 1) x""")
+def _(t, env):
+    # counts of the fitted model's own predictions on the test rows
+    model, _seconds, split, _scoring = fitted(t, env)
+    judged = L.evaluate_classifier(L.predict(model, split.where("is_test")))
+    return judged.select((c("tn") + c("fp") + c("fn") + c("tp")).alias("TestRows"), (c("fn") + c("tp")).alias("Positive"))
+
+
 _METRICS = f"SELECT tn, fp, fn, tp, {_ACCURACY} AS accuracy, {_PRECISION} AS precision, {_RECALL} AS recall, {_F1} AS f1_score FROM {_CELLS}"
 
 
@@ -129,6 +146,15 @@ def _(t, env):
     return L.score_all(model, scoring)
 
 
+@query("score_all_rules", "SELECT CustomerID, true AS InRange, true AS LabelFollows FROM @Customer")
+def _(t, env):
+    # every customer once, a probability, and the label that follows from it
+    model, _seconds, _split, scoring = fitted(t, env)
+    scored = L.score_all(model, scoring)
+    return scored.select("CustomerID", c("Probability").between(0, 1).alias("InRange"),
+                         ((c("Probability") >= 0.5) == (c("Result") == "Yes")).alias("LabelFollows"))
+
+
 @query("store_scores", """SELECT (SELECT count(*) FROM @CustomerPrediction) + (SELECT count(*) FROM @Customer) AS Predictions,
     (SELECT count(*) FROM @CustomerPrediction) + (SELECT count(*) FROM @Customer) AS Ids, (SELECT count(*) FROM @ModelExecution) + 1 AS Executions""")
 def _(t, env):
@@ -189,6 +215,11 @@ def _(t, env):
     return R.best_campaign_and_channel(t)
 
 
+@query("top_campaign_of_key", "SELECT * FROM @Performance WHERE CampaignID = 7")
+def _(t, env):
+    return R.top_campaign(t, campaign_id=7)
+
+
 @query("top_campaign", "SELECT * FROM @Performance ORDER BY TotalRevenueGenerated DESC, CampaignID LIMIT 1")
 def _(t, env):
     return R.top_campaign(t)
