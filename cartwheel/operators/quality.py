@@ -39,16 +39,30 @@ def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 
 def orphans(tables, relations: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Orphan row count per (child, key, parent, parent key)."""
-    results = []
-    for child, key, parent, parent_key in relations:
-        found = orphan_keys(tables[child], tables[parent], key, parent_key)
-        results.append(
-            found.agg(F.coalesce(F.sum("Occurrences"), F.lit(0)).alias("OrphanCount")).select(
-                F.lit(f"{child}.{key}").alias("Relation"), "OrphanCount"
-            )
-        )
-    return stack_rows(results)
+    """Orphan row count per (child, key, parent, parent key); keys are integers.
+
+    Each child and each parent is read once, whatever the number of relations:
+    children are counted by (relation, key) before the shuffle, so a hot key is
+    one row per task, and meet the parents' keys in one anti-join.
+    """
+    def names(position):
+        found: dict[str, list] = {}
+        for relation in relations:
+            found.setdefault(relation[position], []).append(relation)
+        return found
+
+    def keys(table, own, column):
+        pairs = F.array(*[F.struct(F.lit(f"{r[0]}.{r[1]}").alias("Relation"), F.col(r[column]).cast("long").alias("_key")) for r in own])
+        return tables[table].select(F.explode(pairs).alias("p")).select("p.*").where("_key is not null")
+
+    counted = stack_rows([
+        keys(child, own, 1).groupBy("Relation", "_key").agg(F.count("*").alias("n")) for child, own in names(0).items()
+    ])
+    known = stack_rows([keys(parent, own, 3) for parent, own in names(2).items()])
+    lost = counted.join(known, ["Relation", "_key"], "left_anti").groupBy("Relation").agg(F.sum("n").alias("n"))
+    every = F.explode(F.array(*[F.lit(f"{r[0]}.{r[1]}") for r in relations]))
+    listed = tables[relations[0][0]].sparkSession.range(1, numPartitions=1).select(every.alias("Relation"))
+    return listed.join(lost, "Relation", "left").select("Relation", F.coalesce("n", F.lit(0)).alias("OrphanCount"))
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
