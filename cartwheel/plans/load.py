@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +13,7 @@ from cartwheel.functions import expr as E
 from cartwheel.operators import dimensions as D
 from cartwheel.operators.quality import row_counts
 from cartwheel.operators.sinks import export_csv, with_defaults, write_table
+from cartwheel.session import materialize
 from cartwheel.sources import files, schemas as S
 
 
@@ -36,10 +38,25 @@ def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: files.scan_source(spark, folder, name) for name in S.CSV_FILES}
 
 
-def build_lookups(sources: dict[str, DataFrame], case_insensitive: bool = False) -> dict[str, DataFrame]:
-    """Lookup tables: the seeds and the names the sources add to them."""
+def stored_lookups(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The lookup tables of an earlier load; the seeds where there is none."""
+    dims = {}
+    for name in S.SEEDS:
+        try:
+            dims[name] = files.scan_table(spark, target, name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            dims[name] = files.seed_table(spark, name)
+    return dims
+
+
+def build_lookups(sources: dict[str, DataFrame], case_insensitive: bool = False,
+                  known: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Lookup tables: those ``known`` (by default the seeds) and the names the
+    sources add to them.  Known names keep their ids."""
     spark = sources["Stores"].sparkSession
-    dims = {name: files.seed_table(spark, name) for name in S.SEEDS}
+    dims = dict(known) if known else {name: files.seed_table(spark, name) for name in S.SEEDS}
     for name, (text, dim, name_column, id_column) in S.STAGED_FILES.items():
         dims[dim] = D.upsert_missing(sources[name], text, dims[dim], name_column, id_column, case_insensitive)
     return dims
@@ -88,13 +105,17 @@ def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_ins
                       **options) -> DataFrame:
     """Load everything into ``target``, replacing an earlier load; returns the
     row count of each loaded table, as stored.  Running it again gives the same
-    tables.  Predictions and reports of the earlier load are cleared.
+    tables.  Predictions and reports of the earlier load are cleared; lookup
+    names keep the ids of the earlier load, so that an id once exported stays
+    valid.
 
     Lookup tables are stored first and read back: the facts then carry the
     stored ids, and their lookup texts are not scanned a second time.
     """
     sources = read_sources(spark, folder)
-    _write_all(build_lookups(sources, case_insensitive), target)
+    lookups = build_lookups(sources, case_insensitive, stored_lookups(spark, target))
+    # written aside first: a table cannot be replaced while it is read
+    _write_all({name: materialize(df, "lookup") for name, df in lookups.items()}, target)
     dims = {name: files.scan_table(spark, target, name) for name in S.SEEDS}
     tables = build_tables(sources, dims, case_insensitive=case_insensitive, **options)
     _write_all({**tables, **{name: files.empty_table(spark, name) for name in S.CLEARED_TABLES}}, target)

@@ -46,7 +46,7 @@ def test_unseen_names_enter_the_lookups_and_resolve(loaded):
     used = tables["MarketingCampaign"].count()
     assert names["Email"] == 1 and names["Mobile App"] == 3 and used == counts["MarketingCampaign"] == 1
     methods = {r.MethodName: r.PaymentMethodID for r in tables["PaymentMethod"].collect()}
-    assert {"Credit Card", "Debit Card"} <= set(methods)
+    assert {generate.UNSEEDED_PAYMENT, "Cash", "Debit"} <= set(methods)
     assert sorted(methods.values()) == list(range(1, len(methods) + 1))
 
 
@@ -126,3 +126,32 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tiny):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("SalesTransaction", "SalesTransactionItem"):
             spark.sql(f"DROP TABLE IF EXISTS default.co_{name}")
+
+
+def test_lookup_ids_survive_another_load(spark):
+    target, kept = scratch_path(spark, "ids"), {}
+    for names in (["Zeta"], ["Alpha", "Beta", "Zeta", "Gamma"]):
+        source = scratch_path(spark, "src")
+        frames = generate.gen_dataset(spark, scale=0.1, today="2025-06-30")
+        channel = F.element_at(F.array(*map(F.lit, names)), (F.col("CampaignID") % len(names) + 1).cast("int"))
+        frames["MarketingCampaigns"] = frames["MarketingCampaigns"].withColumn("Channel", channel)
+        generate.write_sources(frames, source)
+        load.load_full_refresh(spark, source, target, as_of="2025-06-30")
+        ids = {r.ChannelName: r.MarketingChannelID for r in files.scan_table(spark, target, "MarketingChannel").collect()}
+        assert kept.items() <= ids.items() and sorted(ids.values()) == list(range(1, len(ids) + 1))
+        kept = ids
+    assert {"Zeta", "Alpha", "Beta", "Gamma", "Email"} <= set(kept)
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    (tmp_path / "Stores.csv").write_text("Province,Extra,StoreID,City,StoreName\nNorth,x,1,A,S1\nNA,y,n/a,B,S2\n")
+    got = files.scan_csv_project(spark, str(tmp_path), "Stores", ["StoreID", "StoreName", "Province"]).collect()
+    assert [tuple(r) for r in got] == [(1, "S1", "North"), (None, "S2", None)]
+    with pytest.raises(ValueError, match="no column"):
+        files.scan_csv_project(spark, str(tmp_path), "Stores", ["Town"])
+    (tmp_path / "Stores.csv").write_text("StoreID,StoreName,City,Province\nseven,S1,A,North\n")
+    with pytest.raises(Exception, match="StoreID"):
+        files.scan_csv_project(spark, str(tmp_path), "Stores", ["StoreID"]).collect()
+    (tmp_path / "Stores.csv").write_text("StoreID,City,StoreName,Province\n1,A,S1,North\n")
+    with pytest.raises(Exception, match="(?i)header|column"):
+        files.scan_source(spark, str(tmp_path), "Stores").collect()
