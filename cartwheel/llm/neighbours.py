@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import stored
 
 PIVOTS = 128
-PREFIX = 32
-SHARE = 0.2
+PREFIX = 48
+SHARE = 0.25
+LEAST = 16  # candidates of a block for each neighbour asked for, at least
 BLOCK = 8192  # vectors of the index
 QUERIES = 256  # queries that meet a block together
 
@@ -89,7 +90,7 @@ class Block:
         for rank, pivot in enumerate(prefix):
             spots, ranks = self.lists[pivot]
             gain[spots] += (2 * width - rank) - ranks - np.abs(ranks - rank)
-        keep = min(len(gain), max(int(np.ceil(SHARE * len(gain))), 4 * k))
+        keep = min(len(gain), max(int(np.ceil(SHARE * len(gain))), LEAST * k))
         near = np.argpartition(-gain, keep - 1)[:keep]
         scores = self.points[near] @ query
         if len(near) > k:
