@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm import language, packing, simhash, suffixes, toxicity
-from cartwheel.llm.common import stored, table
+from cartwheel.llm.common import importable, stored, table
 from cartwheel.llm.queries import language_model, toxicity_model, vocabulary_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,6 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents at least half of which is in one learnt language; texts
     without a letter go."""
+    importable(spark)
     model = language_model(docs.select("doc_id", "text", "lang"))
     judged = language.predict(docs.select(*COLUMNS), model, lang="_lang", share="_share")
     return judged.where((F.col("_lang") != language.UNKNOWN) & (F.col("_share") >= LEAST_SHARE)).select(*COLUMNS)
@@ -37,6 +38,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, folder: str) ->
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates, once
     if its row is repeated."""
+    importable(spark)
     rows = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
     found = simhash.near_duplicates(rows, words=3, bits=2, carry=("_hash",))
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_own")).distinct()
@@ -49,6 +51,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     """Documents without the strings of 100 bytes or more that also start
     earlier, cut at whole characters.  A document may be left empty; a NULL
     text becomes empty."""
+    importable(spark)
     left = suffixes.without_repeats(docs.select(*COLUMNS), depth=100, carry=("lang", "source"), whole_characters=True)
     text = F.col("kept").cast("string")
     return left.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
@@ -56,6 +59,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 ids."""
+    importable(spark)
     return packing.pack_texts(docs, vocabulary_path(), capacity=2048)
 
 
