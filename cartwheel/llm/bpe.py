@@ -32,7 +32,7 @@ from cartwheel.llm.common import chunks
 
 # Words remembered between chunks.  Beyond that the memory starts anew, which
 # changes the speed only.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 END = "</w>"
 # Characters on which all Unicode versions agree.  A text with any other goes
 # through the library's own normaliser and split, whose tables may be older or
@@ -323,7 +323,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(content.value)
-        for batch in chunks(batches, text, 2 << 20):
+        for batch in chunks(batches, text):
             rows = vocab.encode(batch.column(text).to_pylist())
             yield _with_column(batch, keep, ids, _list_array(rows))
 

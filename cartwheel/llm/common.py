@@ -14,7 +14,7 @@ from cartwheel.session import scratch_path
 
 # Bytes of text that one Python step holds at a time.  A longer text is a
 # chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def importable(spark: SparkSession) -> None:

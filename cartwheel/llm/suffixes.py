@@ -114,7 +114,7 @@ def _runs(batch: pa.RecordBatch, depth: int, digit: int) -> tuple[np.ndarray, ..
     rows of the first pass; places count from the start of the document."""
     data, offsets = joined_texts(batch.column("_text"))
     data, offsets = np.frombuffer(data, np.uint8), np.array(offsets)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
+    ends = np.repeat(offsets[1:].astype(np.int32 if len(data) < 1 << 31 else np.int64), np.diff(offsets))
     found: list[tuple[np.ndarray, ...]] = []
     for at in range(0, len(data), SLICE):
         part = data[at: at + SLICE + depth - 1]
@@ -225,7 +225,7 @@ def repeats(df: DataFrame, key: str, text: str, depth: int = 100, digit: int = D
             of = np.repeat(np.arange(len(h)), count)
             shift = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
             begin = np.array(offsets)[of] + shift
-            table = Hasher(len(data) + 1) if len(data) > 8 * SLICE else hasher(8 * SLICE)
+            table = Hasher(len(data) + 1) if len(data) > 4 * SLICE else hasher(4 * SLICE)
             string = mix(table.hash(table.sums(data), begin, begin + depth)).view(np.int64)
             place = _places(batch.column("_key"), prints)
             late = _later([], [h[of], block[of], string], [place[of], first[of] + shift])

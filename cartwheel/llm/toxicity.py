@@ -37,7 +37,7 @@ PREFIXES = (3, 4, 5, 6, 7)
 LEAST_ODDS = 0.5
 LEAST_ERRORS = 2.5  # standard errors by which log-odds must exceed zero
 SCALE = 5.0
-WORDS_KEPT = 300_000  # words remembered by a task; beyond that it starts anew
+WORDS_KEPT = 100_000  # words remembered by a task; beyond that it starts anew
 
 
 @dataclass
@@ -63,7 +63,7 @@ def _features(df: DataFrame, text: str, kind: str) -> DataFrame:
     """Rows (kind, spots, counts, norm, place) of a sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text, 4 << 20):
+        for batch in chunks(batches, text):
             spots, counts, norms, places = [], [], [], []
             for t in batch.column(text).to_pylist():
                 words, norm = _counted(t)
