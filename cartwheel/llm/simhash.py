@@ -189,8 +189,9 @@ def links(distinct: DataFrame, column: str, bits: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 2,
-                    carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row (key, fingerprint, component, columns to ``carry``) per row of ``df``.
+                    carry: tuple[str, ...] = (), root: str | None = None) -> DataFrame:
+    """One row (key, fingerprint, component, columns to ``carry``) per row of ``df``;
+    with ``root``, also a fingerprint under that name that stands for the component.
 
     ``component`` is the smallest key reachable over fingerprints that differ
     in at most ``bits`` bits, itself included.  Texts that are NULL or without
@@ -207,8 +208,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     rooted = distinct.join(found, distinct["_print"] == found["node"], "left").select(
         "_print", "_least", F.coalesce("root", "_print").alias("_root"))
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component"))
-    named = stored(rooted.join(least, "_root").select(F.col("_print").alias("_own"), "component"), "named")
+    named = stored(rooted.join(least, "_root").select(F.col("_print").alias("_own"), "_root", "component"), "named")
     # a fingerprint of many texts is a hot key of this last join, which Spark splits
     return made.join(named, made["_print"] == named["_own"]).select(
         F.col("_key").alias(key), F.col("_print").alias("fingerprint"), "component",
-        *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)])
+        *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)], *([F.col("_root").alias(root)] if root else []))

@@ -36,12 +36,14 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once
-    if its row is repeated."""
+    """The document with the smallest id (NULL last) of each group of near
+    duplicates, that with the smallest hash if texts share the id, once if its
+    row is repeated."""
     importable(spark)
     rows = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
-    found = simhash.near_duplicates(rows, words=3, bits=2, carry=("_hash",))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_own")).distinct()
+    found = simhash.near_duplicates(rows, words=3, bits=2, carry=("_hash",), root="_root")
+    first = found.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("m")).select(
+        F.col("m.doc_id").alias("_id"), F.col("m._hash").alias("_own"))
     same = Window.partitionBy("doc_id", "_hash").orderBy("source", "lang")
     return rows.join(first, rows["doc_id"].eqNullSafe(first["_id"]) & (rows["_hash"] == first["_own"])).withColumn(
         "_copy", F.row_number().over(same)).where("_copy = 1").select(*COLUMNS)

@@ -65,3 +65,20 @@ def test_empty_tables_pass_through(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_one_document_of_a_group_stays_with_repeated_and_missing_ids(spark):
+    pick = random.Random(4)
+
+    def group(letters):
+        words = ["".join(pick.choices(letters, k=6)) for _ in range(400)]
+        own = brute_fingerprint(" ".join(words))
+        changed = (" ".join(words[:k] + ["x"] + words[k + 1:]) for k in range(400))
+        return " ".join(words), next(t for t in changed if (brute_fingerprint(t) ^ own).bit_count() <= 2)
+
+    near, far = group("abcdefghij"), group("klmnopqrst")
+    rows = [(1, near[0], "en", "a", 1), (1, near[1], "en", "a", 1), (None, far[0], "en", "a", 1), (None, far[1], "en", "a", 1), (None, far[1], "en", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(str(r.doc_id) for r in left) == ["1", "None"]
+    assert {r.text in near for r in left if r.doc_id == 1} == {True} and {r.text in far for r in left if r.doc_id is None} == {True}
