@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, neighbours, packing, passages, rules, sharding, simhash, suffixes, toxicity
+from cartwheel.llm import bpe, language, manifest, neighbours, packing, passages, rules, sharding, simhash, sql, suffixes, toxicity
 from cartwheel.llm.common import id_remainder, stored, table
 from cartwheel.llm.components import components
 
@@ -123,3 +124,24 @@ def op1_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
     return found.join(roots, found["doc_id"] == roots["node"]).select(
         "doc_id", F.col("other").alias("other_doc_id"), "start", "n_words", F.col("other_start").alias("other_start"), "n_other_words",
         "similarity", F.col("root").alias("component_id"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, held against a copy in
+    which a fifth of the texts has lost its capitals."""
+
+    def leaf(text: Column) -> Column:
+        return manifest.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    docs = table(spark, folder, "documents")
+    copy = F.when(id_remainder("doc_id", 5) == 0, leaf(F.translate("text", ascii_uppercase, ascii_lowercase)))
+    made = manifest.build(docs, leaf(F.col("text")), given=copy)
+    root = F.lit(None if made.root is None else made.root.hex()).cast("string")
+    return manifest.prove(made).select(
+        F.col("key").alias("doc_id"), F.lower(F.hex("leaf")).alias("leaf"), F.lower(F.hex("subroot")).alias("subroot"), root.alias("root"),
+        F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"), F.lower(F.hex("folded")).alias("folded_root"),
+        (F.lower(F.hex("folded")) == root).alias("verified"))
+
+
+ORACLE["op11_merkle_manifest"] = sql.merkle_manifest(levels=6, tops=4)
