@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, language, manifest, neighbours, packing, passages, rules, sharding, simhash, sql, suffixes, toxicity
+from cartwheel.llm import bpe, language, manifest, neighbours, packing, passages, periods, rules, sharding, simhash, sql, suffixes, topk, toxicity
 from cartwheel.llm.common import id_remainder, stored, table
 from cartwheel.llm.components import components
 
@@ -145,3 +145,37 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op11_merkle_manifest"] = sql.merkle_manifest(levels=6, tops=4)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words in every text; a tenth of the texts is made
+    periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.col("text"), F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    docs = table(spark, folder, "documents").select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")))
+    text = F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text"))
+    found = periods.periodic_runs(docs.select("doc_id", text.alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        F.col("key").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"), F.expr("(1000 * best.length) div (-best.col3)").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+ORACLE["op12_periodic_runs"] = sql.PERIODIC_RUNS
+
+
+@query
+def op13_uniform_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 rows with the largest inner product of every fiftieth embedding."""
+    return topk.top(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+ORACLE["op13_uniform_threshold"] = sql.TOP_PRODUCTS
