@@ -65,7 +65,7 @@ def _points(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
             for i, values in zip(batch.column("_id").to_pylist(), batch.column("_vector")):
                 point = np.floor(values.values.to_numpy() * float(scale))
                 width = len(point)
-                if np.isfinite(point).all() and (not width or width * float(np.abs(point).max()) ** 2 < LARGEST):
+                if np.isfinite(point).all() and (not width or float(np.abs(point).max()) < (LARGEST / width) ** 0.5):
                     ids.append(i)
                     widths.append(width)
                     points.append(point.astype("<i8").tobytes())
