@@ -1,7 +1,7 @@
 """Writing tables: full refresh, appends with ids, approval, exports.
 
-Parquet has no in-place update.  Appends add files; changes write a new
-version of the table to a new path.
+Parquet has no in-place update.  Appends add files, also for a change of a
+row, which readers resolve; loads write new versions of whole tables.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
+from cartwheel.operators import store
 from cartwheel.operators.ordering import assign_ids
-from cartwheel.sources import schemas as S
+from cartwheel.sources import files, schemas as S
 
 
 def with_defaults(df: DataFrame, table: str, as_of=None) -> DataFrame:
@@ -27,7 +28,10 @@ def with_defaults(df: DataFrame, table: str, as_of=None) -> DataFrame:
 
 
 def write_table(df: DataFrame, folder: str, name: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(f"{folder}/{name}")
+    """An append goes to the newest version of the table; whole tables of a
+    published store are replaced by a load only."""
+    path = store.table_path(df.sparkSession, folder, name) if mode == "append" else f"{folder}/{name}"
+    df.write.mode(mode).parquet(path)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
@@ -102,18 +106,14 @@ def report_rows(reports: DataFrame, existing: DataFrame, *, model_name: str, pro
     return assign_ids(keyed, "_key", "AIReportID", existing).select("AIReportID", *rows.columns)
 
 
-def approved(reports: DataFrame, report_id: int) -> DataFrame:
-    """The report table with one report approved."""
-    return reports.withColumn(
-        "Approved", F.when(F.col("AIReportID") == report_id, F.lit(True)).otherwise(F.col("Approved"))
-    )
-
-
-def approve_report(spark: SparkSession, folder: str, new_folder: str, report_id: int) -> DataFrame:
-    """Write the new version of the stored report table next to the old one;
-    readers of the old version are not disturbed."""
-    write_table(approved(spark.read.parquet(f"{folder}/AIReport"), report_id), new_folder, "AIReport")
-    return spark.read.parquet(f"{new_folder}/AIReport")
+def approve_report(spark: SparkSession, folder: str, report_id: int, approve: bool = True, as_of=None) -> None:
+    """Appends the decision on a stored report: one row.  Reports are never
+    rewritten; readers take each report's newest decision
+    (``files.with_decisions``), so one can be withdrawn by another."""
+    taken = files.stored_decisions(spark, folder)
+    last = taken.agg(F.coalesce(F.max("DecisionID"), F.lit(0))).first()[0]
+    row = one_row(spark, DecisionID=F.lit(last + 1).cast("long"), AIReportID=F.lit(report_id).cast("long"), Approved=approve, DecidedDate=E.now(as_of))
+    write_table(row, folder, S.DECISIONS, "append")
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+import uuid
+from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
-from cartwheel.operators import sinks
+from cartwheel.operators import sinks, store
 from cartwheel.operators.ordering import hash_positions
 from cartwheel.plans.views import customer_analytics
 from cartwheel.session import materialize
@@ -104,38 +106,84 @@ def with_class_weight(labelled: DataFrame, label: str = "label") -> DataFrame:
     return labelled.withColumn("weight", F.element_at(weights, F.col(label)))
 
 
-def assemble(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
+MODELS = "_models"  # a store's folder of models and, beside them, the log of those whole
+MODEL_LOG = "ModelID string, Path string, Threshold double, Seconds double, TrainRows bigint, SavedAt timestamp_ntz"
 
 
-def train_random_forest(train: DataFrame, *, max_memory_mb: int = 1024, **settings,
-                        ) -> tuple[RandomForestClassificationModel, float]:
-    """Fit the forest on labelled features; returns the model and the seconds.
+@dataclass(frozen=True)
+class ResponseModel:
+    """A stored model: the pipeline from feature columns to a probability and
+    the probability from which a customer counts as responding."""
+
+    model_id: str
+    pipeline: PipelineModel
+    threshold: float
+    seconds: float
+    train_rows: int
+
+    @property
+    def forest(self) -> RandomForestClassificationModel:
+        return self.pipeline.stages[-1]
+
+
+def train_random_forest(train: DataFrame, folder: str, *, max_memory_mb: int = 1024, threshold: float = 0.5, as_of=None,
+                        **settings) -> ResponseModel:
+    """Fit the forest on labelled features, store it in ``folder`` and return it
+    as stored.
 
     The fit passes over its input several times, so the input is written once
     to the shared folder first.  ``max_memory_mb`` bounds the node statistics
-    gathered per pass: more memory means fewer passes over the data.
+    gathered per pass: more memory means fewer passes over the data.  A model
+    counts as stored when its row is in the log, which is written last.
     """
-    stored = materialize(assemble(with_class_weight(train)).select("features", "label", "weight"), "train")
+    stored = materialize(with_class_weight(train).select(*FEATURES, "label", "weight"), "train")
+    spark = stored.sparkSession
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", maxMemoryInMB=max_memory_mb,
         **{**FOREST, **settings},
     )
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features"), forest])
     started = time.perf_counter()
-    model = forest.fit(stored)
-    return model, time.perf_counter() - started
+    model = pipeline.fit(stored)
+    seconds = time.perf_counter() - started
+    model_id = uuid.uuid4().hex
+    model.write().save(f"{folder}/{MODELS}/{model_id}")
+    row = stored.agg(F.count("*").alias("TrainRows")).select(
+        F.lit(model_id).alias("ModelID"), F.lit(f"{MODELS}/{model_id}").alias("Path"), F.lit(threshold).alias("Threshold"),
+        F.lit(seconds).alias("Seconds"), "TrainRows", E.now(as_of).alias("SavedAt"))
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/{MODELS}_log")
+    return load_model(spark, folder, model_id)
+
 
+def model_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored models of a folder."""
+    log = store.read_or_none(spark, f"{folder}/{MODELS}_log", MODEL_LOG)
+    return spark.createDataFrame([], MODEL_LOG) if log is None else log
 
-def feature_importance(model, spark) -> DataFrame:
+
+def load_model(spark: SparkSession, folder: str, model_id: str | None = None) -> ResponseModel:
+    """A stored model by id, else the one saved last."""
+    log = model_log(spark, folder)
+    row = (log.where(F.col("ModelID") == model_id) if model_id else log).orderBy(F.col("SavedAt").desc(), "ModelID").first()
+    if row is None:
+        raise LookupError(f"no model {model_id or ''} in {folder}")
+    return ResponseModel(row.ModelID, PipelineModel.load(f"{folder}/{row.Path}"), row.Threshold, row.Seconds, row.TrainRows)
+
+
+def feature_importance(model: ResponseModel, spark: SparkSession) -> DataFrame:
     """Importance per feature, largest first."""
-    pairs = [(name, float(v)) for name, v in zip(FEATURES, model.featureImportances.toArray())]
+    pairs = [(name, float(v)) for name, v in zip(FEATURES, model.forest.featureImportances.toArray())]
     return spark.createDataFrame(pairs, "Feature string, Importance double").orderBy(F.col("Importance").desc(), "Feature")
 
 
-def predict(model, labelled: DataFrame) -> DataFrame:
-    """The model's own class for rows with a label."""
-    return model.transform(assemble(labelled)).select(
-        "CustomerID", "label", F.col("prediction").cast("int").alias("prediction")
+def _probability() -> Column:
+    return vector_to_array("probability")[1]
+
+
+def predict(model: ResponseModel, labelled: DataFrame) -> DataFrame:
+    """The model's class for rows with a label."""
+    return model.pipeline.transform(labelled).select(
+        "CustomerID", "label", (_probability() >= F.lit(model.threshold)).cast("int").alias("prediction")
     )
 
 
@@ -177,11 +225,10 @@ def evaluation_text(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def score_all(model, scoring: DataFrame) -> DataFrame:
+def score_all(model: ResponseModel, scoring: DataFrame) -> DataFrame:
     """CustomerID, probability of a response and Yes/No for every customer."""
-    scored = model.transform(assemble(scoring))
-    probability = vector_to_array("probability")[1]
-    return scored.select("CustomerID", probability.alias("Probability"), E.yes_no(probability).alias("Result"))
+    scored = model.pipeline.transform(scoring)
+    return scored.select("CustomerID", _probability().alias("Probability"), E.yes_no(_probability(), model.threshold).alias("Result"))
 
 
 def score_summary(scores: DataFrame) -> DataFrame:
@@ -192,22 +239,35 @@ def score_summary(scores: DataFrame) -> DataFrame:
     )
 
 
-def train_and_store(spark, folder: str, *, as_of=None, **settings) -> DataFrame:
-    """The whole run on a stored load: analytics, features, split, fit,
-    evaluation on the test rows, scores for every customer, and both appends.
-    Returns the metrics row; only that row is ever computed for the driver."""
+def train_and_store(spark: SparkSession, folder: str, *, as_of=None, **settings) -> DataFrame:
+    """The whole run on a stored load: analytics, features, split, fit, stored
+    model, evaluation on the test rows, scores for every customer, and both
+    appends.  Returns the metrics row; only that row is ever computed for the
+    driver."""
     tables = files.scan_store(spark, folder)
     analytics = materialize(customer_analytics(tables, as_of=as_of), "analytics")
     split = materialize(stratified_split(features(analytics)), "split")
-    model, seconds = train_random_forest(split.where("not is_test"), **settings)
+    model = train_random_forest(split.where("not is_test"), folder, as_of=as_of, **settings)
     metrics = materialize(evaluate_classifier(predict(model, split.where("is_test"))), "metrics")
-    scores = materialize(score_all(model, features(analytics, for_training=False)), "scores")
-    predictions = sinks.prediction_rows(
-        scores, tables["CustomerPrediction"], ml_model=ALGORITHM, model_version=MODEL_VERSION, as_of=as_of
-    )
     run = sinks.execution_row(
-        metrics, tables["ModelExecution"], algorithm=ALGORITHM, duration_seconds=seconds, as_of=as_of
+        metrics, tables["ModelExecution"], algorithm=ALGORITHM, duration_seconds=model.seconds, as_of=as_of
     )
-    sinks.write_table(predictions, folder, "CustomerPrediction", "append")
+    _append_scores(model, analytics, tables["CustomerPrediction"], folder, as_of)
     sinks.write_table(run, folder, "ModelExecution", "append")
     return metrics
+
+
+def score_and_store(spark: SparkSession, folder: str, *, model_id: str | None = None, as_of=None) -> DataFrame:
+    """A run of its own, in any later session: loads a stored model (the newest
+    by default), scores every customer as of now and appends the predictions.
+    Returns the summary of the new scores."""
+    model = load_model(spark, folder, model_id)
+    tables = files.scan_store(spark, folder)
+    return score_summary(_append_scores(model, customer_analytics(tables, as_of=as_of), tables["CustomerPrediction"], folder, as_of))
+
+
+def _append_scores(model: ResponseModel, analytics: DataFrame, existing: DataFrame, folder: str, as_of) -> DataFrame:
+    scores = materialize(score_all(model, features(analytics, for_training=False)), "scores")
+    rows = sinks.prediction_rows(scores, existing, ml_model=ALGORITHM, model_version=MODEL_VERSION, as_of=as_of)
+    sinks.write_table(rows, folder, "CustomerPrediction", "append")
+    return scores

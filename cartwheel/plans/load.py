@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartwheel.functions import expr as E
 from cartwheel.operators import dimensions as D
-from cartwheel.operators.quality import row_counts
-from cartwheel.operators.sinks import export_csv, with_defaults, write_table
-from cartwheel.session import materialize
+from cartwheel.operators import store
+from cartwheel.operators.quality import stack_rows
+from cartwheel.operators.sinks import export_csv, with_defaults
 from cartwheel.sources import files, schemas as S
 
 
@@ -34,20 +33,17 @@ def recompute_age(customers: DataFrame, as_of=None) -> DataFrame:
     return customers.withColumn("Age", E.age_at_load(F.col("DateOfBirth"), as_of))
 
 
-def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: files.scan_source(spark, folder, name) for name in S.CSV_FILES}
+def read_sources(spark: SparkSession, folder: str, accepted_only: bool = False) -> dict[str, DataFrame]:
+    read = files.scan_accepted if accepted_only else files.scan_source
+    return {name: read(spark, folder, name) for name in S.CSV_FILES}
 
 
 def stored_lookups(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """The lookup tables of an earlier load; the seeds where there is none."""
-    dims = {}
+    dims, paths = {}, store.published(spark, target)
     for name in S.SEEDS:
-        try:
-            dims[name] = files.scan_table(spark, target, name)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            dims[name] = files.seed_table(spark, name)
+        found = store.read_or_none(spark, paths.get(name, f"{target}/{name}"))
+        dims[name] = files.seed_table(spark, name) if found is None else found
     return dims
 
 
@@ -89,38 +85,70 @@ def build_tables(sources: dict[str, DataFrame], dims: dict[str, DataFrame], *, a
     return {name: with_defaults(df, name, as_of) for name, df in tables.items()}
 
 
-def _side_by_side(write, names) -> None:
+def _side_by_side(work, names) -> list:
     """Independent tables are written at the same time, so that small ones do
     not leave the cluster idle."""
     with ThreadPoolExecutor(max_workers=4) as pool:
-        for done in [pool.submit(write, name) for name in names]:
-            done.result()
+        return [done.result() for done in [pool.submit(work, name) for name in names]]
 
 
-def _write_all(frames: dict[str, DataFrame], target: str) -> None:
-    _side_by_side(lambda name: write_table(frames[name], target, name), frames)
+class TooManyRejects(ValueError):
+    """A load was given up because of the lines it could not read."""
 
 
-def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_insensitive: bool = False,
+def store_rejects(spark: SparkSession, folder: str, path: str) -> int:
+    """Writes the rejected lines of all source files to a table; returns their
+    number.  One pass over the files."""
+    lines = stack_rows([files.rejected_lines(spark, folder, name) for name in S.CSV_FILES])
+    return store.write_counted(lines, path, REJECTS).rows
+
+
+REJECTS = "RejectedLine"
+
+
+def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_insensitive: bool = False, max_rejects: int = 0,
                       **options) -> DataFrame:
-    """Load everything into ``target``, replacing an earlier load; returns the
-    row count of each loaded table, as stored.  Running it again gives the same
-    tables.  Predictions and reports of the earlier load are cleared; lookup
-    names keep the ids of the earlier load, so that an id once exported stays
-    valid.
-
-    Lookup tables are stored first and read back: the facts then carry the
-    stored ids, and their lookup texts are not scanned a second time.
+    """Load everything into ``target`` as a new version of all its tables;
+    returns the row count of each loaded table, as counted by its write.
+
+    All or nothing: the tables are written aside and published together at the
+    end, so readers see the earlier load until then and keep it if this one
+    fails.  Running it again gives the same tables.  Predictions and reports of
+    the earlier load are cleared; lookup names keep the ids of the earlier
+    load, so that an id once exported stays valid.
+
+    A malformed line fails the load.  With ``max_rejects`` up to so many lines
+    go to the table ``RejectedLine`` with the reason instead, and the load goes
+    on without them; with more it raises ``TooManyRejects``.
+
+    The rules of the model are checked by the very writes (``store.violations``
+    lists the counts).  Lookup tables are stored first and read back: the facts
+    then carry the stored ids, and their lookup texts are not scanned again.
     """
-    sources = read_sources(spark, folder)
+    load_id, fresh = store.new_load(target)
+    rejected = []
+    if max_rejects:
+        lines = store_rejects(spark, folder, f"{fresh}/{REJECTS}")
+        if lines > max_rejects:
+            raise TooManyRejects(f"{lines} lines rejected, {max_rejects} allowed")
+        rejected.append(store.Written(REJECTS, lines))
+    rules: dict[str, list] = {}
+    for table, rule, condition in S.check_rules():
+        rules.setdefault(table, []).append((rule, condition))
+
+    def write(frames):
+        return _side_by_side(lambda name: store.write_counted(frames[name], f"{fresh}/{name}", name, rules.get(name, ())), frames)
+
+    sources = read_sources(spark, folder, accepted_only=bool(max_rejects))
     lookups = build_lookups(sources, case_insensitive, stored_lookups(spark, target))
-    # written aside first: a table cannot be replaced while it is read
-    _write_all({name: materialize(df, "lookup") for name, df in lookups.items()}, target)
-    dims = {name: files.scan_table(spark, target, name) for name in S.SEEDS}
-    tables = build_tables(sources, dims, case_insensitive=case_insensitive, **options)
-    _write_all({**tables, **{name: files.empty_table(spark, name) for name in S.CLEARED_TABLES}}, target)
-    stored = {name: files.scan_table(spark, target, name) for name in S.LOADED_TABLES}
-    return row_counts(stored, S.LOADED_TABLES)
+    written = write(lookups)
+    dims = {name: spark.read.parquet(f"{fresh}/{name}") for name in S.SEEDS}
+    written += write(build_tables(sources, dims, case_insensitive=case_insensitive, **options))
+    for name in S.CLEARED_TABLES:
+        files.empty_table(spark, name).write.parquet(f"{fresh}/{name}")
+        written.append(store.Written(name, 0))
+    store.publish(spark, target, load_id, rejected + written, options.get("as_of"))
+    return store.row_counts(spark, target, S.LOADED_TABLES)
 
 
 def export_sources(tables: dict[str, DataFrame], folder: str) -> None:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cartwheel.operators import store
+from cartwheel.operators.latest import latest_per_key
 from cartwheel.sources import schemas as S
 
+REJECTED = "_rejected"
+
 
 def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Headered CSV as typed rows.  A malformed row fails the read instead of
@@ -32,6 +35,47 @@ def scan_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return scan_csv(spark, f"{folder}/{name}.csv", S.CSV_FILES[name])
 
 
+def scan_csv_checked(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Headered CSV as typed rows and ``_rejected``: the text of a line that is
+    malformed or, in a column that the query uses, holds a value of another
+    type; else NULL."""
+    return (
+        spark.read.schema(f"{schema}, {REJECTED} string")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("lineSep", "\n")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .option("columnPruning", False)
+        .csv(path)
+    )
+
+
+def rejected_lines(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Rejected lines of a source file: FileName, Line, Reason (the columns
+    whose text is not of their type; else the line does not have the file's
+    columns)."""
+    fields = StructType.fromDDL(S.CSV_FILES[name]).fields
+    texts = ", ".join(f"{f.name} string" for f in fields)
+    parsed = F.from_csv(REJECTED, texts, {"quote": '"', "escape": '"'})
+    # what the reader could not take as a column's type is NULL in its row
+    wrong = [F.when(F.col(f"p.{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f.name)) for f in fields]
+    named = F.concat_ws(", ", *wrong)
+    lines = scan_csv_checked(spark, f"{folder}/{name}.csv", S.CSV_FILES[name]).where(F.col(REJECTED).isNotNull())
+    return lines.withColumn("p", parsed).select(
+        F.lit(name).alias("FileName"), F.col(REJECTED).alias("Line"),
+        F.when(named != "", F.concat(F.lit("not of its type: "), named)).otherwise(F.lit(f"not a line of {len(fields)} columns")).alias("Reason"))
+
+
+def scan_accepted(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the ten source files without its rejected lines."""
+    rows = scan_csv_checked(spark, f"{folder}/{name}.csv", S.CSV_FILES[name])
+    # always true, and uses every column: a line is rejected or not whichever columns a reader wants
+    whole = F.xxhash64(*[c for c in rows.columns if c != REJECTED]) % 2 <= 1
+    return rows.where(F.col(REJECTED).isNull() & whole).drop(REJECTED)
+
+
 # Texts that a data-frame CSV reader takes for missing.
 MISSING_TEXT = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
@@ -59,29 +103,50 @@ def scan_csv_project(spark: SparkSession, folder: str, name: str, columns: Seque
     return rows.select(*[typed(c) for c in columns])
 
 
+def stored_decisions(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    """Decisions on the stored reports, one row each."""
+    found = store.read_or_none(spark, path or store.table_path(spark, folder, S.DECISIONS), S.DECISION_SCHEMA)
+    return empty_table(spark, S.DECISIONS) if found is None else found
+
+
+def with_decisions(reports: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Reports with the newest decision on each as ``Approved``; without one,
+    what they were stored with."""
+    newest = latest_per_key(decisions, "AIReportID", "DecidedDate", "DecisionID").select("AIReportID", F.col("Approved").alias("_decided"))
+    return reports.join(newest, "AIReportID", "left").withColumn("Approved", F.coalesce("_decided", "Approved")).select(*reports.columns)
+
+
 def scan_table(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Stored table, all columns or the named ones."""
-    df = spark.read.parquet(f"{folder}/{name}")
+    """Stored table in its newest version, all columns or the named ones;
+    reports as last decided on."""
+    df = spark.read.parquet(store.table_path(spark, folder, name))
+    if name == "AIReport" and (columns is None or "Approved" in columns):
+        df = with_decisions(df, stored_decisions(spark, folder))
     return df.select(*columns) if columns else df
 
 
 def scan_store(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every table of a stored load by name; an analytic table that nothing was
-    appended to yet is empty."""
-    tables = {}
+    """Every table of a stored load by name, all of one version; an analytic
+    table that nothing was appended to yet is empty.  Reports are as last
+    decided on."""
+    paths, tables = store.published(spark, folder), {}
+
+    def path(name):
+        return paths.get(name, f"{folder}/{name}")
+
     for name in S.TABLES:
-        try:
-            tables[name] = scan_table(spark, folder, name)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND" or name not in S.ANALYTIC_TABLES:
-                raise
-            tables[name] = empty_table(spark, name)
+        if name in S.ANALYTIC_TABLES:
+            found = store.read_or_none(spark, path(name))
+            tables[name] = empty_table(spark, name) if found is None else found
+        else:
+            tables[name] = spark.read.parquet(path(name))
+    tables["AIReport"] = with_decisions(tables["AIReport"], stored_decisions(spark, folder, path(S.DECISIONS)))
     return tables
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
     """An analytic table without rows."""
-    return spark.createDataFrame([], S.ANALYTIC_TABLES[name])
+    return spark.createDataFrame([], {**S.ANALYTIC_TABLES, S.DECISIONS: S.DECISION_SCHEMA}[name])
 
 
 def register_views(frames: dict[str, DataFrame], prefix: str = "") -> list[str]:

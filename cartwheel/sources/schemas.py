@@ -72,8 +72,11 @@ ANALYTIC_TABLES = {
     "ModelExecution": "ExecutionID bigint, ExecutionDate timestamp_ntz, Algorithm string, Accuracy decimal(5,4),"
     " Precision_ decimal(5,4), Recall decimal(5,4), F1Score decimal(5,4), ExecutionDurationSeconds decimal(10,2)",
 }
+# Decisions on reports, newest last.
+DECISIONS = "AIReportDecision"
+DECISION_SCHEMA = "DecisionID bigint, AIReportID bigint, Approved boolean, DecidedDate timestamp_ntz"
 # Emptied by a full refresh; the log of model runs is kept.
-CLEARED_TABLES = ["CustomerPrediction", "AIReport"]
+CLEARED_TABLES = ["CustomerPrediction", "AIReport", DECISIONS]
 
 BI_TABLES = [
     "Customer", "Product", "ProductCategory", "Store", "SalesTransaction", "SalesTransactionItem",

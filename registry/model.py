@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from cartwheel.operators import sinks
 from cartwheel.plans import learning as L
 from cartwheel.plans import reports as R
 from cartwheel.plans import views as V
-from cartwheel.session import materialize
-from cartwheel.sources import bindings, files, generate
+from cartwheel.session import materialize, scratch_root
+from cartwheel.sources import bindings, files, generate, schemas as S
 from cartwheel.sources.bindings import ANALYTICS_AS_OF
 from registry.canon import count_if, dollars_text, half_up, money, pct, percent_text, ratio
 from registry.core import optional_numbers, query, scratch
@@ -76,50 +78,58 @@ def _(t, env):
 
 # -- model ------------------------------------------------------------------------------
 
-_FITTED: dict = {}
+def _models(env):
+    """Folder of the models trained on a folder of tables, in the shared space:
+    a model outlives the session that trained it."""
+    return f"{scratch_root(env.spark)}/response_models/{hashlib.md5(env.folder.encode()).hexdigest()}"
+
+
+def _split(t):
+    return L.stratified_split(L.features(analytics(t)))
+
+
+def train(t, env):
+    return L.train_random_forest(materialize(_split(t), "split").where("not is_test"), _models(env), as_of=ANALYTICS_AS_OF)
 
 
-def fitted(t, env):
-    """(model, seconds, split features, scoring matrix) of a folder; fitted
-    once per session."""
-    key = (env.spark.sparkContext.applicationId, env.folder)
-    if key not in _FITTED:
-        base = materialize(analytics(t), "analytics")
-        split = materialize(L.stratified_split(L.features(base)), "split")
-        model, seconds = L.train_random_forest(split.where("not is_test"))
-        _FITTED[key] = (model, seconds, split, L.features(base, for_training=False))
-    return _FITTED[key]
+def stored_model(t, env):
+    """The stored model; trained first where there is none."""
+    try:
+        return L.load_model(env.spark, _models(env))
+    except LookupError:
+        return train(t, env)
 
 
-@query("train_random_forest", """SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS TrainRows, CAST(200 AS BIGINT) AS Trees, CAST(10 AS BIGINT) AS Features, true AS Timed
+@query("train_random_forest", """SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS TrainRows, CAST(200 AS BIGINT) AS Trees, CAST(10 AS BIGINT) AS Features,
+    true AS DepthHeld, 0.5 AS Threshold, true AS Timed
     FROM (SELECT label, count(*) AS n FROM @Features WHERE label IS NOT NULL GROUP BY 1) x""")
 def _(t, env):
-    model, seconds, split, _scoring = fitted(t, env)
-    return split.where("not is_test").agg(F.count("*").alias("TrainRows")).select(
-        "TrainRows", F.lit(model.getNumTrees).alias("Trees"), F.lit(model.numFeatures).alias("Features"),
-        F.lit(seconds > 0).alias("Timed"),
+    # trained and stored here, then read back
+    model = L.load_model(env.spark, _models(env), train(t, env).model_id)
+    return env.spark.range(1).select(
+        F.lit(model.train_rows).alias("TrainRows"), F.lit(model.forest.getNumTrees).alias("Trees"),
+        F.lit(model.forest.numFeatures).alias("Features"), F.lit(max(x.depth for x in model.forest.trees) <= L.FOREST["maxDepth"]).alias("DepthHeld"),
+        F.lit(model.threshold).cast("decimal(2,1)").alias("Threshold"), F.lit(model.seconds > 0).alias("Timed"),
     )
 
 
 @query("feature_importance")
 def _(t, env):
-    return L.feature_importance(fitted(t, env)[0], env.spark)
+    return L.feature_importance(stored_model(t, env), env.spark)
 
 
 @query("feature_importance_sums", "SELECT CAST(10 AS BIGINT) AS Features, true AS NonNegative, true AS SumsToOne")
 def _(t, env):
-    named = L.feature_importance(fitted(t, env)[0], env.spark)
-    value = [f.name for f in named.schema.fields if f.dataType.typeName() == "double"][0]
-    return named.agg(F.count_distinct(named.columns[0]).alias("Features"), (F.min(value) >= 0).alias("NonNegative"),
-                     (F.abs(F.sum(value) - 1) < 1e-9).alias("SumsToOne"))
+    named = L.feature_importance(stored_model(t, env), env.spark)
+    return named.agg(F.count_distinct("Feature").alias("Features"), (F.min("Importance") >= 0).alias("NonNegative"),
+                     (F.abs(F.sum("Importance") - 1) < 1e-9).alias("SumsToOne"))
 
 
 @query("test_confusion_sums", """SELECT CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS TestRows, CAST(sum(CASE WHEN label = 1 THEN floor(n * 0.2 + 0.5) END) AS BIGINT) AS Positive
     FROM (SELECT label, count(*) AS n FROM @Features WHERE label IS NOT NULL GROUP BY 1) x""")
 def _(t, env):
-    # counts of the fitted model's own predictions on the test rows
-    model, _seconds, split, _scoring = fitted(t, env)
-    judged = L.evaluate_classifier(L.predict(model, split.where("is_test")))
+    # counts of the stored model's own predictions on the test rows
+    judged = L.evaluate_classifier(L.predict(stored_model(t, env), _split(t).where("is_test")))
     return judged.select((c("tn") + c("fp") + c("fn") + c("tp")).alias("TestRows"), (c("fn") + c("tp")).alias("Positive"))
 
 
@@ -142,38 +152,34 @@ def _(t, env):
 
 @query("score_all")
 def _(t, env):
-    model, _seconds, _split, scoring = fitted(t, env)
-    return L.score_all(model, scoring)
+    return L.score_all(stored_model(t, env), L.features(analytics(t), for_training=False))
 
 
 @query("score_all_rules", "SELECT CustomerID, true AS InRange, true AS LabelFollows FROM @Customer")
 def _(t, env):
     # every customer once, a probability, and the label that follows from it
-    model, _seconds, _split, scoring = fitted(t, env)
-    scored = L.score_all(model, scoring)
+    scored = L.score_all(stored_model(t, env), L.features(analytics(t), for_training=False))
     return scored.select("CustomerID", c("Probability").between(0, 1).alias("InRange"),
                          ((c("Probability") >= 0.5) == (c("Result") == "Yes")).alias("LabelFollows"))
 
 
-@query("store_scores", """SELECT (SELECT count(*) FROM @CustomerPrediction) + (SELECT count(*) FROM @Customer) AS Predictions,
-    (SELECT count(*) FROM @CustomerPrediction) + (SELECT count(*) FROM @Customer) AS Ids, (SELECT count(*) FROM @ModelExecution) + 1 AS Executions""")
+@query("store_scores", """SELECT (SELECT count(*) FROM @CustomerPrediction) + 2 * (SELECT count(*) FROM @Customer) AS Predictions,
+    (SELECT count(*) FROM @CustomerPrediction) + 2 * (SELECT count(*) FROM @Customer) AS Ids, (SELECT count(*) FROM @ModelExecution) + 1 AS Executions,
+    (SELECT CAST(max(PredictionID) AS BIGINT) FROM @CustomerPrediction) + 2 * (SELECT count(*) FROM @Customer) AS LastID, (SELECT count(*) FROM @Customer) AS Agreeing""")
 def _(t, env):
-    model, seconds, split, scoring = fitted(t, env)
+    # one run that trains, one that loads what was stored and scores again
     folder = scratch(env, "scores")
-    for name in ("CustomerPrediction", "ModelExecution"):
+    for name in S.TABLES:
         sinks.write_table(t[name], folder, name)
-    scores = materialize(L.score_all(model, scoring), "scored")
-    rows = sinks.prediction_rows(scores, files.scan_table(env.spark, folder, "CustomerPrediction"),
-                                 ml_model=L.ALGORITHM, model_version=L.MODEL_VERSION, as_of=ANALYTICS_AS_OF)
-    run = sinks.execution_row(L.evaluate_classifier(L.predict(model, split.where("is_test"))),
-                              files.scan_table(env.spark, folder, "ModelExecution"), algorithm=L.ALGORITHM,
-                              duration_seconds=seconds, as_of=ANALYTICS_AS_OF)
-    sinks.write_table(rows, folder, "CustomerPrediction", "append")
-    sinks.write_table(run, folder, "ModelExecution", "append")
+    L.train_and_store(env.spark, folder, as_of=ANALYTICS_AS_OF)
+    L.score_and_store(env.spark, folder, as_of=ANALYTICS_AS_OF)
     stored = files.scan_table(env.spark, folder, "CustomerPrediction")
     runs = files.scan_table(env.spark, folder, "ModelExecution")
-    return stored.agg(F.count("*").alias("Predictions"), F.count_distinct("PredictionID").alias("Ids")).select(
-        "Predictions", "Ids", runs.agg(F.count("*")).scalar().alias("Executions")
+    known = t["CustomerPrediction"].agg(F.max("PredictionID")).scalar()
+    same = stored.where(c("PredictionID") > known).groupBy("CustomerID").agg(
+        (F.count_distinct("PredictionProbability", "PredictionResult") == 1).alias("same")).agg(F.count_if("same")).scalar()
+    return stored.agg(F.count("*").alias("Predictions"), F.count_distinct("PredictionID").alias("Ids"), F.max("PredictionID").alias("LastID")).select(
+        "Predictions", "Ids", runs.agg(F.count("*")).scalar().alias("Executions"), "LastID", same.alias("Agreeing")
     )
 
 

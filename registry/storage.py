@@ -81,13 +81,61 @@ def _(t, env):
 _COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS TableName, count(*) AS RecordCount FROM @{n}" for n in S.LOADED_TABLES)
 
 
-@query("load_full_refresh", _COUNTS)
-def _(t, env):
+# Exact sums over the loaded tables; a stored name stands for its id, which a load may number anew.
+_MEASURES = {
+    "Store": ("Store", ["sum(StoreID)", "sum(length(StoreName))", "count(DISTINCT Province)"]),
+    "ProductCategory": ("ProductCategory", ["sum(CategoryID * length(CategoryName))"]),
+    "Product": ("Product", ["sum(ProductID * CategoryID)", "CAST(sum(UnitPrice) AS DOUBLE)", "CAST(sum(UnitCost) AS DOUBLE)"]),
+    "Customer": ("Customer", ["sum(CustomerID * Age)", "sum(length(Email))", "count(DISTINCT DateOfBirth)", "sum(month(RegistrationDate))"]),
+    "LoyaltyMembership": ("LoyaltyMembership JOIN {0}LoyaltyLevel USING (LoyaltyLevelID)",
+                          ["sum(CustomerID * length(LevelName))", "sum(CurrentPoints)", "sum(LifetimePointsEarned - LifetimePointsRedeemed)"]),
+    "Employee": ("Employee", ["sum(EmployeeID * StoreID)", "sum(length(Role))"]),
+    "MarketingCampaign": ("MarketingCampaign JOIN {0}MarketingChannel USING (MarketingChannelID)",
+                          ["sum(CampaignID * length(ChannelName))", "sum(CampaignID * CampaignTypeID)", "CAST(sum(DiscountPercent) AS DOUBLE)"]),
+    "SalesTransaction": ("SalesTransaction JOIN {0}PaymentMethod USING (PaymentMethodID)",
+                         ["sum(TransactionID * length(MethodName))", "sum(CustomerID)", "CAST(sum(TransactionTotal) AS DOUBLE)", "sum(day(TransactionDate))"]),
+    "SalesTransactionItem": ("SalesTransactionItem", ["sum(TransactionID)", "sum(ProductID * Quantity)", "CAST(sum(LineTotal) AS DOUBLE)"]),
+    "CampaignResponse": ("CampaignResponse", ["sum(CampaignID)", "sum(CustomerID)", "count(CASE WHEN EmailOpened THEN 1 END)",
+                                              "count(CASE WHEN CouponUsed THEN 1 END)", "CAST(sum(PurchaseAmount) AS DOUBLE)"]),
+}
+
+
+def _measures(prefix: str, tables: dict) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS TableName, CAST({i} AS BIGINT) AS Measure, CAST({measure} AS DOUBLE) AS Value FROM {prefix}{source.format(prefix)}"
+        for name, (source, measures) in tables.items() for i, measure in enumerate(["count(*)", *measures]))
+
+
+# What the source files hold: line amounts to the cent, ages and totals to be recomputed.
+_LOADED = f"""SELECT * FROM (WITH r_SalesTransactionItem AS (
+        SELECT * REPLACE (CAST(LineTotal AS DECIMAL(10,2)) AS LineTotal) FROM @SalesTransactionItem),
+    r_SalesTransaction AS (SELECT s.* REPLACE (CAST(coalesce(l.total, 0) AS DECIMAL(10,2)) AS TransactionTotal) FROM @SalesTransaction s
+        LEFT JOIN (SELECT TransactionID, sum(LineTotal) AS total FROM r_SalesTransactionItem GROUP BY 1) l USING (TransactionID)),
+    r_Customer AS (SELECT * REPLACE (CAST(floor(date_diff('day', DateOfBirth, CAST({AS_OF} AS DATE)) / 365.0) AS BIGINT) AS Age) FROM @Customer),
+    {", ".join(f"r_{n} AS (SELECT * FROM @{n})" for n in ("Store", "ProductCategory", "Product", "LoyaltyMembership", "LoyaltyLevel", "Employee", "MarketingCampaign", "MarketingChannel", "PaymentMethod", "CampaignResponse"))}
+    {_measures("r_", _MEASURES)}) x"""
+
+
+def _loaded_twice(t, env, **options):
+    """A store that has been loaded and refreshed; its second version counts."""
     source, target = scratch(env, "source"), scratch(env, "load")
     load.export_sources(t, source)
-    load.load_full_refresh(env.spark, source, target, as_of=ANALYTICS_AS_OF)
-    # a second run replaces the first
-    return load.load_full_refresh(env.spark, source, target, as_of=ANALYTICS_AS_OF)
+    for _ in range(2):
+        counts = load.load_full_refresh(env.spark, source, target, as_of=ANALYTICS_AS_OF, **options)
+    return target, counts
+
+
+@query("load_full_refresh", _LOADED)
+def _(t, env):
+    target, _counts = _loaded_twice(t, env)
+    files.register_views(files.scan_store(env.spark, target), "loaded_")
+    return env.spark.sql(_measures("loaded_", _MEASURES))
+
+
+@query("load_written_counts", _COUNTS)
+def _(t, env):
+    # as counted by the writes, with the reader that sets bad lines aside
+    return _loaded_twice(t, env, max_rejects=10)[1]
 
 
 def _staged_transactions(t):
@@ -233,11 +281,13 @@ def _(t, env):
     return optional_numbers(files.scan_table(env.spark, folder, "AIReport", columns), "CampaignID")
 
 
-@query("approve_report", "SELECT AIReportID, ReportText, Approved OR AIReportID = 7 AS Approved FROM @AIReport")
+@query("approve_report", """SELECT AIReportID, ReportText, CASE AIReportID WHEN 7 THEN true WHEN 9 THEN false ELSE Approved END AS Approved FROM @AIReport""")
 def _(t, env):
-    old, new = scratch(env, "reports"), scratch(env, "reports")
-    sinks.write_table(t["AIReport"], old, "AIReport")
-    return sinks.approve_report(env.spark, old, new, 7).select("AIReportID", "ReportText", "Approved")
+    folder = scratch(env, "reports")
+    sinks.write_table(t["AIReport"], folder, "AIReport")
+    for report, approve in ((7, True), (9, True), (9, False)):
+        sinks.approve_report(env.spark, folder, report, approve, as_of=ANALYTICS_AS_OF)
+    return files.scan_table(env.spark, folder, "AIReport", ["AIReportID", "ReportText", "Approved"])
 
 
 @query("default_values", """SELECT ResponseID, EmailOpened, CouponUsed, PurchaseCompleted,

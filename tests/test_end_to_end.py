@@ -27,6 +27,7 @@ def test_load_train_score_report(spark):
 
     tables = files.scan_store(spark, folder)
     assert tables["CustomerPrediction"].count() == 1000
+    assert L.model_log(spark, folder).count() == 2
     assert sorted(r.PredictionID for r in tables["CustomerPrediction"].collect()) == list(range(1, 1001))
     assert [r.ExecutionID for r in V.model_history(tables).collect()] == [2, 1]
     assert {r.OrphanCount for r in Q.orphans(tables, S.FOREIGN_KEYS).collect()} == {0}
@@ -40,8 +41,12 @@ def test_load_train_score_report(spark):
     sinks.write_table(rows, folder, "AIReport", "append")
     stored = files.scan_store(spark, folder)["AIReport"]
     assert stored.count() == 4 + 4 and stored.where("Approved").count() == 0
-    newer = scratch_path(spark, "e2e-approved")
-    assert sinks.approve_report(spark, folder, newer, 3).where("Approved").count() == 1
+    sinks.approve_report(spark, folder, 3, as_of=AS_OF)
+    assert [r.AIReportID for r in files.scan_store(spark, folder)["AIReport"].where("Approved").collect()] == [3]
+
+    # a stored model scores again, in a run of its own
+    assert L.score_and_store(spark, folder, as_of=AS_OF).first().Scored == 500
+    assert files.scan_table(spark, folder, "CustomerPrediction").count() == 1500
 
     # a new load clears predictions and reports, not the log of runs
     load.load_full_refresh(spark, source, folder, as_of=AS_OF)

@@ -1,9 +1,14 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from conftest import AS_OF, rows
 from pyspark.sql import functions as F
 
 from cartwheel.plans import learning as L
 from cartwheel.plans import views as V
+from cartwheel.session import scratch_path
 
 
 def test_features(tiny):
@@ -72,9 +77,9 @@ def test_evaluation(spark):
 
 
 def test_forest(labelled, spark):
-    split = L.stratified_split(labelled)
-    model, seconds = L.train_random_forest(split.where("not is_test"), numTrees=20)
-    assert seconds > 0 and model.getNumTrees == 20
+    split, folder = L.stratified_split(labelled), scratch_path(spark, "models")
+    model = L.train_random_forest(split.where("not is_test"), folder, numTrees=20, as_of=AS_OF)
+    assert model.seconds > 0 and model.forest.getNumTrees == 20 and model.train_rows == split.where("not is_test").count()
     metrics = L.evaluate_classifier(L.predict(model, split.where("is_test"))).first()
     assert metrics.tn + metrics.fp + metrics.fn + metrics.tp == split.where("is_test").count()
     assert metrics.accuracy > 0.8
@@ -84,5 +89,31 @@ def test_forest(labelled, spark):
     assert scores.where("(Probability >= 0.5) <> (Result = 'Yes')").count() == 0
     summary = L.score_summary(scores).first()
     assert summary.Scored == 600 and summary.PredictedYesPct == pytest.approx(100 * summary.PredictedYes / 600)
-    again, _ = L.train_random_forest(split.where("not is_test"), numTrees=20)
-    assert again.featureImportances == model.featureImportances
+    again = L.train_random_forest(split.where("not is_test"), folder, numTrees=20, threshold=0.8, as_of="2024-03-01")
+    assert again.forest.featureImportances == model.forest.featureImportances
+
+    # the newest one, by id, and its own threshold
+    assert L.load_model(spark, folder).model_id == again.model_id
+    loaded = L.load_model(spark, folder, model.model_id)
+    assert sorted(map(tuple, L.score_all(loaded, labelled).collect())) == sorted(map(tuple, scores.collect()))
+    assert L.score_all(again, labelled).where("(Probability >= 0.8) <> (Result = 'Yes')").count() == 0
+    with pytest.raises(LookupError):
+        L.load_model(spark, folder, "none")
+    with pytest.raises(LookupError):
+        L.load_model(spark, scratch_path(spark, "models"))
+
+
+def test_model_in_another_session(labelled, spark, tmp_path):
+    """A process that knows nothing but the folder scores alike."""
+    folder, scores, rows_path = scratch_path(spark, "models"), scratch_path(spark, "scores"), scratch_path(spark, "rows")
+    model = L.train_random_forest(labelled, folder, numTrees=5, as_of=AS_OF)
+    labelled.write.parquet(rows_path)
+    code = f"""
+from cartwheel.session import build_session
+from cartwheel.plans import learning as L
+spark = build_session("local[2]", spark__sql__shuffle__partitions="2")
+L.score_all(L.load_model(spark, {folder!r}), spark.read.parquet({rows_path!r})).write.parquet({scores!r})
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, check=True, capture_output=True)
+    assert sorted(map(tuple, spark.read.parquet(scores).collect())) == sorted(map(tuple, L.score_all(model, labelled).collect()))

@@ -101,7 +101,6 @@ def test_appends(spark, tiny):
     reports = spark.createDataFrame([("Campaign Analysis", 1, "text")], "ReportType string, CampaignID long, ReportText string")
     row = sinks.report_rows(reports, tiny["AIReport"], model_name="m", prompt_version="v").first()
     assert (row.AIReportID, row.Approved) == (4, False) and row.GeneratedDate is not None
-    assert {r.AIReportID: r.Approved for r in sinks.approved(tiny["AIReport"], 2).collect()} == {1: False, 2: True, 3: True}
 
 
 def test_defaults(spark):
