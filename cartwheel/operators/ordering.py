@@ -4,6 +4,11 @@ A window without PARTITION BY moves a whole table into one task.  The
 functions here give the same answers from windows over bounded buckets: rows
 go to buckets in rank order, one small aggregate counts the rows ahead of each
 bucket, and positions inside a bucket are added to that count.
+
+Where buckets of values begin comes from a mergeable quantile sketch.  For a
+quantile the sketch also tells between which two values it must lie; only
+values in that bracket are sorted, all others are just counted.  Nothing is
+stored: the input is read by the sketch and once more for the exact answer.
 """
 
 from __future__ import annotations
@@ -13,11 +18,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.session import materialize
-
 # Buckets per ordering.  The windows over bucket totals hold at most this many
 # rows (times the number of groups), whatever the size of the table.
 VALUE_BUCKETS = 1024  # a power of two
+SKETCH_SIZE = 4096  # values a sketch keeps in its largest level: about 100 kB
+# Published bound of such a sketch: its rank error is below this share of the
+# rows with 99 % confidence.  A bracket is four times as wide.
+RANK_ERROR = 2.296 / SKETCH_SIZE**0.9021
+BRACKET_STEPS = 63  # buckets of a bracket
 HASH_DIGITS = 3  # 16 ** 3 buckets
 
 
@@ -50,62 +58,68 @@ def _with_offset(totals: DataFrame, groups: Sequence[str], descending: bool = Fa
     )
 
 
-def _with_bucket(df: DataFrame, value: str, cuts: str) -> DataFrame:
+def _with_bucket(df: DataFrame, value: Column, cuts: str, count: int) -> DataFrame:
     """Adds the number of cut points below the value, by binary search in the
-    sorted array: one generated projection per halving."""
-    df = df.withColumn("_bucket", F.lit(0))
-    step = VALUE_BUCKETS // 2
+    sorted array of up to ``count``: one generated projection per halving."""
+    df = df.withColumns({"_bucket": F.lit(0), "_spot": value})
+    step = 1 << max(count, 1).bit_length() - 1
     while step:
-        below = F.get(cuts, F.col("_bucket") + F.lit(step - 1)) < F.col(value)
+        below = F.get(cuts, F.col("_bucket") + F.lit(step - 1)) < F.col("_spot")
         df = df.withColumn("_bucket", F.col("_bucket") + F.when(below, step).otherwise(0))
         step //= 2
-    return df
+    return df.drop("_spot")
+
+
+def _known(df: DataFrame, value: str) -> DataFrame:
+    """Rows with a value; a double that is not a number counts as none."""
+    rows = df.where(F.col(value).isNotNull())
+    return rows.where(~F.isnan(value)) if df.schema[value].dataType.typeName() in ("double", "float") else rows
+
+
+def _sketch(value: str) -> Column:
+    return F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH_SIZE))
+
+
+def _at_ranks(sketch: str, ranks: Sequence[float]) -> Column:
+    """Sorted values of a sketch at these shares of the rows."""
+    return F.array_sort(F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(min(max(r, 0.0), 1.0)) for r in ranks])))
+
+
+def _positions(counted: DataFrame, value: str, groups: Sequence[str], descending: bool = False) -> DataFrame:
+    """Adds ``ahead`` (rows before) and ``size`` (rows in all) to rows (groups,
+    _bucket, value, n).  A NULL value stands for the other rows of its bucket,
+    which come first."""
+    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_first()
+    totals = counted.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_total"))
+    offsets = _with_offset(totals, groups, descending).drop("_total")
+    inside = Window.partitionBy(*groups, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return counted.join(offsets, [*groups, "_bucket"]).select(
+        *groups, value, "n", "size", (F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("ahead")
+    )
 
 
-def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (), descending: bool = False,
-                    around: Sequence[float] | None = None) -> DataFrame:
+def value_positions(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
     """Distinct non-NULL values with ``n`` (rows holding the value), ``ahead``
-    (rows before it in the order) and ``size`` (rows in all), per group.
+    (rows before it in the order) and ``size`` (rows in all).
 
-    Equal values are counted first, which makes a value that fills a third of
-    the table a single row, and the counts are stored, since they are read
-    several times.  ``groups`` must be few (feature names, not keys).  With ``around``, only values near these quantiles need be kept.
+    Equal values are counted first, so that a value that fills a third of the
+    table is a single row; the sketch is taken of the distinct values.
     """
-    groups = list(groups)
-    counted = materialize(
-        df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n")), "values"
-    )
-    order = F.col(value).desc() if descending else F.col(value).asc()
+    counted = _known(df, value).groupBy(value).agg(F.count("*").alias("n"))
     spots = [i / VALUE_BUCKETS for i in range(1, VALUE_BUCKETS)]
-    cuts = counted.groupBy(*groups).agg(F.percentile_approx(value, spots, 10_000).alias("_cuts"))
-    # at most one row of cuts per group
-    placed = counted.join(cuts, groups) if groups else counted.withColumn("_cuts", cuts.scalar())
-    placed = _with_bucket(placed, value, "_cuts").drop("_cuts")
-    totals = placed.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_total"))
-    offsets = _with_offset(totals, groups, descending)
-    if around is not None:
-        wanted = F.lit(False)
-        for p in around:
-            for rank in _quantile_ranks(p):
-                wanted = wanted | ((F.col("_offset") <= rank) & (rank < F.col("_offset") + F.col("_total")))
-        offsets = offsets.where(wanted)
-    offsets = offsets.drop("_total")
-    inside = (
-        Window.partitionBy(*groups, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return placed.join(offsets, [*groups, "_bucket"]).select(
-        *groups, value, "n", "size", (F.col("_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("ahead")
-    )
+    sketch = counted.agg(_sketch(value).alias("_sketch"), F.count("*").alias("_rows")).where("_rows > 0")
+    cuts = sketch.select(_at_ranks("_sketch", spots).alias("_cuts")).scalar()
+    placed = _with_bucket(counted.withColumn("_cuts", cuts), F.col(value).cast("double"), "_cuts", len(spots)).drop("_cuts")
+    return _positions(placed, value, [], descending)
 
 
 def global_rank(df: DataFrame, metric: str, rank: str) -> DataFrame:
     """RANK() OVER (ORDER BY metric DESC) on every row of a table of any size;
     rows with a NULL metric come last.
 
-    ``df`` is stored first, since it is read more than once.  The ranks of the
-    distinct values are joined back (hot values are split by AQE).
+    The ranks of the distinct values are joined back (hot values are split by
+    AQE).
     """
-    df = materialize(df, "ranked")
     positions = value_positions(df, metric, descending=True)
     known = df.where(F.col(metric).isNotNull()).join(
         positions.select(metric, (F.col("ahead") + 1).alias(rank)), metric
@@ -121,16 +135,54 @@ def _quantile_ranks(p: float) -> tuple[Column, Column]:
     return F.floor(spot), F.ceil(spot)
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+def _brackets(probabilities: Sequence[float]) -> list[Column]:
+    """Columns ``_low``, ``_high`` (a value each per probability) and ``_cuts`` (their
+    buckets' ends) of a row with ``_sketch`` and ``_rows``.  Few rows are all
+    in the bracket."""
+    few, spread = F.col("_rows") <= SKETCH_SIZE, 4 * RANK_ERROR
+    lows, highs, cuts = [], [], []
+    for p in probabilities:
+        ends = _at_ranks("_sketch", [p - spread, p + spread])
+        lows.append(F.when(few | F.lit(p <= spread), F.lit(float("-inf"))).otherwise(F.element_at(ends, 1)))
+        highs.append(F.when(few | F.lit(p >= 1 - spread), F.lit(float("inf"))).otherwise(F.element_at(ends, 2)))
+        cuts += [p - spread + 2 * spread * i / BRACKET_STEPS for i in range(BRACKET_STEPS + 1)]
+    return [F.array(*lows).alias("_low"), F.array(*highs).alias("_high"), _at_ranks("_sketch", cuts).alias("_cuts")]
+
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = (),
+                    sketches: DataFrame | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles, one column ``q0, q1, ..`` per
-    probability and one row per group.  Of a large table, only the few buckets
-    around the wanted positions are sorted."""
+    probability and one row per group with a value (without groups always one
+    row, of NULLs for an empty column).  ``groups`` must be few (feature names,
+    not keys).
+
+    Two reads of ``df``: a sketch per group (``sketches``, with ``_sketch`` and
+    ``_rows``, if the caller has them) and the counts.  Values in a bracket
+    around a quantile, four rank errors of the sketch to both sides, are
+    counted one by one, the rest bucket by bucket.  Should a quantile ever lie
+    outside its bracket, the query fails rather than give another value.
+    """
     groups = list(groups)
-    positions = value_positions(df, value, groups, around=probabilities)
+    known = _known(df, value)
+    if sketches is None:
+        sketches = known.groupBy(*groups).agg(_sketch(value).alias("_sketch"), F.count("*").alias("_rows"))
+    bounds = sketches.where("_rows > 0").select(*groups, *_brackets(probabilities))
+    if groups:  # one row per group
+        placed = known.select(*groups, value).join(bounds, groups)
+    else:
+        placed = known.select(value).withColumn("_b", bounds.agg(F.first(F.struct("_low", "_high", "_cuts"))).scalar()).select(value, "_b.*")
+    spot, near = F.col(value).cast("double"), F.lit(False)
+    for i in range(len(probabilities)):
+        near = near | spot.between(F.get("_low", F.lit(i)), F.get("_high", F.lit(i)))
+    placed = _with_bucket(placed.withColumn("_near", near), spot, "_cuts", len(probabilities) * (BRACKET_STEPS + 1))
+    counted = placed.groupBy(*groups, "_bucket", F.when(F.col("_near"), F.col(value)).alias(value)).agg(F.count("*").alias("n"))
+    positions = _positions(counted, value, groups)
 
     def at(rank: Column) -> Column:
         here = (F.col("ahead") <= rank) & (rank < F.col("ahead") + F.col("n"))
-        return F.max(F.when(here, F.col(value).cast("double")))
+        found = F.max(F.when(here, F.col(value).cast("double")))
+        outside = F.raise_error(F.lit(f"a quantile of {value} lies outside its bracket")).cast("double")
+        return F.when(F.max("size").isNull(), F.lit(None)).otherwise(F.coalesce(found, outside))
 
     columns = []
     for i, p in enumerate(probabilities):
@@ -147,8 +199,8 @@ def median(df: DataFrame, value: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column."""
-    df = materialize(df.select(*columns), "described")
+    """count, mean, std, min, quartiles and max, one row per column.  The same
+    pass that counts and sums takes the sketches of the quartiles."""
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     )
@@ -159,8 +211,10 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+        _sketch("value").alias("_sketch"),
     )
-    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"])
+    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"],
+                                base.select("feature", "_sketch", F.col("count").alias("_rows")))
     return base.join(quartiles, "feature", "left").select(
         "feature", "count", "mean", "std", "min",
         F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",

@@ -11,7 +11,6 @@ from cartwheel.operators.aggregate import best_key_by_mean, rate_pct
 from cartwheel.operators.latest import latest_row
 from cartwheel.operators.ordering import argmax_row, median
 from cartwheel.plans import views as V
-from cartwheel.session import materialize
 
 PROMPT_VERSION = "v1.1"
 
@@ -66,11 +65,11 @@ def best_campaign_and_channel(tables, performance: DataFrame | None = None) -> D
     the campaigns at or above the median rate.  Campaigns never sent have no
     rate and take no part.
 
-    ``performance`` may bring a stored campaign performance; otherwise its one
-    row per campaign is stored here, so that the responses are read once.
+    Nothing is stored: the branches share the shuffle that sums the responses
+    by campaign.  ``performance`` may bring a campaign performance.
     """
     if performance is None:
-        performance = materialize(V.campaign_performance(tables), "performance")
+        performance = V.campaign_performance(tables)
     rated = performance.where("PurchaseCompletionRate is not null")
     best = _required(
         argmax_row(rated, "PurchaseCompletionRate", "CampaignID"), "no campaign was sent: load the data first"
@@ -146,7 +145,7 @@ def _typed_prompts(row: DataFrame, prompts: dict) -> DataFrame:
 
 def prompts_batch(tables) -> DataFrame:
     """All prompts at once: one per campaign, one of each other type."""
-    performance = materialize(V.campaign_performance(tables), "performance")
+    performance = V.campaign_performance(tables)
     model = latest_model_metrics(tables)
     program = [
         ("Total customers", _text("total_customers")),
@@ -205,9 +204,17 @@ def sections_check(reports: DataFrame) -> DataFrame:
 
 
 def _numbers(text):
-    """Distinct numbers of a text, without thousands separators."""
+    """Distinct numbers of a text by value: thousands separators and zeros at the
+    end of a fraction make no difference.  A number too long for the type is
+    left out."""
     found = F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda n: F.regexp_replace(n, ",", "")))
+    values = F.transform(found, lambda n: F.regexp_replace(n, ",", "").try_cast("decimal(38,6)"))
+    return F.array_distinct(F.filter(values, lambda n: n.isNotNull()))
+
+
+def _shown(number):
+    """A number without zeros at the end of its fraction."""
+    return F.regexp_replace(F.regexp_replace(number.cast("string"), r"0+$", ""), r"\.$", "")
 
 
 def number_check(reports: DataFrame, inputs: DataFrame, key: str) -> DataFrame:
@@ -218,9 +225,9 @@ def number_check(reports: DataFrame, inputs: DataFrame, key: str) -> DataFrame:
     given = inputs.select(key, _numbers(F.col("Prompt")).alias("_given"))
     # reports without a key stay out of the join: they would all meet in one task
     keyed = said.where(F.col(key).isNotNull()).join(given, key, "left")
-    unkeyed = said.where(F.col(key).isNull()).withColumn("_given", F.lit(None).cast("array<string>"))
-    missing = F.array_except("_said", F.coalesce(F.col("_given"), F.array().cast("array<string>")))
+    unkeyed = said.where(F.col(key).isNull()).withColumn("_given", F.lit(None).cast("array<decimal(38,6)>"))
+    missing = F.array_except("_said", F.coalesce(F.col("_given"), F.array().cast("array<decimal(38,6)>")))
     return keyed.unionByName(unkeyed).select(
         "AIReportID", F.size("_said").alias("NumbersFound"),
-        F.array_sort(missing).alias("UnsupportedNumbers"),
+        F.array_sort(F.transform(missing, _shown)).alias("UnsupportedNumbers"),
     )

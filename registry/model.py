@@ -101,7 +101,7 @@ def stored_model(t, env):
 
 
 @query("train_random_forest", """SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS TrainRows, CAST(200 AS BIGINT) AS Trees, CAST(10 AS BIGINT) AS Features,
-    true AS DepthHeld, 0.5 AS Threshold, true AS Timed
+    true AS DepthHeld, CAST(0.5 AS DOUBLE) AS Threshold, true AS Timed
     FROM (SELECT label, count(*) AS n FROM @Features WHERE label IS NOT NULL GROUP BY 1) x""")
 def _(t, env):
     # trained and stored here, then read back
@@ -109,7 +109,7 @@ def _(t, env):
     return env.spark.range(1).select(
         F.lit(model.train_rows).alias("TrainRows"), F.lit(model.forest.getNumTrees).alias("Trees"),
         F.lit(model.forest.numFeatures).alias("Features"), F.lit(max(x.depth for x in model.forest.trees) <= L.FOREST["maxDepth"]).alias("DepthHeld"),
-        F.lit(model.threshold).cast("decimal(2,1)").alias("Threshold"), F.lit(model.seconds > 0).alias("Timed"),
+        F.lit(model.threshold).alias("Threshold"), F.lit(model.seconds > 0).alias("Timed"),
     )
 
 
@@ -288,12 +288,14 @@ def _(t, env):
     return R.sections_check(t["AIReport"].select("AIReportID", "ReportText").unionByName(prompts))
 
 
-_NUMBERS = r"list_distinct(list_transform(regexp_extract_all({}, '\d[\d,]*(?:\.\d+)?'), lambda n: replace(n, ',', '')))"
+# by value: 12.5 is 12.50
+_NUMBERS = r"list_distinct(list_filter(list_transform(regexp_extract_all({}, '\d[\d,]*(?:\.\d+)?'), lambda n: TRY_CAST(replace(n, ',', '') AS DECIMAL(38,6))), lambda n: n IS NOT NULL))"
+_SHOWN = r"regexp_replace(regexp_replace(CAST(n AS VARCHAR), '0+$', ''), '\.$', '')"
 
 
 @query("report_number_check", f"""SELECT AIReportID, CAST(len(said) AS BIGINT) AS NumbersFound,
-    array_to_string(list_sort(list_filter(said, lambda n: NOT list_contains(given, n))), '|') AS UnsupportedNumbers FROM (
-    SELECT r.AIReportID, {_NUMBERS.format('r.ReportText')} AS said, coalesce({_NUMBERS.format('p.Prompt')}, CAST([] AS VARCHAR[])) AS given
+    array_to_string(list_sort(list_transform(list_filter(said, lambda n: NOT list_contains(given, n)), lambda n: {_SHOWN})), '|') AS UnsupportedNumbers FROM (
+    SELECT r.AIReportID, {_NUMBERS.format('r.ReportText')} AS said, coalesce({_NUMBERS.format('p.Prompt')}, CAST([] AS DECIMAL(38,6)[])) AS given
     FROM @AIReport r LEFT JOIN ({_CAMPAIGN_PROMPT}) p ON p.CampaignID = r.CampaignID) x""")
 def _(t, env):
     return R.number_check(t["AIReport"], R.campaign_prompts(V.campaign_performance(t)), "CampaignID")

@@ -35,6 +35,30 @@ def test_exact_quantiles(skewed):
     assert list(row) == pytest.approx([np.quantile(known, p) for p in wanted], abs=1e-9)
 
 
+def test_quantiles_of_many_rows_read_twice_and_stored_nowhere(spark, tmp_path):
+    """More rows than a sketch holds: the bracket is narrow, the answer exact."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.lognormal(0, 2, 60_000).round(3), np.full(30_000, 7.25), [np.nan] * 5])
+    path = str(tmp_path / "values")
+    spark.createDataFrame([(float(v),) for v in values], "v double").repartition(8).write.parquet(path)
+    df, known = spark.read.parquet(path), values[~np.isnan(values)]
+    got = O.exact_quantiles(df, "v", [0.01, 0.5, 0.75, 0.999])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert list(got.first()) == pytest.approx([np.quantile(known, p) for p in (0.01, 0.5, 0.75, 0.999)], abs=1e-9)
+    assert plan.count("Scan parquet") <= 4  # before equal shuffles are reused: two branches and the sketch
+    for name, column in (("e", F.col("v")), ("d", F.col("v").cast("decimal(12,3)"))):
+        one = O.median(df.select(column.alias(name)).where(f"not isnan({name})"), name).first().q0
+        assert one == pytest.approx(np.quantile(known, 0.5), abs=1e-9)
+
+
+def test_a_quantile_outside_its_bracket_fails(spark, monkeypatch):
+    monkeypatch.setattr(O, "SKETCH_SIZE", 200)
+    monkeypatch.setattr(O, "RANK_ERROR", 1e-9)  # a bracket of one value, where two are needed
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        O.median(df, "v").collect()
+
+
 def test_quantiles_per_group(spark):
     rng = random.Random(9)
     data = [(g, rng.gauss(0, 10**i)) for i, g in enumerate("abc") for _ in range(301 + i)]

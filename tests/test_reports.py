@@ -56,4 +56,12 @@ def test_numbers(tiny):
     got = {r.AIReportID: (r.NumbersFound, r.UnsupportedNumbers) for r in
            R.number_check(tiny["AIReport"], R.campaign_prompts(V.campaign_performance(tiny)), "CampaignID").collect()}
     # the prompt of campaign 1 holds a 2 (customers contacted), no 99
-    assert got == {1: (2, ["1000.50", "7"]), 2: (2, ["99"]), 3: (0, [])}
+    assert got == {1: (2, ["1000.5", "7"]), 2: (2, ["99"]), 3: (0, [])}
+
+
+def test_numbers_are_compared_by_value(spark):
+    reports = spark.createDataFrame([(1, 5, "12.5 of 3.0 and 1,200, 100 but not 12.05, 10"), (2, None, "0.50"), (3, 6, None), (4, 5, "9" * 60)],
+                                    "AIReportID long, CampaignID long, ReportText string")
+    inputs = spark.createDataFrame([(5, "12.50, 3, 1200.00, 100")], "CampaignID long, Prompt string")
+    got = {r.AIReportID: (r.NumbersFound, r.UnsupportedNumbers) for r in R.number_check(reports, inputs, "CampaignID").collect()}
+    assert got[1] == (6, ["10", "12.05"]) and got[2] == (1, ["0.5"]) and got[4] == (0, [])
