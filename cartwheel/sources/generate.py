@@ -1,77 +1,70 @@
-"""Synthetic source tables with the right shapes and dependencies, for tests.
-
-Attributes are hash expressions of the row's id and a seed: the same rows come
-out on any number of executors, with no driver loop.
+"""Source tables made up for tests, from the rules that the model's checks state.
+
+Every value is a function of the row's id and a seed: digits of a hash, looked
+up in small tables.  The same rows come out on any number of executors.  Rules
+that tie values together hold by construction: a product's price is cost plus
+margin, a membership's points are visits times fixed amounts and its level
+follows from them, a response is one stage of a ladder, a transaction's total
+is the sum of its lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
 from cartwheel.operators.sinks import export_csv
-from cartwheel.sources.schemas import SEEDS
+from cartwheel.sources.schemas import CSV_FILES, SEEDS
 
-# Rows of each id space at scale 1.
+# Rows of each id space at scale 1: the published size of the data set.
 SIZES = {
     "Store": 25, "Product": 500, "Customer": 5_000, "Employee": 250, "MarketingCampaign": 40,
     "SalesTransaction": 75_000, "SalesTransactionItem": 250_000, "CampaignResponse": 18_000,
 }
-CITIES = [("Ashford", "North"), ("Brookton", "North"), ("Carlow", "East"), ("Dunmere", "East"), ("Elmstead", "South"),
-          ("Farleigh", "South"), ("Glenrock", "West"), ("Harbridge", "West")]
-FIRST_NAMES = ["Ada", "Ben", "Chloe", "Dev", "Elif", "Femi", "Grace", "Hugo", "Ines", "Jonas"]
-LAST_NAMES = ["Abbot", "Baker", "Costa", "Dietz", "Evans", "Fischer", "Garcia", "Hansen"]
 CATEGORIES = ["Bread", "Dairy", "Drinks", "Frozen", "Fruit", "Household", "Meat", "Snacks"]
-BRANDS = ["Acorn", "Beacon", "Cobalt", "Daybreak", "Everfresh"]
-ROLES = ["Till Lead", "Floor Staff", "Buyer", "Driver"]
-# One channel and one payment method that no seed holds, so that a
-# load has names to add.
+TOWNS = {"North": ["Ashford", "Brookton"], "East": ["Carlow", "Dunmere"], "South": ["Elmstead", "Farleigh"], "West": ["Glenrock"]}
+WORDS = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove", "heath", "inlet", "jetty", "knoll"]
+# A channel and a payment method that no seed holds, so that a load has names to add.
 UNSEEDED_CHANNEL, UNSEEDED_PAYMENT = "Push Notification", "Credit Card"
-CHANNELS = [*SEEDS["MarketingChannel"][2], UNSEEDED_CHANNEL]
-PAYMENTS = [*SEEDS["PaymentMethod"][2], UNSEEDED_PAYMENT]
-LEVEL_WEIGHTS = list(zip(SEEDS["LoyaltyLevel"][2], (0.4, 0.3, 0.2, 0.1)))
-STATUS_WEIGHTS = [("Active", 0.8), ("Inactive", 0.15), ("Suspended", 0.05)]
-LINE_DISCOUNTS = [0, 0, 2, 4]
-COST, MARKUP = (1.0, 60.0), (1.1, 0.9)
-OPENED, COUPON, BUYS, WALKS_IN = 0.5, 0.4, 0.5, 0.1
-
+CHANNELS = [UNSEEDED_CHANNEL, *SEEDS["MarketingChannel"][2]]
+PAYMENTS = [UNSEEDED_PAYMENT, *SEEDS["PaymentMethod"][2]]
+COST_CENTS = [65, 80, 110, 145, 190, 250, 320, 475, 690, 1250]
+MARGIN_CENTS = [15, 20, 35, 60, 95]
+POINTS_A_VISIT, VISITS_A_REWARD = 40, 12
+LEVEL_FROM = [2_000, 5_000, 8_000]  # lifetime points of the second and later levels
+# Of ten responses: how far each goes.  (opened, coupon used, bought)
+STAGES = [(0, 0, 0), (0, 0, 0), (0, 0, 0), (0, 0, 1), (1, 0, 0), (1, 0, 0), (1, 0, 1), (1, 1, 0), (1, 1, 1), (1, 1, 1)]
+OPENED = sum(opened for opened, _, _ in STAGES) / len(STAGES)
+FIRST_DAY, OPENING_MINUTE, OPEN_MINUTES = "2024-02-01", 8 * 60 + 30, 12 * 60
 
 
-class Draw:
-    """Pseudo-random columns from an id, a purpose and the seed."""
+class Digits:
+    """Numbers from a column's value, a purpose and the seed."""
 
     def __init__(self, key: str, seed: int):
         self.key, self.seed = key, seed
 
-    def uniform(self, purpose: str) -> Column:
-        """Double in [0, 1)."""
-        spot = F.pmod(F.xxhash64(F.col(self.key), F.lit(purpose), F.lit(self.seed)), F.lit(2**40))
-        return spot / F.lit(float(2**40))
+    def below(self, purpose: str, n) -> Column:
+        """0 to n - 1; n may be a column."""
+        return F.pmod(F.xxhash64(F.lit(purpose), F.col(self.key), F.lit(self.seed)), F.lit(n) if isinstance(n, int) else n)
+
+    def of(self, purpose: str, values: Sequence) -> Column:
+        return _at(values, self.below(purpose, len(values)))
+
 
-    def integer(self, purpose: str, low, high) -> Column:
-        """Integer in [low, high]; the ends may be columns."""
-        low, high = (v if isinstance(v, Column) else F.lit(v) for v in (low, high))
-        return low + F.floor(self.uniform(purpose) * (high - low + 1))
+def _at(values: Sequence, spot: Column) -> Column:
+    return F.get(F.array(*map(F.lit, values)), spot.cast("int"))
 
-    def choice(self, purpose: str, values) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (self.integer(purpose, 1, len(values))).cast("int"))
 
-    def weighted(self, purpose: str, pairs) -> Column:
-        spot, total, picked = self.uniform(purpose), 0.0, F.when(F.lit(False), "")
-        for value, weight in pairs[:-1]:
-            total += weight
-            picked = picked.when(spot < total, value)
-        return picked.otherwise(pairs[-1][0])
+def _cents(amount: Column) -> Column:
+    return (amount.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("double")
 
-    def money(self, purpose: str, low: float, high: float) -> Column:
-        return F.round(F.lit(low) + self.uniform(purpose) * (high - low), 2)
 
-    def day(self, purpose: str, start: Column, end: Column) -> Column:
-        span = F.greatest(F.datediff(end, start), F.lit(0))
-        return F.date_add(start, self.integer(purpose, 0, span).cast("int"))
+def _in_file_order(df: DataFrame, name: str) -> DataFrame:
+    return df.select(*[column.split()[0] for column in CSV_FILES[name].split(", ")])
 
 
 def id_spaces(spark: SparkSession, scale: float = 1.0) -> dict[str, DataFrame]:
@@ -79,154 +72,124 @@ def id_spaces(spark: SparkSession, scale: float = 1.0) -> dict[str, DataFrame]:
     return {name: spark.range(1, max(1, round(n * scale)) + 1) for name, n in SIZES.items()}
 
 
+def _price_cents(product: Digits) -> tuple[Column, Column]:
+    """Cost and price of a product, from its id alone: a line knows them too."""
+    cost = product.of("cost", COST_CENTS)
+    return cost, cost + product.of("margin", MARGIN_CENTS)
+
+
+def _campaign_days(campaign: Digits, weeks: Column) -> tuple[Column, Column]:
+    """First and last day of a campaign: it starts in some week and runs for one
+    to five."""
+    start = F.date_add(F.lit(FIRST_DAY).cast("date"), (campaign.below("week", weeks) * 7).cast("int"))
+    return start, F.date_add(start, (campaign.below("length", 5) * 7 + 6).cast("int"))
+
+
 def gen_dataset(spark: SparkSession, *, scale: float = 1.0, seed: int = 42, today: str = "2025-06-30",
                 ids: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The ten source tables, named as their files.  ``ids`` may bring own id
     frames (one long column ``id``; foreign keys are drawn from 1..row count)."""
     ids = ids or id_spaces(spark, scale)
-    end_day = F.lit(today).cast("date")
-    first_day = F.lit("2024-02-01").cast("date")
-
-    def space(name, key):
-        return ids[name].select(F.col("id").alias(key)), Draw(key, seed)
-
-    size = {name: ids[name].agg(F.count("*")).scalar() for name in ("Store", "Product", "Customer", "MarketingCampaign",
-                                                                       "SalesTransaction")}
-
-    def place(draw):
-        spot = draw.choice("city", range(len(CITIES))) + 1
-        return (
-            F.element_at(F.array(*[F.lit(c) for c, _ in CITIES]), spot),
-            F.element_at(F.array(*[F.lit(p) for _, p in CITIES]), spot),
-        )
-
-    rows, d = space("Store", "StoreID")
-    city, province = place(d)
-    stores = rows.select(
-        "StoreID", F.concat(city, F.lit(" store "), F.col("StoreID").cast("string")).alias("StoreName"),
-        city.alias("City"), province.alias("Province"),
-    )
-    entries = F.array(*[F.struct(F.lit(i).alias("CategoryID"), F.lit(n).alias("CategoryName"))
-                        for i, n in enumerate(CATEGORIES, 1)])
-    categories = spark.range(1, numPartitions=1).select(F.inline(entries))
-
-    rows, d = space("Product", "ProductID")
-    products = rows.select(
-        "ProductID",
-        F.concat(F.lit("Item "), F.col("ProductID").cast("string")).alias("ProductName"),
-        d.integer("category", 1, len(CATEGORIES)).alias("CategoryID"),
-        d.choice("brand", BRANDS).alias("Brand"),
-        d.money("cost", *COST).alias("UnitCost"),
-    ).withColumn("UnitPrice", F.round(F.col("UnitCost") * (F.lit(MARKUP[0]) + d.uniform("margin") * MARKUP[1]), 2)).select(
-        "ProductID", "ProductName", "CategoryID", "Brand", "UnitPrice", "UnitCost"
-    )
-
-    rows, d = space("Customer", "CustomerID")
-    city, province = place(d)
-    customers = rows.select(
-        "CustomerID",
-        d.choice("first", FIRST_NAMES).alias("FirstName"),
-        d.choice("last", LAST_NAMES).alias("LastName"),
-        d.choice("gender", ["Male", "Female", "Non-binary"]).alias("Gender"),
-        F.date_sub(end_day, d.integer("birth", 20 * 366, 80 * 365).cast("int")).alias("DateOfBirth"),
-        F.format_string("000-%07d", d.integer("phone", 0, 9_999_999)).alias("Phone"),
-        city.alias("City"), province.alias("Province"),
-        F.format_string("%03d-%03d", d.integer("area", 0, 999), d.integer("block", 0, 999)).alias("PostalCode"),
-        d.day("registered", F.lit("2018-05-01").cast("date"), end_day).alias("RegistrationDate"),
-        d.weighted("status", STATUS_WEIGHTS).alias("CustomerStatus"),
-    ).withColumns({
+    day = F.lit(today).cast("date")
+    days = F.datediff(day, F.lit(FIRST_DAY).cast("date")) + 1
+    weeks = F.greatest((days / 7).cast("int") - 6, F.lit(1))
+    count = {name: frame.agg(F.count("*")).scalar() for name, frame in ids.items()}
+
+    def rows(name: str, key: str) -> tuple[DataFrame, Digits]:
+        return ids[name].select(F.col("id").alias(key)), Digits(key, seed)
+
+    def one_of(draw: Digits, name: str) -> Column:
+        return draw.below(name, count[name]) + 1
+
+    towns = [(town, province) for province, names in TOWNS.items() for town in names]
+
+    def town(draw: Digits) -> dict[str, Column]:
+        spot = draw.below("town", len(towns))
+        return {"City": _at([t for t, _ in towns], spot), "Province": _at([p for _, p in towns], spot)}
+
+    def person(draw: Digits) -> dict[str, Column]:
+        return {"FirstName": F.initcap(draw.of("given", WORDS)), "LastName": F.initcap(draw.of("family", WORDS))}
+
+    made = {}
+    df, d = rows("Store", "StoreID")
+    made["Stores"] = df.withColumns(town(d) | {"StoreName": F.format_string("%s %04d", d.of("store", WORDS), F.col("StoreID"))})
+
+    entries = F.array(*[F.struct(F.lit(i).alias("CategoryID"), F.lit(n).alias("CategoryName")) for i, n in enumerate(CATEGORIES, 1)])
+    made["ProductCategories"] = spark.range(1, numPartitions=1).select(F.inline(entries))
+
+    df, d = rows("Product", "ProductID")
+    cost, price = _price_cents(d)
+    made["Products"] = df.withColumns({
+        "ProductName": F.concat_ws(" ", d.of("look", WORDS), F.lit("no."), "ProductID"), "CategoryID": d.below("category", len(CATEGORIES)) + 1,
+        "Brand": F.upper(d.of("brand", WORDS)), "UnitPrice": _cents(price), "UnitCost": _cents(cost)})
+
+    df, d = rows("Customer", "CustomerID")
+    status = d.below("status", 16)
+    customers = df.withColumns(person(d) | town(d) | {
+        "Gender": d.of("gender", ["Male", "Female", "Non-binary"]),
+        "DateOfBirth": F.date_sub(F.add_months(day, F.lit(-12 * 19)), d.below("born", 60 * 365).cast("int")),
+        "Phone": F.format_string("555-%05d", d.below("phone", 100_000)),
+        "PostalCode": F.concat_ws(" ", F.hex(d.below("post", 4096)), F.hex(d.below("code", 256))),
+        "RegistrationDate": F.date_sub(day, d.below("since", 2500).cast("int")),
+        "CustomerStatus": F.when(status == 0, "Suspended").when(status < 4, "Inactive").otherwise("Active"),
+    }).withColumns({
         "Age": E.age_years(F.col("DateOfBirth"), today),
-        "Email": F.concat(F.lower("FirstName"), F.lit("."), F.lower("LastName"), F.col("CustomerID").cast("string"),
-                          F.lit("@example.com")),
-        "Address": F.concat(d.integer("house", 10, 9999).cast("string"), F.lit(" "), F.col("LastName"), F.lit(" St")),
-    }).select("CustomerID", "FirstName", "LastName", "Gender", "DateOfBirth", "Age", "Email", "Phone", "Address", "City",
-              "Province", "PostalCode", "RegistrationDate", "CustomerStatus")
-
-    earned = d.integer("earned", 0, 9_999)
-    memberships = customers.select(
-        F.concat(F.lit("LM"), F.lpad(F.col("CustomerID").cast("string"), 6, "0")).alias("LoyaltyNumber"),
-        "CustomerID",
-        d.weighted("level", LEVEL_WEIGHTS).alias("MembershipLevel"),
-        d.day("joined", F.col("RegistrationDate"), end_day).alias("JoinDate"),
-        earned.alias("LifetimePointsEarned"),
-        d.integer("redeemed", 0, earned).alias("LifetimePointsRedeemed"),
-    ).withColumn("CurrentPoints", F.col("LifetimePointsEarned") - F.col("LifetimePointsRedeemed")).select(
-        "LoyaltyNumber", "CustomerID", "MembershipLevel", "JoinDate", "CurrentPoints", "LifetimePointsEarned",
-        "LifetimePointsRedeemed",
-    )
-
-    rows, d = space("Employee", "EmployeeID")
-    employees = rows.select(
-        "EmployeeID", d.choice("first", FIRST_NAMES).alias("FirstName"), d.choice("last", LAST_NAMES).alias("LastName"),
-        d.choice("role", ROLES).alias("Role"), d.integer("store", 1, size["Store"]).alias("StoreID"),
-    )
-
-    def campaign_start(draw):
-        return draw.day("start", first_day, F.date_sub(end_day, 20))
-
-    def campaign_end(draw):
-        return F.date_add(campaign_start(draw), draw.integer("days", 5, 45).cast("int"))
-
-    rows, d = space("MarketingCampaign", "CampaignID")
-    campaigns = rows.select(
-        "CampaignID",
-        F.format_string("%s drive %d", d.choice("topic", CATEGORIES), F.col("CampaignID")).alias("CampaignName"),
-        d.choice("channel", CHANNELS).alias("Channel"),
-        campaign_start(d).alias("StartDate"), campaign_end(d).alias("EndDate"),
-        d.money("discount", 0.0, 40.0).alias("DiscountPercent"),
-    )
-
-    # Each transaction gets one line first; the other lines go round in turn.
-    rows, d = space("SalesTransactionItem", "TransactionItemID")
-    turn = F.pmod(F.col("TransactionItemID") - 1, size["SalesTransaction"]) + 1
-    product = Draw("ProductID", seed)
-    unit_cost = product.money("cost", *COST)
-    items = rows.select(
-        "TransactionItemID", turn.alias("TransactionID"),
-        d.integer("product", 1, size["Product"]).alias("ProductID"),
-        d.integer("quantity", 1, 6).alias("Quantity"),
-    ).withColumn("UnitPrice", F.round(unit_cost * (F.lit(MARKUP[0]) + product.uniform("margin") * MARKUP[1]), 2)).withColumn(
-        "Discount",
-        F.round(d.choice("off", LINE_DISCOUNTS) * F.col("Quantity") * (F.lit(0.25) + d.uniform("spread")), 2),
-    )
-    # a discount never exceeds the line
-    gross = F.round(F.col("Quantity") * F.col("UnitPrice"), 2)
-    items = items.withColumn("Discount", F.least(F.col("Discount"), gross)).withColumn(
-        "LineTotal", F.round(gross - F.col("Discount"), 2)
-    )
-    totals = items.groupBy("TransactionID").agg(
-        F.sum(F.col("LineTotal").cast("decimal(10,2)")).cast("double").alias("TransactionTotal")
-    )
-    rows, d = space("SalesTransaction", "TransactionID")
-    minute = d.integer("hour", 9, 20) * 60 + d.integer("minute", 0, 59)
-    transactions = rows.select(
-        "TransactionID", d.integer("customer", 1, size["Customer"]).alias("CustomerID"),
-        d.integer("store", 1, size["Store"]).alias("StoreID"),
-        (d.day("day", first_day, end_day).cast("timestamp_ntz")
-         + F.make_dt_interval(F.lit(0), F.lit(0), minute.cast("int"))).alias("TransactionDate"),
-        d.choice("payment", PAYMENTS).alias("PaymentMethod"),
-    ).join(totals, "TransactionID", "left").withColumn("TransactionTotal", E.zero_f(F.col("TransactionTotal")))
-
-    rows, d = space("CampaignResponse", "ResponseID")
-    campaign = Draw("CampaignID", seed)
-    opened = d.uniform("opened") < OPENED
-    coupon = opened & (d.uniform("coupon") < COUPON)
-    bought = (coupon & (d.uniform("buys") < BUYS)) | (~coupon & (d.uniform("walks_in") < WALKS_IN))
-    responses = rows.select(
-        "ResponseID", d.integer("campaign", 1, size["MarketingCampaign"]).alias("CampaignID"),
-        d.integer("customer", 1, size["Customer"]).alias("CustomerID"),
-        opened.cast("int").alias("EmailOpened"), coupon.cast("int").alias("CouponUsed"),
-        bought.cast("int").alias("PurchaseCompleted"),
-        F.when(bought, d.money("amount", 5.0, 300.0)).otherwise(0.0).alias("PurchaseAmount"),
-    ).withColumn(
-        "ResponseDate",
-        d.day("day", campaign_start(campaign), F.date_add(campaign_end(campaign), 3)).cast("timestamp_ntz"),
-    )
-    return {
-        "Stores": stores, "ProductCategories": categories, "Products": products, "Customers": customers,
-        "LoyaltyMemberships": memberships, "Employees": employees, "MarketingCampaigns": campaigns,
-        "SalesTransactions": transactions, "SalesTransactionItems": items, "CampaignResponses": responses,
-    }
+        "Email": F.format_string("c%d@mail.example", F.col("CustomerID")),
+        "Address": F.concat_ws(" ", d.below("number", 300) + 1, d.of("street", WORDS), F.lit("Road")),
+    })
+    made["Customers"] = customers
+
+    visits = d.below("visits", 260)
+    made["LoyaltyMemberships"] = customers.select("CustomerID", "RegistrationDate").withColumns({
+        "LoyaltyNumber": F.format_string("M-%010d", F.col("CustomerID")),
+        "LifetimePointsEarned": visits * POINTS_A_VISIT,
+        # every reward costs the points of its visits; some are not taken
+        "LifetimePointsRedeemed": F.floor(d.below("taken", visits + 1) / VISITS_A_REWARD) * (VISITS_A_REWARD * POINTS_A_VISIT),
+        "JoinDate": F.least(F.date_add("RegistrationDate", d.below("joined", 90).cast("int")), day),
+    }).withColumns({
+        "CurrentPoints": F.col("LifetimePointsEarned") - F.col("LifetimePointsRedeemed"),
+        "MembershipLevel": _at(SEEDS["LoyaltyLevel"][2], sum(((F.col("LifetimePointsEarned") >= least).cast("int") for least in LEVEL_FROM), F.lit(0))),
+    })
+
+    df, d = rows("Employee", "EmployeeID")
+    made["Employees"] = df.withColumns(person(d) | {"Role": d.of("role", ["Buyer", "Clerk", "Cook", "Driver"]), "StoreID": one_of(d, "Store")})
+
+    df, d = rows("MarketingCampaign", "CampaignID")
+    first, last = _campaign_days(d, weeks)
+    made["MarketingCampaigns"] = df.withColumns({
+        "CampaignName": F.concat_ws(" ", d.of("season", WORDS), F.lit("offer"), "CampaignID"), "Channel": d.of("channel", CHANNELS),
+        "StartDate": first, "EndDate": last, "DiscountPercent": (d.below("percent", 9) * 5).cast("double")})
+
+    # The first lines go to one transaction each, the later ones round again.
+    df, d = rows("SalesTransactionItem", "TransactionItemID")
+    _cost, price = _price_cents(Digits("ProductID", seed))
+    gross = F.col("Quantity") * F.col("_price")
+    items = df.withColumns({
+        "TransactionID": F.pmod(F.col("TransactionItemID") - 1, count["SalesTransaction"]) + 1,
+        "ProductID": one_of(d, "Product"), "Quantity": d.below("quantity", 5) + 1,
+    }).withColumn("_price", price).withColumn(
+        # one line in eight is on offer, at a tenth to four tenths off
+        "_off", F.when(d.below("offer", 8) == 0, F.floor(gross * (d.below("tenths", 4) + 1) / 10)).otherwise(0)
+    ).withColumns({"UnitPrice": _cents(F.col("_price")), "Discount": _cents(F.col("_off")), "LineTotal": _cents(gross - F.col("_off"))})
+    made["SalesTransactionItems"] = items
+
+    totals = items.groupBy("TransactionID").agg(_cents(F.sum(gross - F.col("_off"))).alias("TransactionTotal"))
+    df, d = rows("SalesTransaction", "TransactionID")
+    moment = F.make_dt_interval(d.below("day", days).cast("int"), F.lit(0), (d.below("minute", OPEN_MINUTES) + OPENING_MINUTE).cast("int"))
+    made["SalesTransactions"] = df.withColumns({
+        "CustomerID": one_of(d, "Customer"), "StoreID": one_of(d, "Store"), "PaymentMethod": d.of("payment", PAYMENTS),
+        "TransactionDate": F.lit(FIRST_DAY).cast("timestamp_ntz") + moment,
+    }).join(totals, "TransactionID", "left").withColumn("TransactionTotal", E.zero_f(F.col("TransactionTotal")))
+
+    df, d = rows("CampaignResponse", "ResponseID")
+    first, last = _campaign_days(Digits("CampaignID", seed), weeks)
+    stage = d.below("stage", len(STAGES))
+    opened, coupon, bought = (_at([s[i] for s in STAGES], stage) for i in range(3))
+    made["CampaignResponses"] = df.withColumns({
+        "CampaignID": one_of(d, "MarketingCampaign"), "CustomerID": one_of(d, "Customer"), "EmailOpened": opened, "CouponUsed": coupon,
+        "PurchaseCompleted": bought, "PurchaseAmount": _cents(bought * (d.below("spent", 24_000) + 500)),
+    }).withColumn("ResponseDate", F.date_add(first, d.below("after", F.datediff(last, first) + 1).cast("int")).cast("timestamp_ntz"))
+    return {name: _in_file_order(df, name) for name, df in made.items()}
 
 
 def write_sources(frames: Mapping[str, DataFrame], folder: str) -> None:
