@@ -3,12 +3,15 @@ folder of the shared scratch space and return what is stored."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartwheel.functions import expr as E
 from cartwheel.operators import dimensions as Dim
 from cartwheel.operators import quality as Q
 from cartwheel.operators import sinks
+from cartwheel.plans import layouts
 from cartwheel.plans import learning as L
 from cartwheel.plans import load
 from cartwheel.plans import reports as R
@@ -321,11 +324,45 @@ _STATISTICS = ["customer", "orders", "lineitem", "events", "supplier"]
 @query("refresh_statistics", " UNION ALL ".join(
     f"SELECT 'cartwheel_{n}' AS TableName, count(*) AS KnownRows, 'Statistics refreshed' AS Status FROM {n}" for n in _STATISTICS))
 def _(t, env):
-    names = []
+    # external tables in a database of this run's own
+    database = f"cartwheel_{uuid.uuid4().hex}"
+    layouts.create_database(env.spark, database)
     for name in _STATISTICS:
-        # external tables: dropping or creating one leaves the files alone
-        env.spark.sql(f"DROP TABLE IF EXISTS default.cartwheel_{name}")
-        env.spark.catalog.createTable(f"default.cartwheel_{name}", path=f"{env.folder}/{name}.parquet", source="parquet",
+        env.spark.catalog.createTable(f"{database}.cartwheel_{name}", path=f"{env.folder}/{name}.parquet", source="parquet",
                                       schema=raw_table(env.spark, env.folder, name).schema)
-        names.append(f"cartwheel_{name}")
-    return sinks.refresh_statistics(env.spark, "default", names)
+    return sinks.refresh_statistics(env.spark, database, [f"cartwheel_{name}" for name in _STATISTICS])
+
+
+# -- stored layouts ------------------------------------------------------------------
+
+_BUCKETS = 16
+
+
+def _database(t, env, store, *more):
+    name = f"cartwheel_{uuid.uuid4().hex}"
+    store(t, name, *more)
+    return name
+
+
+@query("sales_performance_bucketed", "SELECT * FROM @Sales")
+def _(t, env):
+    return V.sales_performance(layouts.with_stored_facts(t, _database(t, env, layouts.store_facts, _BUCKETS)))
+
+
+@query("customer_metrics_bucketed", "SELECT * FROM @Analytics WHERE CustomerID = 7")
+def _(t, env):
+    return layouts.customer_metrics(env.spark, _database(t, env, layouts.store_by_customer, _BUCKETS), 7, as_of=ANALYTICS_AS_OF)
+
+
+@query("cube_rollup", f"""SELECT CAST(SalesYear AS DOUBLE) AS SalesYear, CAST(SalesMonth AS DOUBLE) AS SalesMonth, CAST(CategoryID AS DOUBLE) AS CategoryID, {money('LineTotal', 4)} AS Revenue, CAST(sum(Quantity) AS BIGINT) AS UnitsSold, true AS CountWithinBound
+    FROM @SoldLines GROUP BY ROLLUP (SalesYear, SalesMonth, CategoryID)""")
+def _(t, env):
+    # estimated counts against the exact ones: within four standard errors
+    dims = ["SalesYear", "SalesMonth", "CategoryID"]
+    cube = env.spark.table(f"{_database(t, env, layouts.store_cube)}.{layouts.CUBE}")
+    exact = V.sales_rollup(t, dims).select(*[F.col(d).alias(f"_{d}") for d in dims], F.col("GroupingLevel").alias("_level"), F.col("TransactionCount").alias("_exact"))
+    got = layouts.cube_rollup(cube, dims)
+    same = [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in dims] + [F.col("GroupingLevel") == F.col("_level")]
+    near = F.abs(F.col("TransactionCount") - F.col("_exact")) <= F.lit(4 * layouts.SKETCH_ERROR) * F.col("_exact")
+    rows = got.join(exact, same, "left").select(*dims, "Revenue", "UnitsSold", near.alias("CountWithinBound"))
+    return optional_numbers(rows, *dims)
