@@ -116,7 +116,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> dict[Configuration, int]:
 
 
 def solve(counts: dict[int, int], capacity: int) -> dict[Configuration, int]:
-    """Number of sequences with each configuration; every piece is in one."""
+    """Number of sequences with each configuration; every piece is in one.  Never
+    more sequences than plain best fit, whose plan is taken if it has fewer."""
     left = {n: c for n, c in counts.items() if c > 0}
     if any(n > capacity or n < 1 for n in left):
         raise ValueError("a piece does not fit into a sequence")
@@ -140,7 +141,8 @@ def solve(counts: dict[int, int], capacity: int) -> dict[Configuration, int]:
                 take(content, n)
     for content, n in best_fit(left, capacity).items():
         plan[content] = plan.get(content, 0) + n
-    return plan
+    plain = best_fit({n: c for n, c in counts.items() if c > 0}, capacity)
+    return plan if sum(plan.values()) <= sum(plain.values()) else plain
 
 
 @dataclass
