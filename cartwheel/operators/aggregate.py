@@ -24,10 +24,12 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def best_key_by_mean(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Key with the highest mean; the first key wins a tie."""
+    """Key with the highest mean; the first key wins a tie.  The sum is one of
+    decimals, so that the order of the rows cannot turn a tie."""
+    total = F.sum(F.col(value).cast("decimal(28,12)")).cast("double")
     return (
         df.groupBy(key)
-        .agg(F.avg(value).alias("MeanValue"))
+        .agg(E.ratio(total, F.count(value)).alias("MeanValue"))
         .where("MeanValue is not null")
         .orderBy(F.col("MeanValue").desc(), F.col(key).asc())
         .limit(1)

@@ -16,7 +16,7 @@ from cartwheel.plans import learning as L
 from cartwheel.plans import views as V
 from cartwheel.sources.bindings import ANALYTICS_AS_OF, SALES_AS_OF
 from registry.canon import SALES_AS_OF as SALES_SQL
-from registry.canon import age, count_if, days, dollars_text, money, pct, percent_text, ratio
+from registry.canon import AS_OF, age, count_if, days, dollars_text, money, pct, percent_text, ratio
 from registry.core import optional_numbers, query
 
 c = F.col
@@ -254,8 +254,11 @@ def _(t, env):
     return members.groupBy("LoyaltyLevelID").agg(E.ratio(F.sum("spend").cast("double"), F.count("*")).alias("AvgSpend"))
 
 
-@query("agg_mean_by_key_argmax", """SELECT ChannelName, round(avg(PurchaseCompletionRate), 6) AS MeanValue FROM @Performance GROUP BY 1
-    ORDER BY avg(PurchaseCompletionRate) DESC NULLS LAST, ChannelName LIMIT 1""")
+_MEAN = ratio("CAST(sum(CAST(PurchaseCompletionRate AS DECIMAL(28,12))) AS DOUBLE)", "count(PurchaseCompletionRate)")
+
+
+@query("agg_mean_by_key_argmax", f"""SELECT ChannelName, round({_MEAN}, 6) AS MeanValue FROM @Performance GROUP BY 1
+    ORDER BY {_MEAN} DESC NULLS LAST, ChannelName LIMIT 1""")
 def _(t, env):
     best = A.best_key_by_mean(V.campaign_performance(t), "ChannelName", "PurchaseCompletionRate")
     return best.withColumn("MeanValue", F.round("MeanValue", 6))
@@ -413,9 +416,12 @@ def _(t, env):
     return t["SalesTransaction"].select("TransactionID", (c("TransactionDate") < E.months_before(SALES_AS_OF, 6)).alias("IsOld"))
 
 
-@query("fn_now", "SELECT CustomerID, true AS IsPast FROM @Customer")
+@query("fn_now", f"""SELECT CustomerID, {AS_OF} AS Moment, date_diff('day', RegistrationDate, CAST({AS_OF} AS DATE)) AS DaysBefore, true AS IsPast FROM @Customer""")
 def _(t, env):
-    return t["Customer"].select("CustomerID", (c("RegistrationDate").cast("timestamp_ntz") < E.now(None)).alias("IsPast"))
+    # a given moment; without one, the clock
+    return t["Customer"].select(
+        "CustomerID", E.now(ANALYTICS_AS_OF).alias("Moment"), F.datediff(E.now(ANALYTICS_AS_OF), "RegistrationDate").alias("DaysBefore"),
+        (c("RegistrationDate").cast("timestamp_ntz") < E.now(None)).alias("IsPast"))
 
 
 @query("fn_arith", "SELECT CampaignID, CAST(DiscountPercent AS DOUBLE) / 100.0 AS Fraction, 100.0 - CAST(DiscountPercent AS DOUBLE) AS Remainder FROM @MarketingCampaign")

@@ -200,7 +200,7 @@ _LATEST_MODEL = f"""SELECT Algorithm AS algorithm, CAST(Accuracy AS DOUBLE) AS a
     (SELECT {count_if("PredictionResult = 'Yes'")} FROM @CustomerPrediction) AS predicted_positive_count
     FROM @ModelExecution ORDER BY ExecutionDate DESC, ExecutionID DESC LIMIT 1"""
 _BEST = f"""SELECT CampaignName AS best_campaign, PurchaseCompletionRate AS best_campaign_response_rate,
-    (SELECT ChannelName FROM @Performance WHERE PurchaseCompletionRate IS NOT NULL GROUP BY 1 ORDER BY avg(PurchaseCompletionRate) DESC, ChannelName LIMIT 1) AS best_channel,
+    (SELECT ChannelName FROM @Performance WHERE PurchaseCompletionRate IS NOT NULL GROUP BY 1 ORDER BY CAST(sum(CAST(PurchaseCompletionRate AS DECIMAL(28,12))) AS DOUBLE) / count(*) DESC, ChannelName LIMIT 1) AS best_channel,
     (SELECT {ratio('CAST(sum(CAST(DiscountPercent AS DECIMAL(18,2))) AS DOUBLE)', 'count(*)')} FROM @Performance
      WHERE PurchaseCompletionRate >= (SELECT quantile_cont(PurchaseCompletionRate, 0.5) FROM @Performance)) AS avg_discount_on_winners
     FROM @Performance WHERE PurchaseCompletionRate IS NOT NULL ORDER BY PurchaseCompletionRate DESC, CampaignID LIMIT 1"""

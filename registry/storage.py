@@ -305,6 +305,30 @@ def _(t, env):
     return sinks.with_defaults(partial, "CampaignResponse")
 
 
+_KEYS = {"Customer": "CustomerID", "LoyaltyMembership": "CustomerID", "SalesTransactionItem": "TransactionItemID", "CampaignResponse": "ResponseID",
+         "CustomerPrediction": "PredictionID", "AIReport": "AIReportID", "ModelExecution": "ExecutionID"}
+
+
+def _default_sql(value):
+    return AS_OF if value == "now" else f"'{value}'" if isinstance(value, str) else str(value).lower()
+
+
+@query("default_values_all", " UNION ALL ".join(
+    f"SELECT '{table}' AS TableName, '{column}' AS ColumnName, count(CASE WHEN {_KEYS[table]} % 2 = 0 OR {column} = {_default_sql(value)} THEN 1 END) AS DefaultRows,"
+    f" count(*) AS RecordCount FROM @{table}" for table, columns in S.DEFAULTS.items() for column, value in columns.items()))
+def _(t, env):
+    # every column that has a default, left out in every second row
+    found = []
+    for table, columns in S.DEFAULTS.items():
+        partial = t[table].withColumns({column: F.when(F.col(_KEYS[table]) % 2 != 0, F.col(column)) for column in columns})
+        filled = sinks.with_defaults(partial, table, ANALYTICS_AS_OF)
+        for column, value in columns.items():
+            default = E.now(ANALYTICS_AS_OF) if value == "now" else F.lit(value)
+            found.append(filled.agg(F.count_if(F.col(column) == default).alias("DefaultRows"), F.count("*").alias("RecordCount")).select(
+                F.lit(table).alias("TableName"), F.lit(column).alias("ColumnName"), "DefaultRows", "RecordCount"))
+    return Q.stack_rows(found)
+
+
 @query("export_csv", "SELECT * FROM @Performance")
 def _(t, env):
     view = V.campaign_performance(t)
