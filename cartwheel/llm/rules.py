@@ -3,12 +3,13 @@
 Sequential covering: a rule is a conjunction of thresholds on statistics that
 holds for low-quality texts.  It is grown one condition at a time by
 information gain on two thirds of the labelled rows, pruned on the other
-third, and kept if it is precise there; the rows it covers leave, and the next
-rule is grown.  The list becomes one conditional expression.
+third, and kept if it is precise there; else the next best start is tried.  The
+rows a rule covers leave, and the next rule is grown.  The list becomes one
+conditional expression.
 
 All work is done by DataFrame operations.  Labelled rows are counted by cells
-of the thresholds' grid once; growing reads sums by statistic and cell from
-Spark, a few hundred numbers at a time.
+of the thresholds' grid once; growing reads sums by start, statistic and cell
+from Spark, a few thousand numbers at a time.
 """
 
 from __future__ import annotations
@@ -144,19 +145,24 @@ def _cell(statistic: str, points: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, points)), lambda x: x < F.col(statistic)))
 
 
-def _sums(cells: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[str, int], tuple[int, int]]:
-    """Low and other rows at or below each cut, by statistic and cut."""
+def _sums(cells: DataFrame, rules: list[Rule], cuts: dict[str, list[float]]) -> list[dict[tuple[str, int], tuple[int, int]]]:
+    """For each rule, low and other rows it covers at or below each cut, by
+    statistic and cut: all from one pass."""
+    covering = F.filter(F.array(*[F.when(_holds(rule, cells=True), F.lit(i)) for i, rule in enumerate(rules)]), lambda i: i.isNotNull())
     pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"_{s}").alias("c")) for s in cuts]))
-    rows = cells.select(pairs.alias("p"), "low", "n").groupBy("p.s", "p.c").agg(
-        F.sum(F.col("low") * F.col("n")).alias("low"), F.sum("n").alias("n")).collect()  # a row for each statistic and cell
-    found = {}
-    for s, points in cuts.items():
-        low = n = 0
-        by = {r["c"]: r for r in rows if r["s"] == s}
-        for c in range(len(points) + 1):
-            if c in by:
-                low, n = low + by[c]["low"], n + by[c]["n"]
-            found[s, c] = (low, n - low)
+    rows = cells.withColumn("r", F.explode(covering)).select("r", pairs.alias("p"), "low", "n").groupBy("r", "p.s", "p.c").agg(
+        F.sum(F.col("low") * F.col("n")).alias("low"), F.sum("n").alias("n")).collect()  # a row for each rule, statistic and cell
+    by = {(x["r"], x["s"], x["c"]): x for x in rows}
+    found = []
+    for i in range(len(rules)):
+        sums = {}
+        for s, points in cuts.items():
+            low = n = 0
+            for c in range(len(points) + 1):
+                if (i, s, c) in by:
+                    low, n = low + by[i, s, c]["low"], n + by[i, s, c]["n"]
+                sums[s, c] = (low, n - low)
+        found.append(sums)
     return found
 
 
@@ -166,12 +172,35 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
 
 
-def learn(labelled: DataFrame, key: str, low: str, most_rules: int = 8, most_conditions: int = 3, precision: float = 0.95,
+def _choices(sums: dict[tuple[str, int], tuple[int, int]], cuts: dict[str, list[float]]) -> list[tuple[float, Condition]]:
+    """The best cut of each statistic and direction that gains anything, by
+    falling gain."""
+    total = sums[STATISTICS[0], len(cuts[STATISTICS[0]])]
+    if not total[0] or not total[1]:
+        return []
+    found = []
+    for s, points in cuts.items():
+        for above in (False, True):
+            gains = []
+            for c in range(len(points)):
+                p, n = sums[s, c]
+                gains.append((_gain(total[0] - p, total[1] - n, *total) if above else _gain(p, n, *total), -c))
+            gain, c = max(gains)
+            if gain > 1e-9:
+                found.append((gain, Condition(s, above, points[-c], -c)))
+    return sorted(found, key=lambda x: (x[0], x[1].statistic, x[1].above), reverse=True)
+
+
+def learn(labelled: DataFrame, key: str, low: str, most_rules: int = 16, most_conditions: int = 3, precision: float = 0.95,
           least_rows: int = 8) -> list[Rule]:
     """Rules for rows with the statistics and ``low`` (1: of low quality, 0: not;
-    NULL: left out).  Without rows of both kinds there is no rule.  A rule is
-    taken if it has ``precision`` and ``least_rows`` low rows among those it was
-    not grown on; the first that has not ends the list."""
+    NULL: left out).  Without rows of both kinds there is no rule.
+
+    A rule is grown from the best cut of each statistic and direction, all of
+    them in the same passes.  It is taken if it has ``precision`` and
+    ``least_rows`` low rows among those it was not grown on; if it has not, the
+    rule of the next best start is judged.  The list ends when no start gives a
+    rule that passes, or at ``most_rules``."""
     rows = labelled.where(F.col(low).isNotNull()).select(key, F.col(low).cast("int").alias("low"), *STATISTICS)
     spots = [i / CUTS for i in range(CUTS + 1)]
     # cuts are taken from low rows and from others: what tells them apart may be rare in all
@@ -188,35 +217,42 @@ def learn(labelled: DataFrame, key: str, low: str, most_rules: int = 8, most_con
         left = cells
         for rule in rules:
             left = left.where(~_holds(rule, cells=True))
-        rule: Rule = ()
-        while len(rule) < most_conditions:
-            sums = _sums(left.where("grow").where(_holds(rule, cells=True)), cuts)
-            total = sums[STATISTICS[0], len(cuts[STATISTICS[0]])]
-            if not total[0] or not total[1]:
+        starts = _choices(_sums(left.where("grow"), [()], cuts)[0], cuts)
+        tried: list[Rule] = [(condition,) for _, condition in starts]
+        growing = set(range(len(tried)))
+        for _ in range(most_conditions - 1):
+            if not growing:
                 break
-            choices = []
-            for (s, c), (p, n) in sums.items():
-                if c < len(cuts[s]):
-                    choices.append((_gain(p, n, *total), s, False, c))
-                    choices.append((_gain(total[0] - p, total[1] - n, *total), s, True, c))
-            gain, s, above, c = max(choices, key=lambda x: (x[0], x[1], x[2], -x[3]))
-            if gain <= 1e-9:
-                break
-            rule += (Condition(s, above, cuts[s][c], c),)
-        if not rule:
-            break
-        # all beginnings of the rule are judged on the other rows in one pass
-        tried = [F.sum(F.when(_holds(rule[:k], cells=True), F.col(c) * F.col("n")).otherwise(0)).alias(f"{c}{k}")
-                 for k in range(1, len(rule) + 1) for c in ("low", "other")]
-        judged = left.where("not grow").withColumn("other", 1 - F.col("low")).agg(*tried).first()
-        best = max(range(1, len(rule) + 1), key=lambda k: (_value(judged[f"low{k}"], judged[f"other{k}"]), -k))
-        p, n = judged[f"low{best}"] or 0, judged[f"other{best}"] or 0
-        if p < least_rows or p < precision * (p + n):
+            order = sorted(growing)
+            for i, sums in zip(order, _sums(left.where("grow"), [tried[i] for i in order], cuts), strict=True):
+                more = _choices(sums, cuts)
+                if more:
+                    tried[i] += (more[0][1],)
+                else:
+                    growing.remove(i)
+        rule = _best(left.where("not grow"), tried, precision, least_rows)
+        if rule is None:
             break
-        rules.append(rule[:best])
+        rules.append(rule)
     return rules
 
 
+def _best(others: DataFrame, tried: list[Rule], precision: float, least_rows: int) -> Rule | None:
+    """The first rule that passes on rows it was not grown on, cut to its best
+    beginning.  All beginnings of all rules are judged in one pass."""
+    if not tried:
+        return None
+    sums = [F.sum(F.when(_holds(rule[:k], cells=True), F.col(c) * F.col("n")).otherwise(0)).alias(f"{c}{i}_{k}")
+            for i, rule in enumerate(tried) for k in range(1, len(rule) + 1) for c in ("low", "other")]
+    judged = others.withColumn("other", 1 - F.col("low")).agg(*sums).first()
+    for i, rule in enumerate(tried):
+        best = max(range(1, len(rule) + 1), key=lambda k: (_value(judged[f"low{i}_{k}"], judged[f"other{i}_{k}"]), -k))
+        p, n = judged[f"low{i}_{best}"] or 0, judged[f"other{i}_{best}"] or 0
+        if p >= least_rows and p >= precision * (p + n):
+            return rule[:best]
+    return None
+
+
 def _value(p: int | None, n: int | None) -> float:
     p, n = p or 0, n or 0
     return (p - n) / (p + n) if p + n else -1.0

@@ -64,3 +64,56 @@ def test_nothing_to_learn_from(spark):
     judged, learnt = rules.judge(docs, none)
     assert learnt == [] and {r.doc_id: r.kept for r in judged.collect()} == {1: False, 2: True}
     assert rules.judge(docs.limit(0), none)[0].collect() == []
+
+
+def table_of(spark, rows):
+    """Rows (key, low, symbol_rate, upper_rate, mean_word) as labelled statistics."""
+    fill = [f"0.0D as {s}" for s in rules.STATISTICS if s not in ("symbol_rate", "upper_rate", "mean_word")]
+    return spark.createDataFrame(rows, "doc_id long, low int, symbol_rate double, upper_rate double, mean_word double").selectExpr("*", *fill)
+
+
+def test_a_failed_rule_does_not_end_the_list(spark):
+    pick = random.Random(6)
+    rows = []
+    for i in range(3000):
+        symbols, upper, mean = pick.random(), pick.random(), pick.random()
+        # many low rows above 0.5 symbols, yet one in seven there is not; all above 0.9 upper are low
+        low = (symbols > 0.5 and pick.random() < 0.85) or upper > 0.9
+        rows.append((i, int(low), symbols, upper, mean))
+    learnt = rules.learn(table_of(spark, rows), "doc_id", "low", most_conditions=1)
+    assert [[c.statistic for c in rule] for rule in learnt] == [["upper_rate"]] and learnt[0][0].above
+    assert 0.87 <= learnt[0][0].cut <= 0.93
+
+
+def test_conjunctions_are_grown_and_pruned(spark):
+    pick = random.Random(8)
+    rows = []
+    for i in range(4000):
+        symbols, upper, mean = pick.random(), pick.random(), pick.random()
+        rows.append((i, int((symbols > 0.7 and upper > 0.7) or mean < 0.1), symbols, upper, mean))
+    stats = table_of(spark, rows)
+    learnt = rules.learn(stats, "doc_id", "low")
+    assert any({c.statistic for c in rule} >= {"symbol_rate", "upper_rate"} for rule in learnt)
+    assert any([c.statistic for c in rule] == ["mean_word"] and not rule[0].above for rule in learnt)
+    got = {r.doc_id: r.kept for r in stats.withColumn("kept", rules.verdict(learnt)).collect()}
+    # the conditional expression against the rules applied one by one
+    names = ["symbol_rate", "upper_rate", "mean_word"]
+    for i, low, *values in rows:
+        at = dict(zip(names, values)) | {s: 0.0 for s in rules.STATISTICS if s not in names}
+        hit = any(all((at[c.statistic] > c.cut) == c.above for c in rule) for rule in learnt)
+        assert got[i] == (not hit)
+    assert sum(got[i] == bool(low) for i, low, *_ in rows) < 0.03 * len(rows)
+
+
+def test_noise_gives_no_rule(spark):
+    pick = random.Random(2)
+    rows = [(i, pick.randrange(2), pick.random(), pick.random(), pick.random()) for i in range(1500)]
+    assert rules.learn(table_of(spark, rows), "doc_id", "low") == []
+
+
+def test_columns_of_the_input_may_have_any_name(spark):
+    docs = spark.createDataFrame([(i, "w " * i, 1, True, "x", 2) for i in range(30)] + [(4, "w " * 4, 1, True, "x", 2)],
+                                 "doc_id long, text string, low int, kept boolean, _id string, base_failed int")
+    labels = spark.createDataFrame([(i, i % 2, 5, 6) for i in range(30)], "doc_id long, quality int, low int, n_words int")
+    judged, _ = rules.judge(docs, labels)
+    assert judged.count() == 31 and judged.columns.count("kept") == judged.columns.count("base_failed") == 1
