@@ -93,6 +93,17 @@ class Sample:
     norms: np.ndarray
 
 
+def slopes(f: np.ndarray, k: int, prior: float) -> np.ndarray:
+    """Derivatives by ``f`` of what a step lowers, the first ``k`` being
+    positive: the corrected risk, or, where its second part is negative, that
+    part turned round."""
+    up = 1 / (1 + np.exp(-np.clip(f, -50, 50)))  # derivative of loss(-f); that of loss(+f) is up - 1
+    corrected = np.logaddexp(0, f[k:]).mean() - prior * np.logaddexp(0, f[:k]).mean()
+    turned = 1.0 if corrected >= 0 else -1.0
+    of_positive = prior * (up[:k] - 1) * (corrected >= 0) - turned * prior * up[:k]
+    return np.concatenate([of_positive / k, turned * up[k:] / (len(f) - k)])
+
+
 def train(positive: Sample, unlabelled: Sample, prior: float, min_texts: int = 10, epochs: int = 25, batch: int = 512,
           rate: float = 0.02, decay: float = 1e-2, seed: int = 3) -> Model:
     """Fit by Adam on mixed batches.  Features in fewer than ``min_texts``
@@ -135,10 +146,7 @@ def train(positive: Sample, unlabelled: Sample, prior: float, min_texts: int = 1
             x = np.concatenate([*[values_p[i] for i in ps], *[values_u[i] for i in us]])
             owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
             f = b[0] + np.bincount(owner, w[flat] * x, minlength=len(parts))
-            up = 1 / (1 + np.exp(-np.clip(f, -50, 50)))  # derivative of loss(-f); that of loss(+f) is up - 1
-            corrected = np.logaddexp(0, f[k:]).mean() - prior * np.logaddexp(0, f[:k]).mean()
-            turned = 1.0 if corrected >= 0 else -1.0
-            slope = np.concatenate([(prior * (up[:k] - 1) * (corrected >= 0) - turned * prior * up[:k]) / k, turned * up[k:] / len(us)])
+            slope = slopes(f, k, prior)
             step += 1
             for value, mean, square, gradient in (
                 (w, m, v, np.bincount(flat, slope[owner] * x, minlength=len(kept)) + decay * prior * w),
@@ -157,18 +165,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     The fit uses a sample of at most ``max_positive`` and ``max_unlabelled``
     texts, taken in the order of a hash of the key; the prior is the share of
-    ones among all non-NULL labels.  Only hashed features of the sample reach
-    the driver.  NULL keys and texts are not sampled.
+    ones among all non-NULL labels.  The unlabelled texts are drawn from all,
+    confirmed ones included: their share of toxic ones is then the prior.  Only
+    hashed features of the sample reach the driver.  NULL keys and texts are
+    not sampled; of several texts of one key the smallest is.
     """
     known = labels.select(F.col(key), F.col(label).cast("int").alias("_toxic")).dropna()
     prior = known.agg(F.avg("_toxic")).first()[0] or 0.0
     order = F.xxhash64(F.lit("sample"), key)
     toxic = known.where("_toxic = 1").select(key).distinct()
     positive = toxic.orderBy(order, key).limit(max_positive).withColumn("_kind", F.lit(1))
-    others = docs.select(key).dropna().distinct().orderBy(order, key).limit(max_unlabelled + max_positive)
-    unlabelled = others.join(positive, key, "left_anti").orderBy(order, key).limit(max_unlabelled).withColumn("_kind", F.lit(0))
+    order = F.xxhash64(F.lit("unlabelled"), key)
+    unlabelled = docs.select(key).dropna().distinct().orderBy(order, key).limit(max_unlabelled).withColumn("_kind", F.lit(0))
     # the limits above bound the size of the sample
-    sample = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(positive.unionByName(unlabelled)), key)
+    found = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(positive.unionByName(unlabelled)), key)
+    sample = found.groupBy(key, "_kind").agg(F.min(text).alias(text))
     table = _features(sample, text, "_kind").toArrow().combine_chunks()
     kinds, places = table["kind"].to_numpy(), table["place"].to_numpy()
 

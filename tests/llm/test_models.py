@@ -64,3 +64,63 @@ def test_no_language_learnt(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     model = language.fit(docs)
     assert [r.lang_pred for r in language.predict(docs, model).collect()] == ["und"]
+
+
+def test_slopes_equal_finite_differences():
+    def lowered(f, k, prior, turned):
+        positive, rest = f[:k], f[k:]
+        corrected = np.log1p(np.exp(rest)).mean() - prior * np.log1p(np.exp(positive)).mean()
+        return -corrected if turned else prior * np.log1p(np.exp(-positive)).mean() + corrected
+
+    pick = np.random.default_rng(2)
+    seen = set()
+    for _ in range(60):
+        k, prior = int(pick.integers(1, 9)), float(pick.uniform(0.05, 0.9))
+        f = np.concatenate([pick.normal(pick.uniform(-2, 4), 1, k), pick.normal(pick.uniform(-4, 2), 1, int(pick.integers(1, 9)))])
+        turned = np.log1p(np.exp(f[k:])).mean() < prior * np.log1p(np.exp(f[:k])).mean()
+        seen.add(bool(turned))
+        step = np.eye(len(f)) * 1e-5
+        wanted = [(lowered(f + d, k, prior, turned) - lowered(f - d, k, prior, turned)) / 2e-5 for d in step]
+        assert np.allclose(toxicity.slopes(f, k, prior), wanted, atol=1e-8)
+    assert seen == {True, False}
+
+
+def test_unlabelled_texts_hold_the_share_of_the_prior(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i} " + ("vile" if i % 4 == 0 else "")) for i in range(2000)]
+                                 + [(1, "another text of one key")] * 40 + [(3, None), (None, "no key")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda *sides: taken.append(sides))
+    toxicity.fit(docs, labels, max_positive=300, max_unlabelled=800)
+    positive, unlabelled, prior = taken[0]
+    assert prior == 0.25 and len(positive.sizes) == 300 and len(unlabelled.sizes) == 800
+    vile = toxicity.buckets("vile")[0]
+    assert (positive.spots == vile).sum() == 300
+    assert abs((unlabelled.spots == vile).sum() / 800 - prior) < 0.05
+
+
+def test_shares_equal_the_best_of_a_grid():
+    pick = np.random.default_rng(5)
+    grid = [np.array([a, b, 20 - a - b]) / 20 for a in range(21) for b in range(21 - a)]
+    likes, owner = [], []
+    for text in range(25):
+        n = int(pick.integers(1, 40))
+        of = pick.choice(3, n, p=pick.dirichlet([0.7] * 3))
+        like = pick.normal(-60, 3, (n, 3))
+        like[np.arange(n), of] += pick.uniform(0, 8, n)
+        likes.append(like)
+        owner += [text] * n
+    shares, value = language._maximise(np.concatenate(likes), np.array(owner), 25, np.ones((25, 3)), 3000)
+    for text, like in enumerate(likes):
+        with np.errstate(divide="ignore"):
+            best = max(np.logaddexp.reduce(like + np.log(share), axis=1).sum() for share in grid)
+        assert best - 1e-6 <= value[text] and value[text] - best < 0.02 * len(like) + 0.05
+        assert np.isclose(value[text], np.log((np.exp(like + 60) * shares[text]).sum(axis=1)).sum() - 60 * len(like))
+
+
+def test_repeated_rows_are_judged_alike(spark):
+    pick = random.Random(3)
+    rows = [(i % 40, sentence(pick, "xx" if i % 2 else "zz", 30), "xx" if i % 2 else "zz") for i in range(80)]
+    docs = spark.createDataFrame(rows + rows[:7], "doc_id long, text string, lang string").selectExpr("*", "1 as score", "2 as bucket", "3 as n")
+    got = language.predict(docs, language.fit(docs), lang="lang_pred", share="part").collect()
+    assert len(got) == 87 and all(r.lang_pred == r.lang and r.score == 1 and r.bucket == 2 for r in got)
