@@ -1,16 +1,19 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Only texts confirmed as toxic count as positive; every other text is
-unlabelled, and a known share of those (the class prior) is toxic too.  The
-risk of calling unlabelled text harmless is therefore corrected by the prior:
+Only texts confirmed as toxic count as positive; all others are unlabelled, and
+a known share of those (``left``) is toxic too.  The risk of calling a text
+harmless is therefore taken from unlabelled text and corrected by that share:
 
-    prior * mean_P loss(+f) + max(0, mean_U loss(-f) - prior * mean_P loss(-f))
+    prior * mean_P loss(+f) + (1 - prior) / (1 - left) * max(0, mean_U loss(-f) - left * mean_P loss(-f))
 
-with the logistic loss.  Where the second part is negative, its gradient is
-turned round, which keeps a flexible model from driving it below zero.
+with the logistic loss and the class prior of all texts; the share left is
+smaller than the prior where confirmed texts were taken out of the unlabelled.
+Where the second part is negative, its gradient is turned round, which keeps a
+flexible model from driving it below zero.
 
 Features are words and beginnings of words, hashed.  Those clearly more
-frequent in positive than in unlabelled texts are kept; a feature's value is the logarithm
+frequent in positive than in harmless texts are kept, the latter estimated by
+taking the toxic share out of the unlabelled; a feature's value is the logarithm
 of its count times its log-odds, divided by the square root of the text's
 length in words.  A text's score is the sigmoid of a linear function of these.
 """
@@ -93,31 +96,35 @@ class Sample:
     norms: np.ndarray
 
 
-def slopes(f: np.ndarray, k: int, prior: float) -> np.ndarray:
+def slopes(f: np.ndarray, k: int, prior: float, left: float) -> np.ndarray:
     """Derivatives by ``f`` of what a step lowers, the first ``k`` being
     positive: the corrected risk, or, where its second part is negative, that
     part turned round."""
     up = 1 / (1 + np.exp(-np.clip(f, -50, 50)))  # derivative of loss(-f); that of loss(+f) is up - 1
-    corrected = np.logaddexp(0, f[k:]).mean() - prior * np.logaddexp(0, f[:k]).mean()
-    turned = 1.0 if corrected >= 0 else -1.0
-    of_positive = prior * (up[:k] - 1) * (corrected >= 0) - turned * prior * up[:k]
+    corrected = np.logaddexp(0, f[k:]).mean() - left * np.logaddexp(0, f[:k]).mean()
+    turned = (1 if corrected >= 0 else -1) * (1 - prior) / (1 - left)
+    of_positive = prior * (up[:k] - 1) * (corrected >= 0) - turned * left * up[:k]
     return np.concatenate([of_positive / k, turned * up[k:] / (len(f) - k)])
 
 
-def train(positive: Sample, unlabelled: Sample, prior: float, min_texts: int = 10, epochs: int = 25, batch: int = 512,
+def train(positive: Sample, unlabelled: Sample, prior: float, left: float, min_texts: int = 10, epochs: int = 50, batch: int = 512,
           rate: float = 0.02, decay: float = 1e-2, seed: int = 3) -> Model:
-    """Fit by Adam on mixed batches.  Features in fewer than ``min_texts``
+    """Fit by Adam on mixed batches; ``left`` is the share of toxic texts among
+    the unlabelled.  Features in fewer than ``min_texts``
     sampled texts are left out.  Without positive or unlabelled texts, or
     without features, the model says the prior for every text."""
     prior = min(max(prior, 1e-4), 1 - 1e-4)
+    left = min(max(left, 0.0), prior)
     b = np.array([np.log(prior / (1 - prior)), 0.0, 0.0])
     none = Model(np.full(BUCKETS, -1, np.int32), np.zeros(0), float(b[0]))
     n_p, n_u = len(positive.sizes), len(unlabelled.sizes)
     if not n_p or not n_u:
         return none
     seen_p, seen_u = (np.bincount(s.spots, minlength=BUCKETS) for s in (positive, unlabelled))
-    odds = np.log((seen_p + 1) / (n_p + 2)) - np.log((seen_u + 1) / (n_u + 2))
-    error = np.sqrt(1 / (seen_p + 1) + 1 / (seen_u + 1))
+    # harmless texts that hold a feature: unlabelled ones without the toxic share of them
+    harmless = np.maximum(seen_u - left * n_u * seen_p / n_p, 0)
+    odds = np.log((seen_p + 1) / (n_p + 2)) - np.log((harmless + 1) / ((1 - left) * n_u + 2))
+    error = np.sqrt(1 / (seen_p + 1) + 1 / (harmless + 1))
     kept = np.flatnonzero((odds > LEAST_ODDS) & (odds > LEAST_ERRORS * error) & (seen_p + seen_u >= min_texts))
     if not len(kept):
         return none
@@ -146,7 +153,7 @@ def train(positive: Sample, unlabelled: Sample, prior: float, min_texts: int = 1
             x = np.concatenate([*[values_p[i] for i in ps], *[values_u[i] for i in us]])
             owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
             f = b[0] + np.bincount(owner, w[flat] * x, minlength=len(parts))
-            slope = slopes(f, k, prior)
+            slope = slopes(f, k, prior, left)
             step += 1
             for value, mean, square, gradient in (
                 (w, m, v, np.bincount(flat, slope[owner] * x, minlength=len(kept)) + decay * prior * w),
@@ -164,11 +171,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     a label.
 
     The fit uses a sample of at most ``max_positive`` and ``max_unlabelled``
-    texts, taken in the order of a hash of the key; the prior is the share of
-    ones among all non-NULL labels.  The unlabelled texts are drawn from all,
-    confirmed ones included: their share of toxic ones is then the prior.  Only
-    hashed features of the sample reach the driver.  NULL keys and texts are
-    not sampled; of several texts of one key the smallest is.
+    texts, each taken in the order of a hash of the key; the prior is the share
+    of ones among all non-NULL labels.  Unlabelled texts are drawn from all but
+    the sampled positive ones; the toxic share left there is that of the prior
+    less these, by a count of the keys (a sketch, 1 % error).  Only hashed
+    features of the sample reach the driver.  NULL keys and texts are not
+    sampled; of several texts of one key the smallest is.
     """
     known = labels.select(F.col(key), F.col(label).cast("int").alias("_toxic")).dropna()
     prior = known.agg(F.avg("_toxic")).first()[0] or 0.0
@@ -176,7 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     toxic = known.where("_toxic = 1").select(key).distinct()
     positive = toxic.orderBy(order, key).limit(max_positive).withColumn("_kind", F.lit(1))
     order = F.xxhash64(F.lit("unlabelled"), key)
-    unlabelled = docs.select(key).dropna().distinct().orderBy(order, key).limit(max_unlabelled).withColumn("_kind", F.lit(0))
+    others = docs.select(key).dropna().distinct().orderBy(order, key).limit(max_unlabelled + max_positive)
+    unlabelled = others.join(positive, key, "left_anti").orderBy(order, key).limit(max_unlabelled).withColumn("_kind", F.lit(0))
     # the limits above bound the size of the sample
     found = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(positive.unionByName(unlabelled)), key)
     sample = found.groupBy(key, "_kind").agg(F.min(text).alias(text))
@@ -188,7 +197,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         flat = [pc.list_flatten(own[c]).to_numpy() for c in ("spots", "counts")]
         return Sample(*flat, pc.list_value_length(own["spots"]).to_numpy(), own["norm"].to_numpy())
 
-    return train(side(1), side(0), prior)
+    every, taken = docs.agg(F.approx_count_distinct(key, 0.01)).first()[0], int((kinds == 1).sum())
+    left = (prior * every - taken) / (every - taken) if every > taken else 0.0
+    return train(side(1), side(0), prior, left)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", result: str = "score") -> DataFrame:

@@ -67,36 +67,39 @@ def test_no_language_learnt(spark):
 
 
 def test_slopes_equal_finite_differences():
-    def lowered(f, k, prior, turned):
+    def lowered(f, k, prior, left, turned):
         positive, rest = f[:k], f[k:]
-        corrected = np.log1p(np.exp(rest)).mean() - prior * np.log1p(np.exp(positive)).mean()
+        corrected = (np.log1p(np.exp(rest)).mean() - left * np.log1p(np.exp(positive)).mean()) * (1 - prior) / (1 - left)
         return -corrected if turned else prior * np.log1p(np.exp(-positive)).mean() + corrected
 
     pick = np.random.default_rng(2)
     seen = set()
     for _ in range(60):
         k, prior = int(pick.integers(1, 9)), float(pick.uniform(0.05, 0.9))
+        left = prior * float(pick.choice([0, 0.5, 1]))
         f = np.concatenate([pick.normal(pick.uniform(-2, 4), 1, k), pick.normal(pick.uniform(-4, 2), 1, int(pick.integers(1, 9)))])
-        turned = np.log1p(np.exp(f[k:])).mean() < prior * np.log1p(np.exp(f[:k])).mean()
+        turned = np.log1p(np.exp(f[k:])).mean() < left * np.log1p(np.exp(f[:k])).mean()
         seen.add(bool(turned))
         step = np.eye(len(f)) * 1e-5
-        wanted = [(lowered(f + d, k, prior, turned) - lowered(f - d, k, prior, turned)) / 2e-5 for d in step]
-        assert np.allclose(toxicity.slopes(f, k, prior), wanted, atol=1e-8)
+        wanted = [(lowered(f + d, k, prior, left, turned) - lowered(f - d, k, prior, left, turned)) / 2e-5 for d in step]
+        assert np.allclose(toxicity.slopes(f, k, prior, left), wanted, atol=1e-8)
     assert seen == {True, False}
 
 
-def test_unlabelled_texts_hold_the_share_of_the_prior(spark, monkeypatch):
+def test_unlabelled_texts_hold_the_share_left(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i} " + ("vile" if i % 4 == 0 else "")) for i in range(2000)]
                                  + [(1, "another text of one key")] * 40 + [(3, None), (None, "no key")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2000)], "doc_id long, toxic int")
     taken = []
     monkeypatch.setattr(toxicity, "train", lambda *sides: taken.append(sides))
     toxicity.fit(docs, labels, max_positive=300, max_unlabelled=800)
-    positive, unlabelled, prior = taken[0]
+    positive, unlabelled, prior, left = taken[0]
     assert prior == 0.25 and len(positive.sizes) == 300 and len(unlabelled.sizes) == 800
     vile = toxicity.buckets("vile")[0]
     assert (positive.spots == vile).sum() == 300
-    assert abs((unlabelled.spots == vile).sum() / 800 - prior) < 0.05
+    assert abs(left - 200 / 1700) < 0.01 and abs((unlabelled.spots == vile).sum() / 800 - left) < 0.04
+    toxicity.fit(docs, labels)  # all toxic texts are taken out
+    assert len(taken[1][0].sizes) == 500 and not (taken[1][1].spots == vile).any() and taken[1][3] < 0.01
 
 
 def test_shares_equal_the_best_of_a_grid():
