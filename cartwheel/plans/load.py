@@ -13,6 +13,7 @@ from cartwheel.operators import dimensions as D
 from cartwheel.operators import store
 from cartwheel.operators.quality import stack_rows
 from cartwheel.operators.sinks import export_csv, with_defaults
+from cartwheel.session import materialize
 from cartwheel.sources import files, schemas as S
 
 
@@ -38,6 +39,14 @@ def read_sources(spark: SparkSession, folder: str, accepted_only: bool = False)
     return {name: read(spark, folder, name) for name in S.CSV_FILES}
 
 
+def stage_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every line of the source files, parsed once and stored as columns with
+    ``_rejected``.  Rejects, lookups, totals and tables then read those and no
+    text a second time."""
+    return dict(zip(S.CSV_FILES, _side_by_side(
+        lambda name: materialize(files.scan_csv_checked(spark, f"{folder}/{name}.csv", S.CSV_FILES[name]), "staged"), S.CSV_FILES)))
+
+
 def stored_lookups(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """The lookup tables of an earlier load; the seeds where there is none."""
     dims, paths = {}, store.published(spark, target)
@@ -96,10 +105,10 @@ class TooManyRejects(ValueError):
     """A load was given up because of the lines it could not read."""
 
 
-def store_rejects(spark: SparkSession, folder: str, path: str) -> int:
+def store_rejects(staged: dict[str, DataFrame], path: str) -> int:
     """Writes the rejected lines of all source files to a table; returns their
-    number.  One pass over the files."""
-    lines = stack_rows([files.rejected_lines(spark, folder, name) for name in S.CSV_FILES])
+    number.  One pass over the staged files."""
+    lines = stack_rows([files.rejected_of(rows, name) for name, rows in staged.items()])
     return store.write_counted(lines, path, REJECTS).rows
 
 
@@ -128,7 +137,8 @@ def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_ins
     load_id, fresh = store.new_load(target)
     rejected = []
     if max_rejects:
-        lines = store_rejects(spark, folder, f"{fresh}/{REJECTS}")
+        staged = stage_sources(spark, folder)
+        lines = store_rejects(staged, f"{fresh}/{REJECTS}")
         if lines > max_rejects:
             raise TooManyRejects(f"{lines} lines rejected, {max_rejects} allowed")
         rejected.append(store.Written(REJECTS, lines))
@@ -139,7 +149,7 @@ def load_full_refresh(spark: SparkSession, folder: str, target: str, *, case_ins
     def write(frames):
         return _side_by_side(lambda name: store.write_counted(frames[name], f"{fresh}/{name}", name, rules.get(name, ())), frames)
 
-    sources = read_sources(spark, folder, accepted_only=bool(max_rejects))
+    sources = {name: files.accepted_of(rows) for name, rows in staged.items()} if max_rejects else read_sources(spark, folder)
     lookups = build_lookups(sources, case_insensitive, stored_lookups(spark, target))
     written = write(lookups)
     dims = {name: spark.read.parquet(f"{fresh}/{name}") for name in S.SEEDS}

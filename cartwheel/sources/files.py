@@ -56,14 +56,18 @@ def rejected_lines(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Rejected lines of a source file: FileName, Line, Reason (the columns
     whose text is not of their type; else the line does not have the file's
     columns)."""
+    return rejected_of(scan_csv_checked(spark, f"{folder}/{name}.csv", S.CSV_FILES[name]), name)
+
+
+def rejected_of(rows: DataFrame, name: str) -> DataFrame:
+    """``rejected_lines`` of the checked rows of a file."""
     fields = StructType.fromDDL(S.CSV_FILES[name]).fields
     texts = ", ".join(f"{f.name} string" for f in fields)
     parsed = F.from_csv(REJECTED, texts, {"quote": '"', "escape": '"'})
     # what the reader could not take as a column's type is NULL in its row
     wrong = [F.when(F.col(f"p.{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f.name)) for f in fields]
     named = F.concat_ws(", ", *wrong)
-    lines = scan_csv_checked(spark, f"{folder}/{name}.csv", S.CSV_FILES[name]).where(F.col(REJECTED).isNotNull())
-    return lines.withColumn("p", parsed).select(
+    return rows.where(F.col(REJECTED).isNotNull()).withColumn("p", parsed).select(
         F.lit(name).alias("FileName"), F.col(REJECTED).alias("Line"),
         F.when(named != "", F.concat(F.lit("not of its type: "), named)).otherwise(F.lit(f"not a line of {len(fields)} columns")).alias("Reason"))
 
@@ -76,6 +80,12 @@ def scan_accepted(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return rows.where(F.col(REJECTED).isNull() & whole).drop(REJECTED)
 
 
+def accepted_of(rows: DataFrame) -> DataFrame:
+    """Staged checked rows without the rejected ones: staging has parsed every
+    column, so a line is rejected or not whichever columns a reader wants."""
+    return rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
 # Texts that a data-frame CSV reader takes for missing.
 MISSING_TEXT = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",

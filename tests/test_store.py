@@ -130,3 +130,16 @@ def test_decisions_do_not_rewrite_reports(spark, tiny):
     assert approved() == {1: False, 2: True, 3: False}
     assert sorted(spark.read.parquet(f"{folder}/AIReport").inputFiles()) == files_before
     assert [r.DecisionID for r in files.stored_decisions(spark, folder).orderBy("DecisionID").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_a_load_with_rejects_parses_each_file_once(spark, monkeypatch):
+    source, target, read = sources(spark), scratch_path(spark, "store"), []
+    parse = files.scan_csv_checked
+    monkeypatch.setattr(files, "scan_csv_checked", lambda s, path, schema: read.append(path) or parse(s, path, schema))
+    staged = load.stage_sources(spark, source)
+    assert not any(path.endswith(".csv") for rows in staged.values() for path in rows.inputFiles())
+    read.clear()
+    counts = load.load_full_refresh(spark, source, target, as_of=AS_OF, max_rejects=3)
+    assert len(read) == len(set(read)) == len(S.CSV_FILES)
+    plain = load.load_full_refresh(spark, source, scratch_path(spark, "store"), as_of=AS_OF)
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, plain.collect()))
