@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +71,8 @@ def customer_analytics(tables, *, as_of=None, exclude_latest: bool = False, cust
         return only_key(tables[name], "CustomerID", customer_id)
 
     transactions = of_customer("SalesTransaction")
+    # all lines meet their transactions by hash, not by two sorts; one customer's few may be broadcast
+    bought = transactions.hint("shuffle_hash") if customer_id is None else transactions
     levels = tables["LoyaltyMembership"].select("CustomerID", "LoyaltyLevelID").join(
         tables["LoyaltyLevel"].select("LoyaltyLevelID", F.col("LevelName").alias("LoyaltyLevel")),
         "LoyaltyLevelID", "left",
@@ -77,7 +81,7 @@ def customer_analytics(tables, *, as_of=None, exclude_latest: bool = False, cust
         of_customer("Customer").select("CustomerID", "DateOfBirth", "Province")
         .join(only_key(levels, "CustomerID", customer_id), "CustomerID", "left")
         .join(transaction_facts(transactions), "CustomerID", "left")
-        .join(product_facts(transactions, tables["SalesTransactionItem"], approx_distinct), "CustomerID", "left")
+        .join(product_facts(bought, tables["SalesTransactionItem"], approx_distinct), "CustomerID", "left")
         .join(response_facts(of_customer("CampaignResponse"), exclude_latest), "CustomerID", "left")
     )
     return joined.select(
@@ -165,22 +169,26 @@ def sales_cells(tables, dimensions) -> DataFrame:
     ``_first`` (transactions counted in one of their cells only).
 
     A transaction has one date and one store, so only categories repeat it.
-    Lines are combined by transaction and category where the join has put
-    them; what is shuffled after that is summed map-side, and nothing is
-    shuffled by transaction twice.
+    Lines are marked, not grouped, by transaction and category where the join
+    has put them: they are sorted once, and no task holds a map of its
+    transactions.  What is shuffled after that is summed map-side, and nothing
+    is shuffled by transaction twice.
     """
     own = [d for d in TRANSACTION_DIMENSIONS if d in dimensions]
     if set(dimensions) - {*own, "CategoryID"}:
         raise ValueError("dimensions are a transaction's or CategoryID")
-    per_category = categorised_lines(tables).groupBy("TransactionID", *own, "CategoryID").agg(
-        F.sum(F.col("LineTotal").cast("decimal(18,4)")).alias("LineTotal"), F.sum("Quantity").alias("Quantity")
-    )
-    first = F.col("CategoryID").eqNullSafe(F.min("CategoryID").over(Window.partitionBy("TransactionID")))
-    return per_category.withColumn("_is_first", first).groupBy(*dimensions).agg(
+    # one row per key on that side: a small hash table a partition instead of two sorts
+    hashed = ChainMap({"SalesTransaction": tables["SalesTransaction"].hint("shuffle_hash")}, tables)
+    lines = categorised_lines(hashed).select("TransactionID", *own, "CategoryID", F.col("LineTotal").cast("decimal(18,4)").alias("LineTotal"), "Quantity")
+    # the first line of each category, and whether that is the transaction's first one
+    order = Window.partitionBy("TransactionID").orderBy(F.col("CategoryID").asc_nulls_last(), *own)
+    cell = F.struct("CategoryID", *own)
+    marked = lines.withColumns({"_new": ~cell.eqNullSafe(F.lag(cell).over(order)), "_least": F.first("CategoryID").over(order)})
+    return marked.groupBy(*dimensions).agg(
         F.sum("LineTotal").alias("Revenue"),
         F.sum("Quantity").alias("UnitsSold"),
-        F.count("*").alias("_in"),
-        F.count_if("_is_first").alias("_first"),
+        F.count_if("_new").alias("_in"),
+        F.count_if(F.col("_new") & F.col("CategoryID").eqNullSafe(F.col("_least"))).alias("_first"),
     )
 
 

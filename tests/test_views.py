@@ -178,3 +178,28 @@ def test_hot_product_is_split_by_skew_join(spark, tiny):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sales_cells_count_each_transaction_once(spark):
+    # a repeated transaction in two stores, categories that are NULL, repeated lines
+    lines = [(1, 1, 2, 5), (1, 1, 2, 5), (1, 2, 1, 7), (1, 3, 1, 1), (2, 3, 4, 2), (2, 3, 1, 2), (3, 2, 1, 9), (None, 1, 1, 1)]
+    tables = {
+        "SalesTransactionItem": spark.createDataFrame(lines, "TransactionID long, ProductID long, Quantity int, LineTotal int").withColumn(
+            "LineTotal", F.col("LineTotal").cast("decimal(18,4)")),
+        "Product": spark.createDataFrame([(1, 20), (2, 10), (3, None)], "ProductID long, CategoryID long"),
+        "SalesTransaction": spark.createDataFrame([(1, 1, "2024-01-05"), (1, 2, "2024-01-05"), (2, 1, "2024-02-01"), (3, 2, "2023-02-01")],
+                                                  "TransactionID long, StoreID long, day string").withColumn("TransactionDate", F.to_timestamp_ntz("day")),
+    }
+    got = {(r.SalesYear, r.StoreID, r.CategoryID): (int(r.Revenue), r.UnitsSold, r._in, r._first)
+           for r in V.sales_cells(tables, ["SalesYear", "StoreID", "CategoryID"]).collect()}
+    assert got == {
+        (2024, 1, 20): (10, 4, 1, 0), (2024, 1, 10): (7, 1, 1, 1), (2024, 1, None): (5, 6, 2, 1),
+        (2024, 2, 20): (10, 4, 1, 0), (2024, 2, 10): (7, 1, 1, 1), (2024, 2, None): (1, 1, 1, 0), (2023, 2, 10): (9, 1, 1, 1)}
+    plan = V.sales_cells(tables, ["SalesYear", "CategoryID"])._jdf.queryExecution().executedPlan().toString()
+    # no task holds a map of its transactions
+    assert "HashAggregate(keys=[TransactionID" not in plan and "ShuffledHashJoin" in plan
+
+
+def test_all_lines_meet_their_transactions_by_hash(tiny):
+    plan = V.customer_analytics(tiny, as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
