@@ -24,6 +24,11 @@ def analytics(t):
     return V.customer_analytics(t, as_of=ANALYTICS_AS_OF)
 
 
+def stored_analytics(t):
+    """The view written once: training, its split and scoring all read it."""
+    return materialize(analytics(t), "analytics")
+
+
 _MATRIX = "CustomerID, " + ", ".join(L.FEATURES)
 
 # -- preparation --------------------------------------------------------------------
@@ -88,16 +93,24 @@ def _split(t):
     return L.stratified_split(L.features(analytics(t)))
 
 
-def train(t, env):
-    return L.train_random_forest(materialize(_split(t), "split").where("not is_test"), _models(env), as_of=ANALYTICS_AS_OF)
+def train(t, env, rows=None):
+    rows = stored_analytics(t) if rows is None else rows
+    split = materialize(L.stratified_split(L.features(rows)), "split")
+    return L.train_random_forest(split.where("not is_test"), _models(env), as_of=ANALYTICS_AS_OF)
 
 
-def stored_model(t, env):
-    """The stored model; trained first where there is none."""
+def stored_model(t, env, rows=None):
+    """The stored model; trained first where there is none, on ``rows`` where
+    the caller has the analytics stored."""
     try:
         return L.load_model(env.spark, _models(env))
     except LookupError:
-        return train(t, env)
+        return train(t, env, rows)
+
+
+def scores(t, env):
+    rows = stored_analytics(t)
+    return L.score_all(stored_model(t, env, rows), L.features(rows, for_training=False))
 
 
 @query("train_random_forest", """SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS TrainRows, CAST(200 AS BIGINT) AS Trees, CAST(10 AS BIGINT) AS Features,
@@ -152,13 +165,13 @@ def _(t, env):
 
 @query("score_all")
 def _(t, env):
-    return L.score_all(stored_model(t, env), L.features(analytics(t), for_training=False))
+    return scores(t, env)
 
 
 @query("score_all_rules", "SELECT CustomerID, true AS InRange, true AS LabelFollows FROM @Customer")
 def _(t, env):
     # every customer once, a probability, and the label that follows from it
-    scored = L.score_all(stored_model(t, env), L.features(analytics(t), for_training=False))
+    scored = scores(t, env)
     return scored.select("CustomerID", c("Probability").between(0, 1).alias("InRange"),
                          ((c("Probability") >= 0.5) == (c("Result") == "Yes")).alias("LabelFollows"))
 

@@ -117,3 +117,15 @@ L.score_all(L.load_model(spark, {folder!r}), spark.read.parquet({rows_path!r})).
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, check=True, capture_output=True)
     assert sorted(map(tuple, spark.read.parquet(scores).collect())) == sorted(map(tuple, L.score_all(model, labelled).collect()))
+
+
+def test_training_and_scoring_share_the_stored_analytics(spark, tiny, monkeypatch):
+    from registry import model as M
+
+    asked = []
+    monkeypatch.setattr(M, "analytics", lambda t: asked.append(1) or V.customer_analytics(t, as_of=AS_OF))
+    monkeypatch.setattr(M, "stored_model", lambda t, env, rows=None: rows)
+    monkeypatch.setattr(L, "score_all", lambda trained_on, scoring: (trained_on, scoring))
+    trained_on, scoring = M.scores(tiny, None)
+    assert len(asked) == 1
+    assert set(scoring.inputFiles()) == set(trained_on.inputFiles()) and all("/analytics-" in path for path in scoring.inputFiles())
