@@ -177,9 +177,7 @@ def sales_cells(tables, dimensions) -> DataFrame:
     own = [d for d in TRANSACTION_DIMENSIONS if d in dimensions]
     if set(dimensions) - {*own, "CategoryID"}:
         raise ValueError("dimensions are a transaction's or CategoryID")
-    # one row per key on that side: a small hash table a partition instead of two sorts
-    hashed = ChainMap({"SalesTransaction": tables["SalesTransaction"].hint("shuffle_hash")}, tables)
-    lines = categorised_lines(hashed).select("TransactionID", *own, "CategoryID", F.col("LineTotal").cast("decimal(18,4)").alias("LineTotal"), "Quantity")
+    lines = categorised_lines(tables).select("TransactionID", *own, "CategoryID", F.col("LineTotal").cast("decimal(18,4)").alias("LineTotal"), "Quantity")
     # the first line of each category, and whether that is the transaction's first one
     order = Window.partitionBy("TransactionID").orderBy(F.col("CategoryID").asc_nulls_last(), *own)
     cell = F.struct("CategoryID", *own)
@@ -210,7 +208,9 @@ def sales_rollup(tables, dimensions=("SalesYear", "StoreID", "CategoryID")) -> D
     tells categories apart, else in its first cell only.  What is rolled up
     are the cells, not lines or transactions."""
     dims = list(dimensions)
-    cells = sales_cells(tables, dims)
+    # one row per key on that side: a small hash table a partition instead of two sorts
+    hashed = ChainMap({"SalesTransaction": tables["SalesTransaction"].hint("shuffle_hash")}, tables)
+    cells = sales_cells(hashed, dims)
     for table, key in (("Store", "StoreID"), ("ProductCategory", "CategoryID")):
         if key in dims:  # sales of an unknown store or category are left out, as in the other views
             cells = cells.join(tables[table].select(key), key, "left_semi")
