@@ -8,6 +8,9 @@ pivots; the sum of rank differences (footrule distance, pivots outside a
 prefix counting as last) follows from the entries met.  The nearest ``SHARE``
 of a block by footrule is ranked again by the exact inner product.
 
+A task builds the few blocks of one group from their vectors and then reads the
+queries one after another, so that it holds no more of either at larger sizes.
+
 Inner products become distances by one more coordinate, which gives all stored
 vectors the same length and is zero for queries.  Equal vectors are one entry
 of the index; they come back with their ids at the end.
@@ -29,7 +32,8 @@ PREFIX = 48
 SHARE = 0.25
 LEAST = 16  # candidates of a block for each neighbour asked for, at least
 BLOCK = 8192  # vectors of the index
-QUERIES = 256  # queries that meet a block together
+GROUPS = 32  # groups of blocks that meet the queries in one place, if there are so many blocks
+HELD = 8  # blocks of a group at most, but for one
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -100,29 +104,11 @@ class Block:
         return self.ids[near[best]], scores[best]
 
 
-def _blocks(entries: DataFrame, size: int, count: int) -> DataFrame:
-    """Rows (block, ids, points): entries dealt to ``count`` blocks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, bytes]]] = {}
-
-        def out(block: int) -> pa.RecordBatch:
-            ids, points = zip(*held.pop(block))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([list(ids)], pa.list_(pa.int64())), pa.array([b"".join(points)], pa.binary())],
-                names=["block", "ids", "points"])
-
-        for batch in batches:
-            for block, i, point in zip(batch.column("block").to_pylist(), batch.column("id").to_pylist(), batch.column("point").to_pylist()):
-                held.setdefault(block, []).append((i, point))
-                if len(held[block]) == size:
-                    yield out(block)
-        for block in list(held):
-            yield out(block)
-
-    dealt = entries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
-    # sorted by block, so that a task holds few unfinished ones
-    return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, ids array<long>, points binary")
+def _merged(found: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best ``k`` of what several blocks have found."""
+    ids, scores = (np.concatenate(x) for x in zip(*found))
+    best = np.lexsort([ids, -scores])[:k]
+    return ids[best], scores[best]
 
 
 def nearest(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, pivots: int = PIVOTS) -> DataFrame:
@@ -148,40 +134,52 @@ def nearest(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "
     asked = df.where(queries).select(F.col(key).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("_vector"))
     asked_points = stored(_entries(asked, "query_id", "_vector", 1).select("point").join(entries, "point").select("id", "point"), "queries")
     blocks = max(1, -(-n // BLOCK))
-    stored_blocks = stored(_blocks(entries.select("id", "point"), 2 * BLOCK, blocks), "blocks")
+    groups = max(min(blocks, GROUPS), -(-blocks // HELD))
     rows = entries.select("point").orderBy(F.xxhash64(F.lit("pivots"), "point"), "point").limit(pivots).collect()
     centres = np.array([np.frombuffer(r["point"], "<f8") for r in rows]).reshape(-1, width)
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for points in batch.column("points").to_pylist():
-                p = np.frombuffer(points, "<f8").reshape(-1, width)
+            if batch.num_rows:
+                p = _matrix(batch.column("point"))
                 yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((p * p).sum(axis=1).max()))])], names=["longest"])
 
-    longest = stored_blocks.mapInArrow(lengths, "longest double").agg(F.max("longest")).first()[0] or 1.0
+    longest = entries.select("point").mapInArrow(lengths, "longest double").agg(F.max("longest")).first()[0] or 1.0
     shared = spark.sparkContext.broadcast((_raise(centres, longest), longest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raised, longest = shared.value
-        last, block = None, None
+        group, held, whole = None, {}, []  # vectors by block, then the blocks
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids = np.array(batch.column("ids")[i].as_py(), np.int64)
-                if last is None or not np.array_equal(ids, last):
-                    last, block = ids, Block(ids, np.frombuffer(batch.column("points")[i].as_py(), "<f8").reshape(-1, width), raised, longest)
-                names = batch.column("query_ids")[i].as_py()
-                points = np.frombuffer(batch.column("query_points")[i].as_py(), "<f8").reshape(-1, width)
+            columns = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("group", "asks", "block", "id")]
+            changes = np.flatnonzero(np.any([x[1:] != x[:-1] for x in columns[:3]], axis=0)) + 1
+            for start, end in zip([0, *changes.tolist()], [*changes.tolist(), batch.num_rows]):
+                if start == end:
+                    continue
+                now, asks, block, ids = (x[start:end] for x in columns)
+                points = _matrix(batch.column("point").slice(start, end - start))
+                if now[0] != group:
+                    group, held, whole = now[0], {}, []
+                if not asks[0]:
+                    held.setdefault(block[0], []).append((ids, points))
+                    continue
+                while held:
+                    parts = held.pop(next(iter(held)))
+                    whole.append(Block(*(np.concatenate(x) for x in zip(*parts)), raised, longest))
                 prefixes = _prefixes(points, raised[:, :-1])
-                found = [block.search(q, p, k + 1) for q, p in zip(points, prefixes)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array(names, np.int64), [len(f[0]) for f in found])),
-                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))],
-                    names=["query", "id", "score"])
-
-    bundles = _blocks(asked_points, QUERIES, max(1, -(-n // (16 * QUERIES))))
-    every = bundles.select(F.col("ids").alias("query_ids"), F.col("points").alias("query_points"),
-                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    met = stored_blocks.join(every, "block").select("ids", "points", "query_ids", "query_points").mapInArrow(run, schema)
+                for at in range(0, len(ids), 256):
+                    found = [_merged([b.search(q, p, k + 1) for b in whole], k + 1) for q, p in zip(points[at: at + 256], prefixes[at: at + 256])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(ids[at: at + 256], [len(f[0]) for f in found])),
+                         pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))],
+                        names=["query", "id", "score"])
+
+    dealt = entries.select("id", "point", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"))
+    dealt = dealt.withColumn("group", F.col("block") % groups)
+    asking = asked_points.select("id", "point", F.lit(-1).alias("block"), F.lit(True).alias("asks"),
+                                 F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    # the vectors of a group come before its queries; more partitions than groups, as several may fall into one
+    met = dealt.unionByName(asking).repartition(2 * groups, "group").sortWithinPartitions("group", "asks", "block", "id").mapInArrow(run, schema)
 
     def first(df: DataFrame, group: str, n: int) -> DataFrame:
         order = Window.partitionBy(group).orderBy(F.col("score").desc(), "id")

@@ -55,3 +55,29 @@ def test_few_vectors(spark):
     assert got == [(0, 1, 20, 2.0), (0, 2, 3, 0.5), (20, 1, 0, 2.0), (20, 2, 3, 0.0)]
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
     assert neighbours.nearest(df, F.col("vec_id") < 0).collect() == []
+
+
+def test_rows_sent_to_python_hold_one_vector_and_groups_lose_none(spark, monkeypatch):
+    pick = np.random.default_rng(7)
+    vectors = pick.normal(size=(1200, 8))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    widest, send = [], type(df).mapInArrow
+
+    def noted(frame, *args, **named):
+        binary = [F.max(F.length(name)) for name, kind in frame.dtypes if kind == "binary"]
+        if binary:
+            widest.extend(x for x in frame.agg(*binary).first() if x)
+        return send(frame, *args, **named)
+
+    monkeypatch.setattr(type(df), "mapInArrow", noted)
+    monkeypatch.setattr(neighbours, "BLOCK", 40)  # 30 blocks
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    want = brute(rows, 5)
+    for groups, held in ((32, 8), (2, 8), (1, 30)):
+        monkeypatch.setattr(neighbours, "GROUPS", groups, raising=False)
+        monkeypatch.setattr(neighbours, "HELD", held, raising=False)
+        got = {}
+        for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=5).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert got == want  # a block's candidates are all of its vectors
+    assert widest and max(widest) <= 8 * 8
